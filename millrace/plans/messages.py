@@ -1,0 +1,68 @@
+"""Events as Kafka records. The connector is not needed: only its row layout is."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.plans.common import built_once
+from millrace.sources.kafka import decode_json_records, offset_ranges
+from millrace.sources.tables import fixture
+from millrace.streaming.medallion import stream_table
+from millrace.streaming.run import append_table, drain
+from millrace.workspace import fresh_dir
+
+TOPIC = "SampleTopic01"
+PARTITIONS = 4
+VALUE_SCHEMA = "event_id bigint, event_type string, value double, props string"
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users are spread over the partitions; within a partition offsets grow but have gaps."""
+    return fixture(spark, sf_dir, "events").select(
+        F.encode(F.col("user_id").cast("string"), "UTF-8").alias("key"),
+        F.encode(F.to_json(F.struct("event_id", "event_type", "value", "props")), "UTF-8").alias("value"),
+        F.lit(TOPIC).alias("topic"),
+        (F.col("user_id") % PARTITIONS).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+
+
+def kafka_bounded_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_json_records(records(spark, sf_dir), VALUE_SCHEMA)
+
+
+def kafka_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return offset_ranges(records(spark, sf_dir))
+
+
+def kafka_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = built_once(spark, sf_dir, "records", lambda path: records(spark, sf_dir).write.parquet(path))
+    table = fresh_dir(spark, "decoded")
+    stream = decode_json_records(stream_table(spark, stored), VALUE_SCHEMA)
+    drain(append_table(stream, table, fresh_dir(spark, "decoded-checkpoint")))
+    return spark.read.parquet(table)
+
+
+QUERIES = {
+    "kafka_bounded_decode": kafka_bounded_decode,
+    "kafka_offset_ranges": kafka_offset_ranges,
+    "kafka_stream_decode": kafka_stream_decode,
+}
+
+_DECODED = f"""
+    SELECT CAST(user_id AS VARCHAR) AS record_key, event_id, event_type, value, props, '{TOPIC}' AS topic,
+           CAST(user_id % {PARTITIONS} AS INT) AS partition, event_id AS "offset"
+    FROM events
+"""
+
+ORACLES = {
+    "kafka_bounded_decode": _DECODED,
+    "kafka_stream_decode": _DECODED,
+    "kafka_offset_ranges": f"""
+        SELECT topic, partition, min("offset") AS first_offset, max("offset") + 1 AS next_offset, count(*) AS records
+        FROM ({_DECODED}) GROUP BY topic, partition
+    """,
+}
