@@ -1 +1,9 @@
 """Table jobs written as PySpark DataFrames and Structured Streaming queries."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so the package need not be installed on
+# the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

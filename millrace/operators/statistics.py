@@ -26,7 +26,7 @@ def _measures(field: T.StructField) -> dict[str, Column]:
     kind = field.dataType.simpleString()
     numeric = isinstance(field.dataType, T.NumericType)
     if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        length = F.octet_length(column)
+        length = F.length(column)
         avg_len, max_len = F.ceil(F.avg(length)), F.max(length).cast("bigint")
     else:
         width = F.lit(TYPE_WIDTHS.get(kind, 8)).cast("bigint")

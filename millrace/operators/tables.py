@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def clustered(df: DataFrame, *keys: str, files: int | None = None) -> DataFrame:
+def clustered(df: DataFrame, *keys: str | Column, files: int | None = None) -> DataFrame:
     """Rows arranged so that each written file holds a narrow range of ``keys``.
 
     Range boundaries are drawn on the keys followed by a hash of the row. With the keys alone all
     rows of one key value would land in one task; with the hash a heavy value spreads over as many
     partitions as its share of the rows, still next to each other. The hash depends on the row only,
     so a task that is run again after a lost executor sends its rows to the same places.
+
+    A key may be an expression with the wanted order. Zero-padded text keys sort like their numbers,
+    and numbers compare much faster than text with a long common prefix.
     """
+    order = [F.col(key) if isinstance(key, str) else key for key in keys]
     tie = F.xxhash64(*(F.col(f"`{name}`") for name in df.columns))
-    ranged = df.withColumn("_tie", tie)
-    order = [F.col(key) for key in keys] + [F.col("_tie")]
-    ranged = ranged.repartitionByRange(files, *order) if files else ranged.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(*keys).drop("_tie")
+    ranges = [*order, tie]
+    ranged = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
+    return ranged.sortWithinPartitions(*order)
 
 
-def replace_table(df: DataFrame, path: str, cluster_by: tuple[str, ...] = ()) -> DataFrame:
+def replace_table(df: DataFrame, path: str, cluster_by: tuple[str | Column, ...] = ()) -> DataFrame:
     """Write ``df`` to ``path`` in place of what is there and return the table read back.
 
     ``df`` must not read from ``path``; to rewrite a table from itself write to a new path.
@@ -33,7 +36,7 @@ def replace_table(df: DataFrame, path: str, cluster_by: tuple[str, ...] = ()) ->
 
 
 def replace_catalog_table(
-    df: DataFrame, name: str, path: str | None = None, cluster_by: tuple[str, ...] = ()
+    df: DataFrame, name: str, path: str | None = None, cluster_by: tuple[str | Column, ...] = ()
 ) -> DataFrame:
     """The same for a named table. With ``path`` its files live there instead of the warehouse."""
     if cluster_by:

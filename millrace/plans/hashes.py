@@ -20,7 +20,7 @@ def fnv_str_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fnv_str_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, sf_dir, "documents").select("doc_id", fnv_hash_str("text").alias("hash"))
+    return fixture(spark, sf_dir, "documents", heavy=True).select("doc_id", fnv_hash_str("text").alias("hash"))
 
 
 def fnv_int4(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ def snapshot_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """English documents get a longer text, Spanish ones are new, German ones are gone."""
-    documents = fixture(spark, sf_dir, "documents").select(
+    documents = fixture(spark, sf_dir, "documents", heavy=True).select(
         F.col("doc_id").cast("string").alias("document_id"),
         F.concat(F.lit("https://example.com/"), F.col("source")).alias("original_url"),
         F.col("text").alias("content"),

@@ -29,13 +29,13 @@ POINT = "filter_0000000012"
 
 
 def lineitem_orig(spark: SparkSession, sf_dir: str) -> DataFrame:
-    copies = replicate(fixture(spark, sf_dir, "lineitem"), COPIES, STRIDE)
+    copies = replicate(fixture(spark, sf_dir, "lineitem", heavy=True), COPIES, STRIDE)
     return copies.select(derived_key(ORDER_KEY_PREFIX, F.col("l_orderkey") + F.col("id")).alias(KEY), "*")
 
 
 def orders_orig(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("o_orderkey") + F.col("id")
-    return replicate(fixture(spark, sf_dir, "orders"), COPIES, STRIDE).select(
+    return replicate(fixture(spark, sf_dir, "orders", heavy=True), COPIES, STRIDE).select(
         derived_key(ORDER_KEY_PREFIX, number).alias(KEY),
         derived_key(FILTER_KEY_PREFIX, number).alias("filter_pre"),
         "*",
@@ -55,7 +55,7 @@ def stored_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build(path: str) -> None:
         check_key_space(fixture(spark, sf_dir, "lineitem"), "l_orderkey", COPIES, STRIDE, KEY_WIDTH)
-        replace_table(lineitem_orig(spark, sf_dir), path, cluster_by=(KEY,))
+        replace_table(lineitem_orig(spark, sf_dir), path, cluster_by=(F.col("l_orderkey") + F.col("id"),))
 
     return spark.read.parquet(built_once(spark, sf_dir, "lineitem-orig", build))
 
@@ -65,7 +65,7 @@ def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build(path: str) -> None:
         check_key_space(fixture(spark, sf_dir, "orders"), "o_orderkey", COPIES, STRIDE, KEY_WIDTH)
-        replace_table(orders_orig(spark, sf_dir), path, cluster_by=(KEY,))
+        replace_table(orders_orig(spark, sf_dir), path, cluster_by=(F.col("o_orderkey") + F.col("id"),))
 
     return spark.read.parquet(built_once(spark, sf_dir, "orders-orig", build))
 

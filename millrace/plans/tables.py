@@ -117,8 +117,8 @@ def _profile_sql(distinct: bool) -> str:
             c,
             no_numbers,
             f"min({c}) AS min_text, max({c}) AS max_text",
-            f"CAST(ceil(avg(octet_length(encode({c})))) AS BIGINT) AS avg_len, "
-            f"CAST(max(octet_length(encode({c}))) AS BIGINT) AS max_len",
+            f"CAST(ceil(avg(length({c}))) AS BIGINT) AS avg_len, "
+            f"CAST(max(length({c})) AS BIGINT) AS max_len",
         )
         for c in _TEXT
     ]
@@ -136,7 +136,7 @@ _STATISTICS = " UNION ALL ".join(
     ]
     + [
         f"""SELECT '{c}', CAST(0 AS BIGINT), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
-            CAST(max(octet_length(encode({c}))) AS BIGINT) FROM orders"""
+            CAST(max(length({c})) AS BIGINT) FROM orders"""
         for c in _TEXT
     ]
     + ["SELECT 'o_orderdate', CAST(0 AS BIGINT), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(8 AS BIGINT)"]

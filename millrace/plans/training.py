@@ -16,7 +16,7 @@ DECIMALS = 4
 
 
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, sf_dir, "lineitem").select(
+    return fixture(spark, sf_dir, "lineitem", heavy=True).select(
         *KEYS,
         F.col("l_quantity").alias("f1"),
         F.col("l_extendedprice").alias("f2"),

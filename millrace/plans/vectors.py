@@ -28,13 +28,13 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashing moves words to positions but loses none: counts add up to the number of words."""
-    counted = term_counts(fixture(spark, sf_dir, "documents"), "text")
+    counted = term_counts(fixture(spark, sf_dir, "documents", heavy=True), "text")
     total = F.aggregate(vector_to_array("terms"), F.lit(0.0), lambda a, b: a + b)
     return counted.select("doc_id", total.cast("bigint").alias("words"))
 
 
 def text_embedding_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    embedded = embed_text(fixture(spark, sf_dir, "documents"), "text")
+    embedded = embed_text(fixture(spark, sf_dir, "documents", heavy=True), "text")
     return embedded.select("doc_id", "embedding")
 
 

@@ -40,7 +40,11 @@ def build_session(
     settings.update(extra or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    # Listing many single files starts a task per file unless told otherwise.
+    tasks = max(64, 4 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(tasks))
+    return spark
 
 
 def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import unquote
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -100,9 +100,9 @@ def _header_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 
     def first_line(path: str) -> str:
-        uri = path.replace("s3a://", "s3://", 1)
+        uri = quote(path.replace("s3a://", "s3://", 1), safe="/:@")
         system, name = fs.FileSystem.from_uri(uri)
-        with system.open_input_stream(unquote(name) if uri.startswith("file:") else name) as stream:
+        with system.open_input_stream(name) as stream:
             head = b""
             while b"\n" not in head:
                 piece = stream.read(64 * 1024)

@@ -18,9 +18,20 @@ def path_table(spark: SparkSession, path: str, format: str = "parquet") -> DataF
     return spark.sql(f"SELECT * FROM {format}.`{path}`")
 
 
-def fixture(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the supplied tables: ``<folder>/<name>.parquet``."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def spread(scan: DataFrame) -> DataFrame:
+    """Give work that is heavy per row a partition per core when its input has fewer splits.
+
+    For a scan, before anything that shuffles. Input of many files has splits enough and is left as
+    it is; a single file with one row group would keep one core busy and leave the others idle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def fixture(spark: SparkSession, folder: str, name: str, heavy: bool = False) -> DataFrame:
+    """One of the supplied tables: ``<folder>/<name>.parquet``; ``heavy`` for heavy work per row."""
+    table = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(table) if heavy else table
 
 
 def number_range(spark: SparkSession, count: int, step: int = 1) -> DataFrame:
