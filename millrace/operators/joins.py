@@ -57,12 +57,12 @@ def semi_join_pruned(left: DataFrame, right: DataFrame, key: str, max_keys: int
     """A semi-join that also prunes the left scan by the right side's keys.
 
     Open-source Spark derives scan filters from a join for partition columns only. When the right
-    side has at most ``max_keys`` distinct keys they are fetched first and become an ``IN`` filter
-    on the left scan, which skips row groups of a clustered table. With more keys this is
-    :func:`semi_join`.
+    side has at most ``max_keys`` rows their keys are fetched first and become an ``IN`` filter
+    on the left scan, which skips row groups of a clustered table. With more rows this is
+    :func:`semi_join`; fetching stops at the bound.
     """
-    distinct_keys = right.select(key).filter(F.col(key).isNotNull()).distinct()
-    keys = [row[0] for row in distinct_keys.limit(max_keys + 1).collect()]
-    if len(keys) > max_keys:
+    rows = right.select(key).filter(F.col(key).isNotNull()).limit(max_keys + 1).collect()
+    if len(rows) > max_keys:
         return semi_join(left, right, key)
+    keys = sorted({row[0] for row in rows})
     return left.filter(F.col(key).isin(keys)) if keys else left.filter(F.lit(False))

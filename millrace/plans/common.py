@@ -19,3 +19,8 @@ def built_once(spark: SparkSession, sf_dir: str, label: str, build: Callable[[st
         build(path)
         _built[key] = path
     return _built[key]
+
+
+def stored_path(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """Path of a table that has been built."""
+    return _built[spark.sparkContext.applicationId, sf_dir, label]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,12 @@ from millrace.operators.joins import (
     semi_join,
     semi_join_pruned,
 )
+from millrace.operators.statistics import analyze_table
 from millrace.operators.tables import clustered, replace_table
-from millrace.plans.common import built_once
+from millrace.plans.common import built_once, stored_path
 from millrace.session import session_with
 from millrace.sources.tables import fixture
+from millrace.workspace import fresh_dir
 
 # How often the tables are replicated and how far apart the copies' keys are.
 COPIES = 10
@@ -151,6 +155,37 @@ def join_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """)
 
 
+def join_output_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result stored as a table, in SQL text."""
+    stored_lineitem(spark, sf_dir).createOrReplaceTempView("lineitem_orig")
+    stored_orders(spark, sf_dir).createOrReplaceTempView("orders_orig")
+    name = f"output_case_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"""
+        CREATE TABLE {name} USING parquet LOCATION '{fresh_dir(spark, "output-case")}' AS
+        SELECT A.* FROM lineitem_orig A
+        INNER JOIN orders_orig B USING (orderkey_pre)
+        WHERE B.filter_pre = "{POINT}"
+    """)
+    return spark.table(name)
+
+
+def _analyzed(spark: SparkSession, label: str, table: DataFrame, path: str) -> str:
+    """A named table over stored files, with statistics for all columns."""
+    name = f"{label}_{uuid.uuid4().hex[:12]}"
+    spark.catalog.createTable(name, path, "parquet", table.schema)
+    analyze_table(spark, name)
+    return name
+
+
+def join_with_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables with column statistics: the planner knows before it starts how few orders match."""
+    session = session_with(spark, {"spark.sql.cbo.enabled": "true"})
+    lines, orders = stored_lineitem(spark, sf_dir), stored_orders(spark, sf_dir)
+    line_table = _analyzed(spark, "lineitem_analyzed", lines, stored_path(spark, sf_dir, "lineitem-orig"))
+    order_table = _analyzed(spark, "orders_analyzed", orders, stored_path(spark, sf_dir, "orders-orig"))
+    return join_left_columns(session.table(line_table), _point(session.table(order_table)), KEY)
+
+
 def join_broadcast_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_broadcast(stored_lineitem(spark, sf_dir), _point(stored_orders(spark, sf_dir)), KEY)
 
@@ -225,6 +260,8 @@ QUERIES = {
     "join_view_copy": join_view_copy,
     "join_computed_filter": join_computed_filter,
     "join_sql_text": join_sql_text,
+    "join_output_table": join_output_table,
+    "join_with_statistics": join_with_statistics,
     "semi_join_in": semi_join_in,
     "semi_join_key_pushdown": semi_join_key_pushdown,
     "join_broadcast_checked": join_broadcast_checked,
@@ -280,6 +317,8 @@ ORACLES = {
         WHERE 'filter_' || lpad(CAST(B.o_orderkey AS VARCHAR), 10, '0') = '{POINT}'
     """,
     "join_sql_text": _POINT_JOIN,
+    "join_output_table": _POINT_JOIN,
+    "join_with_statistics": _POINT_JOIN,
     "semi_join_in": f"""{_TABLES}
         SELECT * FROM lineitem_orig
         WHERE orderkey_pre IN (SELECT orderkey_pre FROM orders_orig WHERE filter_pre = '{POINT}')

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.features import OneHot, Standardiser, row_bucket, split_by_key
 from millrace.operators.forest import fit_forest, holdout_score, score_rows
+from millrace.plans.common import built_once
 from millrace.sources.tables import fixture
 
 FEATURES = ["f1", "f2", "f3", "f4"]
 TARGET = "l_returnflag"
+LABELS = ("A", "N", "R")
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 DECIMALS = 4
 
@@ -46,7 +49,7 @@ def one_hot_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = rows.select(*KEYS, encoder.transform(F.col(TARGET)).alias("encoded"))
     return encoded.select(
         *KEYS,
-        *(F.col("encoded")[i].alias(f"is_{c}") for i, c in enumerate(("A", "N", "R"))),
+        *(F.col("encoded")[i].alias(f"is_{c}") for i, c in enumerate(LABELS)),
         encoder.inverse(F.col("encoded")).alias("decoded"),
     )
 
@@ -57,9 +60,14 @@ def feature_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows scored by the stored model, which is trained when first asked for."""
     train, test = split_by_key(feature_rows(spark, sf_dir), "l_orderkey", "l_linenumber")
     scaler = Standardiser.fit(train, FEATURES)
-    model = fit_forest(scaler.transform(train), FEATURES, TARGET)
+
+    def build(path: str) -> None:
+        fit_forest(scaler.transform(train), FEATURES, TARGET).write().save(path)
+
+    model = PipelineModel.load(built_once(spark, sf_dir, "forest", build))
     return score_rows(model, scaler.transform(test))
 
 
@@ -68,6 +76,19 @@ def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*KEYS, TARGET, "prediction", "prediction_converted", "predicted")
 
 
+def forest_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for every scored row whatever the forest has learnt."""
+    scored = _scored_test_rows(spark, sf_dir)
+    total = F.aggregate("prediction", F.lit(0.0), lambda a, p: a + p.cast("double"))
+    labels = F.array(*(F.lit(c) for c in LABELS))
+    return scored.select(
+        *KEYS,
+        F.size("prediction").alias("classes"),
+        F.round(total, DECIMALS).alias("total"),
+        (F.element_at(labels, F.col("prediction_converted") + 1) == F.col("predicted")).alias("label_is_argmax"),
+    )
+
+
 def forest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return holdout_score(_scored_test_rows(spark, sf_dir), TARGET)
 
@@ -78,6 +99,7 @@ QUERIES = {
     "one_hot_target": one_hot_target,
     "feature_struct": feature_struct,
     "forest_predictions": forest_predictions,
+    "forest_consistency": forest_consistency,
     "forest_score": forest_score,
 }
 
@@ -100,5 +122,9 @@ ORACLES = {
                CAST(l_returnflag = 'R' AS DOUBLE) AS "is_R", l_returnflag AS decoded
         FROM lineitem
     """,
+    "forest_consistency": f"""
+        SELECT {_KEYS}, CAST(3 AS INT) AS classes, CAST(1 AS DOUBLE) AS total, true AS label_is_argmax
+        FROM lineitem WHERE {_BUCKET} >= 75
+    """,
     "feature_struct": f"SELECT {_KEYS}, {', '.join(f'{c} AS {f}' for f, c in _SOURCES.items())} FROM lineitem",
 }

@@ -38,6 +38,22 @@ def text_embedding_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedded.select("doc_id", "embedding")
 
 
+def text_embedding_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embedded = embed_text(fixture(spark, sf_dir, "documents", heavy=True), "text")
+    squares = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return embedded.select("doc_id", F.size("embedding").alias("dimensions"), F.round(F.sqrt(squares), 4).alias("norm"))
+
+
+def text_search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents most similar to each benchmark text."""
+    documents = embed_text(fixture(spark, sf_dir, "documents", heavy=True), "text").select("doc_id", "embedding")
+    asked = embed_text(fixture(spark, sf_dir, "benchmark"), "text").select("item_id", "embedding")
+    found = cosine_top_k(spark, documents, asked, NEIGHBOURS, "doc_id", "item_id")
+    return found.select(
+        F.col("query_id").alias("item_id"), F.col("neighbour_id").alias("doc_id"), "rank", F.round("score", DECIMALS).alias("score")
+    )
+
+
 def argmax_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, sf_dir, "embeddings").select("vec_id", argmax(F.col("embedding")).alias("position"))
 
@@ -50,6 +66,8 @@ QUERIES = {
     "vector_topk": vector_topk,
     "text_term_counts": text_term_counts,
     "text_embedding_default": text_embedding_default,
+    "text_embedding_norms": text_embedding_norms,
+    "text_search_topk": text_search_topk,
     "argmax_array": argmax_array,
     "argmax_pandas": argmax_pandas,
 }
@@ -78,6 +96,7 @@ ORACLES = {
         SELECT doc_id, CAST(len(regexp_split_to_array(regexp_replace(text, '\s+$', ''), '\s')) AS BIGINT) AS words
         FROM documents
     """,
+    "text_embedding_norms": "SELECT doc_id, CAST(256 AS INT) AS dimensions, CAST(1 AS DOUBLE) AS norm FROM documents",
     "argmax_array": _ARGMAX,
     "argmax_pandas": _ARGMAX,
 }

@@ -51,13 +51,11 @@ def stream_csv_directory(
     spark: SparkSession,
     folder: str,
     schema: T.StructType | str,
-    files_per_batch: int | None = None,
+    files_per_batch: int,
 ) -> DataFrame:
     """Files with one common header line, each read once. Wrong headers fail instead of swapping."""
     reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(folder)
+    return reader.option("maxFilesPerTrigger", files_per_batch).csv(folder)
 
 
 # ---------------------------------------------------------------- differing headers
@@ -115,15 +113,18 @@ def _header_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": batch["path"], "header": [first_line(path) for path in batch["path"]]})
 
 
-def csv_layouts(files: DataFrame) -> list[Layout]:
+def csv_layouts(files: DataFrame, max_files: int = 10_000) -> list[Layout]:
     """Group listed files by header line.
 
-    The lines are read by the executors. The driver receives paths and headers only, as many as the
-    listing holds: bound it with ``files_per_batch`` where a directory has very many files.
+    The lines are read by the executors; the driver receives a path and a header per file. More than
+    ``max_files`` files are refused: take them in with :func:`millrace.streaming.csv_ingest.ingest_csv`,
+    which goes through a directory of any size in batches.
     """
-    headers = files.mapInPandas(_header_lines, "path string, header string")
+    headers = files.mapInPandas(_header_lines, "path string, header string").limit(max_files + 1).collect()
+    if len(headers) > max_files:
+        raise ValueError(f"more than {max_files} files: ingest them in batches")
     groups: dict[tuple[str, ...], list[str]] = {}
-    for row in headers.collect():
+    for row in headers:
         if row.header.strip():
             columns = tuple(name.strip() for name in next(csv.reader([row.header])))
             groups.setdefault(columns, []).append(row.path)
@@ -151,9 +152,35 @@ def merge_schemas(*schemas: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
 
 
-def infer_merged_schema(spark: SparkSession, layouts: list[Layout]) -> T.StructType:
-    """Infer each layout's types from its files and merge them by name."""
-    return merge_schemas(*(read_csv_directory(spark, list(layout.paths)).schema for layout in layouts))
+def _without_empty(frame: DataFrame, columns: set[str]) -> T.StructType:
+    """The frame's schema less those of ``columns`` that hold no value, which are inferred as text."""
+    texts = [f.name for f in frame.schema.fields if f.name in columns and f.dataType == T.StringType()]
+    if not texts:
+        return frame.schema
+    counts = frame.agg(*(F.count(F.col(f"`{name}`")).alias(str(i)) for i, name in enumerate(texts))).first()
+    empty = {name for i, name in enumerate(texts) if counts[i] == 0}
+    return T.StructType([f for f in frame.schema.fields if f.name not in empty])
+
+
+def infer_merged_schema(
+    spark: SparkSession, layouts: list[Layout], known: T.StructType | None = None
+) -> T.StructType:
+    """Infer each layout's types from its files and merge them by name, after the ``known`` columns.
+
+    A column without any value looks like text. Where that would turn another layout's numbers into
+    text, the column's values are counted, and an empty one has no say.
+    """
+    base = [known] if known else []
+    frames = [read_csv_directory(spark, list(layout.paths)) for layout in layouts]
+    merged = merge_schemas(*base, *(frame.schema for frame in frames))
+    seen = [field for schema in (*base, *(f.schema for f in frames)) for field in schema.fields]
+    clashing = {
+        f.name for f in seen if f.dataType != T.StringType() and merged[f.name].dataType == T.StringType()
+    }
+    if not clashing:
+        return merged
+    told = merge_schemas(*base, *(_without_empty(frame, clashing) for frame in frames))
+    return T.StructType([told[f.name] if f.name in told.names else f for f in merged.fields])
 
 
 def read_layouts(spark: SparkSession, layouts: list[Layout], schema: T.StructType) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.sources.csv import csv_layouts, infer_merged_schema, merge_schemas, read_layouts, stream_file_list
+from millrace.sources.csv import csv_layouts, infer_merged_schema, read_layouts, stream_file_list
 from millrace.streaming.run import drain, each_batch
 
 
@@ -42,12 +42,11 @@ def ingest_csv(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        layouts = csv_layouts(batch)
+        layouts = csv_layouts(batch, max_files=files_per_batch)
         if not layouts:
             return
         earlier = [schema for first, schema in _schema_changes(session, table) if first < batch_id]
-        found = infer_merged_schema(session, layouts)
-        schema = merge_schemas(earlier[-1], found) if earlier else found
+        schema = infer_merged_schema(session, layouts, earlier[-1] if earlier else None)
         for field in earlier[-1].fields if earlier else ():
             if schema[field.name].dataType != field.dataType and schema[field.name].dataType == T.StringType():
                 raise ValueError(f"column {field.name} was {field.dataType.simpleString()}, now holds text")

@@ -73,11 +73,15 @@ def sync_index(
 
 
 def publish_changes(before: DataFrame | None, after: DataFrame, feed: str, version: int) -> None:
-    """Write the change rows that lead from one snapshot to the next to the table's change feed."""
+    """Write the change rows that lead from one snapshot to the next to the table's change feed.
+
+    Publishing a version again replaces it.
+    """
     if before is None:
-        before = after.filter(F.lit(False))
-    changes = snapshot_changes(before, after, KEY).withColumn("commit_version", F.lit(version))
-    changes.write.mode("append").parquet(feed)
+        changes = after.select(F.lit(INSERT).alias("change_type"), "*")
+    else:
+        changes = snapshot_changes(before, after, KEY)
+    changes.write.mode("overwrite").parquet(f"{feed}/commit_version={version}")
 
 
 def run_index_sync(

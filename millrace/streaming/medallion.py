@@ -10,38 +10,54 @@ from pyspark.sql import types as T
 
 from millrace.operators.quality import Constraint, count_violations, drop_violations
 from millrace.sources.csv import stream_csv_directory
-from millrace.streaming.run import append_table, drain, each_batch
+from millrace.streaming.run import FILES_PER_BATCH, append_table, drain, each_batch
 
 
-def stream_table(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def stream_table(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """What is appended to a table, as a stream. The table's own schema is used."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def run_bronze(spark: SparkSession, folder: str, schema: T.StructType | str, bronze: str, checkpoint: str) -> None:
+def run_bronze(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType | str,
+    bronze: str,
+    checkpoint: str,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> None:
     """Append the CSV files that are new."""
-    drain(append_table(stream_csv_directory(spark, folder, schema), bronze, checkpoint))
+    drain(append_table(stream_csv_directory(spark, folder, schema, files_per_batch), bronze, checkpoint))
 
 
 def run_silver(
-    spark: SparkSession, bronze: str, silver: str, checkpoint: str, constraints: Sequence[Constraint]
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    checkpoint: str,
+    constraints: Sequence[Constraint],
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
     """Append the new bronze rows that satisfy all constraints."""
-    drain(append_table(drop_violations(stream_table(spark, bronze), constraints), silver, checkpoint))
+    rows = drop_violations(stream_table(spark, bronze, files_per_batch), constraints)
+    drain(append_table(rows, silver, checkpoint))
 
 
 def run_violation_log(
-    spark: SparkSession, bronze: str, log: str, checkpoint: str, constraints: Sequence[Constraint]
+    spark: SparkSession,
+    bronze: str,
+    log: str,
+    checkpoint: str,
+    constraints: Sequence[Constraint],
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
     """Write each batch's violation counts to ``log/batch=<id>``, reading the constrained columns only."""
 
     def record(batch: DataFrame, batch_id: int) -> None:
         count_violations(batch, constraints).write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
 
-    drain(each_batch(stream_table(spark, bronze), checkpoint, record))
+    drain(each_batch(stream_table(spark, bronze, files_per_batch), checkpoint, record))
 
 
 def total_violations(spark: SparkSession, log: str) -> DataFrame:

@@ -44,7 +44,7 @@ def test_inner_repeats_and_semi_does_not(spark):
 def test_pruned_semi_join_beyond_its_bound_is_a_join(spark):
     assert rows(semi_join_pruned(left(spark), right(spark), "k", max_keys=1)) == [("a", 1), ("a", 2)]
     assert "LeftSemi" in physical_plan(semi_join_pruned(left(spark), right(spark), "k", max_keys=1))
-    assert "Join" not in physical_plan(semi_join_pruned(left(spark), right(spark), "k", max_keys=2))
+    assert "Join" not in physical_plan(semi_join_pruned(left(spark), right(spark), "k", max_keys=3))
 
 
 @pytest.mark.parametrize("strategy,node", [("shuffle_hash", "ShuffledHashJoin"), ("merge", "SortMergeJoin")])

@@ -128,6 +128,25 @@ def test_ingest_refuses_text_where_numbers_were_and_can_be_run_again(spark, tmp_
     assert rows(read_ingested(spark, table)) == [(1,), (2,)]
 
 
+def test_a_column_without_values_has_no_say_in_its_type(spark, tmp_path):
+    folder, table, checkpoint = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    put(folder, "a.csv", "a,b\n1,x\n")
+    ingest_csv(spark, str(folder), table, checkpoint)
+    put(folder, "b.csv", "a,b\n")
+    put(folder, "c.csv", "b,a,c\ny,,\n")
+    ingest_csv(spark, str(folder), table, checkpoint)
+    merged = read_ingested(spark, table)
+    assert merged.dtypes == [("a", "int"), ("b", "string"), ("c", "string")]
+    assert rows(merged) == [(1, "x", None), (None, "y", None)]
+
+
+def test_a_long_listing_is_refused_by_the_batch_read(spark, tmp_path):
+    for i in range(3):
+        put(tmp_path / "in", f"{i}.csv", f"a\n{i}\n")
+    with pytest.raises(ValueError, match="batches"):
+        csv_layouts(list_files(spark, str(tmp_path / "in")), max_files=2)
+
+
 def test_ingest_in_small_batches_is_whole(spark, tmp_path):
     folder, table, checkpoint = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "checkpoint")
     for i in range(5):

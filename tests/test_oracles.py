@@ -32,7 +32,12 @@ def test_query_matches_its_sql(spark, database, name):
 
 def test_only_these_queries_have_no_sql():
     # random forests and hashed embeddings; test_vectors and test_features check them by other means
-    assert set(queries()) - set(oracle_sql()) == {"text_embedding_default", "forest_predictions", "forest_score"}
+    assert set(queries()) - set(oracle_sql()) == {
+        "text_embedding_default",
+        "text_search_topk",
+        "forest_predictions",
+        "forest_score",
+    }
     assert set(oracle_sql()) <= set(queries())
 
 

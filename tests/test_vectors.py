@@ -70,3 +70,13 @@ def test_default_embedding_counts_hashed_words_of_the_whole_text(spark):
         expected = counts / np.linalg.norm(counts)
         assert np.allclose(row.embedding, expected, atol=1e-6)
     assert "Exchange" not in physical_plan(frame) and frame.select(F.size("embedding")).first()[0] == 32
+
+
+def test_text_search_against_brute_force(spark):
+    words = ["red", "green", "blue", "one", "two", "three", "four"]
+    random = np.random.default_rng(5)
+    texts = [" ".join(random.choice(words, 6)) for _ in range(60)]
+    embedded = embed_text(spark.createDataFrame(list(enumerate(texts)), "id bigint, t string"), "t", "v", 64)
+    vectors = [(r.id, np.array(r.v, dtype=np.float64)) for r in embedded.collect()]
+    found = cosine_top_k(spark, embedded, embedded, 3, "id", "id", "v")
+    assert sorted((r.query_id, r.neighbour_id, r["rank"]) for r in found.collect()) == brute(vectors, vectors, 3)
