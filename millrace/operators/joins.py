@@ -53,16 +53,40 @@ def semi_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right.select(key), key, "left_semi")
 
 
-def semi_join_pruned(left: DataFrame, right: DataFrame, key: str, max_keys: int = 1_000) -> DataFrame:
-    """A semi-join that also prunes the left scan by the right side's keys.
+def _few_keys(right: DataFrame, key: str, max_rows: int) -> list | None:
+    """The right side's keys when it has at most ``max_rows`` rows. Fetching stops at the bound."""
+    rows = right.select(key).filter(F.col(key).isNotNull()).limit(max_rows + 1).collect()
+    return [row[0] for row in rows] if len(rows) <= max_rows else None
 
-    Open-source Spark derives scan filters from a join for partition columns only. When the right
-    side has at most ``max_keys`` rows their keys are fetched first and become an ``IN`` filter
-    on the left scan, which skips row groups of a clustered table. With more rows this is
-    :func:`semi_join`; fetching stops at the bound.
+
+def _with_keys(left: DataFrame, key: str, keys: list) -> DataFrame:
+    return left.filter(F.col(key).isin(sorted(set(keys)))) if keys else left.filter(F.lit(False))
+
+
+def semi_join_pruned(left: DataFrame, right: DataFrame, key: str, max_rows: int = 1_000) -> DataFrame:
+    """A semi-join that prunes the left scan by the right side's keys.
+
+    Open-source Spark derives scan filters from a join for partition columns only, and without
+    statistics it learns that the right side is small after it has begun to shuffle the left one.
+    When the right side has at most ``max_rows`` rows, their keys are fetched first and become an
+    ``IN`` filter on the left scan, which skips the row groups of a clustered table that cannot
+    match. With more rows this is :func:`semi_join`.
+    """
+    keys = _few_keys(right, key, max_rows)
+    return semi_join(left, right, key) if keys is None else _with_keys(left, key, keys)
+
+
+def join_pruned(left: DataFrame, right: DataFrame, key: str, max_rows: int = 1_000) -> DataFrame:
+    """An inner join that keeps the left columns and prunes the left scan in the same way.
+
+    Right keys that occur once need no join beyond the filter; repeated ones are joined from the
+    fetched rows. With more than ``max_rows`` rows this is :func:`join_left_columns`.
     """
-    rows = right.select(key).filter(F.col(key).isNotNull()).limit(max_keys + 1).collect()
-    if len(rows) > max_keys:
-        return semi_join(left, right, key)
-    keys = sorted({row[0] for row in rows})
-    return left.filter(F.col(key).isin(keys)) if keys else left.filter(F.lit(False))
+    keys = _few_keys(right, key, max_rows)
+    if keys is None:
+        return join_left_columns(left, right, key)
+    pruned = _with_keys(left, key, keys)
+    if len(set(keys)) == len(keys):
+        return pruned
+    repeated = left.sparkSession.createDataFrame([(k,) for k in keys], right.select(key).schema)
+    return pruned.join(F.broadcast(repeated), key).select(pruned["*"])

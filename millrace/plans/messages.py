@@ -12,7 +12,7 @@ from millrace.streaming.medallion import stream_table
 from millrace.streaming.run import append_table, drain
 from millrace.workspace import fresh_dir
 
-TOPIC = "SampleTopic01"
+TOPIC = "events"
 PARTITIONS = 4
 VALUE_SCHEMA = "event_id bigint, event_type string, value double, props string"
 

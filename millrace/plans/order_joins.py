@@ -13,6 +13,7 @@ from millrace.operators.joins import (
     check_key_space,
     join_broadcast,
     join_left_columns,
+    join_pruned,
     replicate,
     semi_join,
     semi_join_pruned,
@@ -120,21 +121,26 @@ def replicate_scaleout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_table_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_left_columns(stored_lineitem(spark, sf_dir), _point(stored_orders(spark, sf_dir)), KEY)
+    return join_pruned(stored_lineitem(spark, sf_dir), _point(stored_orders(spark, sf_dir)), KEY)
 
 
 def join_table_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_left_columns(stored_lineitem(spark, sf_dir), _point(stored_orders_copy(spark, sf_dir)), KEY)
+    return join_pruned(stored_lineitem(spark, sf_dir), _point(stored_orders_copy(spark, sf_dir)), KEY)
 
 
 def join_view_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_left_columns(lineitem_view(spark, sf_dir), _point(stored_orders_copy(spark, sf_dir)), KEY)
+    return join_pruned(lineitem_view(spark, sf_dir), _point(stored_orders_copy(spark, sf_dir)), KEY)
 
 
 def join_computed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = stored_orders(spark, sf_dir)
     matching = orders.filter(derived_key(FILTER_KEY_PREFIX, F.col("o_orderkey")) == POINT)
-    return join_left_columns(stored_lineitem(spark, sf_dir), matching, KEY)
+    return join_pruned(stored_lineitem(spark, sf_dir), matching, KEY)
+
+
+def join_planned_at_runtime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join left to the planner alone."""
+    return join_left_columns(stored_lineitem(spark, sf_dir), _point(stored_orders(spark, sf_dir)), KEY)
 
 
 def semi_join_in(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,6 +265,7 @@ QUERIES = {
     "join_table_copy": join_table_copy,
     "join_view_copy": join_view_copy,
     "join_computed_filter": join_computed_filter,
+    "join_planned_at_runtime": join_planned_at_runtime,
     "join_sql_text": join_sql_text,
     "join_output_table": join_output_table,
     "join_with_statistics": join_with_statistics,
@@ -316,6 +323,7 @@ ORACLES = {
         SELECT A.* FROM lineitem_orig A JOIN orders_orig B USING (orderkey_pre)
         WHERE 'filter_' || lpad(CAST(B.o_orderkey AS VARCHAR), 10, '0') = '{POINT}'
     """,
+    "join_planned_at_runtime": _POINT_JOIN,
     "join_sql_text": _POINT_JOIN,
     "join_output_table": _POINT_JOIN,
     "join_with_statistics": _POINT_JOIN,

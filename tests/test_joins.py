@@ -12,6 +12,7 @@ from millrace.operators.joins import (
     check_key_space,
     join_broadcast,
     join_left_columns,
+    join_pruned,
     replicate,
     semi_join,
     semi_join_pruned,
@@ -39,12 +40,16 @@ def test_inner_repeats_and_semi_does_not(spark):
     assert rows(semi_join(left(spark), right(spark), "k")) == [("a", 1), ("a", 2)]
     assert rows(semi_join_pruned(left(spark), right(spark), "k")) == [("a", 1), ("a", 2)]
     assert rows(semi_join_pruned(left(spark), right(spark).limit(0), "k")) == []
+    assert rows(join_pruned(left(spark), right(spark), "k")) == [("a", 1), ("a", 1), ("a", 2), ("a", 2)]
+    assert rows(join_pruned(left(spark), right(spark).filter("w > 8"), "k")) == [("a", 1), ("a", 2)]
+    assert rows(join_pruned(left(spark), right(spark).limit(0), "k")) == []
+    assert rows(join_pruned(left(spark), right(spark), "k", max_rows=1)) == [("a", 1), ("a", 1), ("a", 2), ("a", 2)]
 
 
 def test_pruned_semi_join_beyond_its_bound_is_a_join(spark):
-    assert rows(semi_join_pruned(left(spark), right(spark), "k", max_keys=1)) == [("a", 1), ("a", 2)]
-    assert "LeftSemi" in physical_plan(semi_join_pruned(left(spark), right(spark), "k", max_keys=1))
-    assert "Join" not in physical_plan(semi_join_pruned(left(spark), right(spark), "k", max_keys=3))
+    assert rows(semi_join_pruned(left(spark), right(spark), "k", max_rows=1)) == [("a", 1), ("a", 2)]
+    assert "LeftSemi" in physical_plan(semi_join_pruned(left(spark), right(spark), "k", max_rows=1))
+    assert "Join" not in physical_plan(semi_join_pruned(left(spark), right(spark), "k", max_rows=3))
 
 
 @pytest.mark.parametrize("strategy,node", [("shuffle_hash", "ShuffledHashJoin"), ("merge", "SortMergeJoin")])
@@ -96,14 +101,22 @@ def test_stored_filter_is_pushed_and_computed_filter_is_not(spark):
 
 
 def test_join_reads_two_columns_of_the_right_table(spark):
-    plan = physical_plan(order_joins.join_table_table(spark, FOLDER))
+    plan = physical_plan(order_joins.join_planned_at_runtime(spark, FOLDER))
     assert "ReadSchema: struct<orderkey_pre:string,filter_pre:string>" in plan
     assert "BroadcastHashJoin" in plan
 
 
 def test_point_lookup_reads_one_key(spark):
-    plan = physical_plan(order_joins.semi_join_key_pushdown(spark, FOLDER))
-    assert "EqualTo(orderkey_pre,orderkey_0000000012)" in plan and "Join" not in plan
+    for query in (order_joins.semi_join_key_pushdown, order_joins.join_table_table):
+        plan = physical_plan(query(spark, FOLDER))
+        assert "EqualTo(orderkey_pre,orderkey_0000000012)" in plan and "Join" not in plan
+    plan = physical_plan(order_joins.join_computed_filter(spark, FOLDER))
+    assert "In(orderkey_pre, [orderkey_0000000012,orderkey_0100000012," in plan and "Join" not in plan
+
+
+def test_statistics_make_the_planner_broadcast(spark):
+    plan = physical_plan(order_joins.join_with_statistics(spark, FOLDER))
+    assert "BroadcastHashJoin" in plan
 
 
 def test_view_key_is_not_computed_when_unused(spark):
