@@ -11,6 +11,10 @@ def month_text(moment: Column) -> Column:
     return F.date_format(moment, "yyyy-MM")
 
 
+def _column(c: str | Column) -> Column:
+    return F.col(f"`{c}`") if isinstance(c, str) else c
+
+
 def monthly_average(
     df: DataFrame,
     moment: str | Column,
@@ -24,13 +28,24 @@ def monthly_average(
     Groups on the first day of the month, a fixed-width key that needs no text formatting per row,
     and formats the month after the aggregation, once per group.
     """
-
-    def column(c: str | Column) -> Column:
-        return F.col(f"`{c}`") if isinstance(c, str) else c
-
-    month_start = F.trunc(column(moment).cast("date"), "MM")
+    month_start = F.trunc(_column(moment).cast("date"), "MM")
     return (
-        df.groupBy(month_start.alias("_month"), column(area).alias(area_name))
-        .agg(F.avg(column(value)).alias(value_name))
+        df.groupBy(month_start.alias("_month"), _column(area).alias(area_name))
+        .agg(F.avg(_column(value)).alias(value_name))
         .select(month_text(F.col("_month")).alias("ym"), area_name, value_name)
     )
+
+
+def monthly_totals(df: DataFrame, moment: str | Column, area: str | Column, value: str | Column) -> DataFrame:
+    """What an average can be made of later: ``month_start``, ``area``, ``total`` and ``entries``."""
+    month_start = F.trunc(_column(moment).cast("date"), "MM")
+    return df.groupBy(month_start.alias("month_start"), _column(area).alias("area")).agg(
+        F.sum(_column(value)).alias("total"), F.count(_column(value)).alias("entries")
+    )
+
+
+def average_of_totals(totals: DataFrame) -> DataFrame:
+    """Monthly averages over any number of :func:`monthly_totals`; the columns of :func:`monthly_average`."""
+    summed = totals.groupBy("month_start", "area").agg(F.sum("total").alias("total"), F.sum("entries").alias("entries"))
+    average = F.try_divide(F.col("total"), F.col("entries"))
+    return summed.select(month_text(F.col("month_start")).alias("ym"), "area", average.alias("temp"))

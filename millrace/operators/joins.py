@@ -38,14 +38,22 @@ def join_left_columns(left: DataFrame, right: DataFrame, key: str, strategy: str
     return left.join(right_keys, key).select(left["*"])
 
 
-def join_broadcast(left: DataFrame, right: DataFrame, key: str, max_rows: int = 100_000) -> DataFrame:
-    """The same, broadcasting the right side's keys when there are at most ``max_rows`` of them.
+def _broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark for broadcast when there are at most ``max_rows`` rows; otherwise the planner decides.
 
-    The count stops at the bound. A larger right side is left to the planner.
+    Counting stops at the bound.
     """
-    keys = right.select(key)
-    small = keys.limit(max_rows + 1).count() <= max_rows
-    return left.join(F.broadcast(keys) if small else keys, key).select(left["*"])
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def join_broadcast(left: DataFrame, right: DataFrame, key: str, max_rows: int = 100_000) -> DataFrame:
+    """The same, broadcasting the right side's keys when there are at most ``max_rows`` of them."""
+    return left.join(_broadcast_up_to(right.select(key), max_rows), key).select(left["*"])
+
+
+def anti_join_broadcast(left: DataFrame, right: DataFrame, key: str, max_rows: int = 100_000) -> DataFrame:
+    """Left rows whose key does not occur on the right. Up to ``max_rows`` right rows, the left side stays where it is."""
+    return left.join(_broadcast_up_to(right.select(key), max_rows), key, "left_anti")
 
 
 def semi_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

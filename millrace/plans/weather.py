@@ -12,7 +12,14 @@ from millrace.plans.common import built_once
 from millrace.sources.csv import csv_view, read_csv_directory
 from millrace.sources.tables import fixture
 from millrace.streaming.csv_ingest import ingest_csv, read_ingested
-from millrace.streaming.medallion import run_bronze, run_silver, run_violation_log, total_violations
+from millrace.streaming.medallion import (
+    gold_from_totals,
+    run_bronze,
+    run_silver,
+    run_totals_log,
+    run_violation_log,
+    total_violations,
+)
 from millrace.workspace import fresh_dir
 
 # Column and constraint names of the observation tables.
@@ -144,6 +151,12 @@ def gold_after_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(refresh_view(gold, "observation_gold", fresh_dir(spark, "gold")))
 
 
+def gold_from_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, checkpoint = fresh_dir(spark, "totals"), fresh_dir(spark, "totals-checkpoint")
+    run_totals_log(spark, _silver(spark, sf_dir), log, checkpoint, DAY, AREA_2, TEMPERATURE)
+    return _rounded(gold_from_totals(spark, log))
+
+
 def csv_merge_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases come in files with another column order and one more column, in a second round."""
     rows = observations(spark, sf_dir)
@@ -177,6 +190,7 @@ QUERIES = {
     "stream_silver_from_bronze": stream_silver_from_bronze,
     "stream_violation_counts": stream_violation_counts,
     "gold_after_streams": gold_after_streams,
+    "gold_from_new_rows": gold_from_new_rows,
 }
 
 _ALL_ROWS = f"SELECT event_id, ymd, area_1, area_2, temp FROM ({_OBSERVATIONS_SQL})"
@@ -219,4 +233,5 @@ ORACLES = {
     "stream_silver_from_bronze": _SILVER_ROWS,
     "stream_violation_counts": _VIOLATIONS,
     "gold_after_streams": _GOLD,
+    "gold_from_new_rows": _GOLD,
 }

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.changes import BEFORE_UPDATE, DELETE, INSERT, changed_keys, snapshot_changes
+from millrace.operators.joins import anti_join_broadcast
 from millrace.operators.tables import replace_table
 from millrace.operators.vectors import Embedder, embed_text
 from millrace.streaming.medallion import stream_table
@@ -27,12 +28,18 @@ def content_digest(content: Column) -> Column:
     return F.coalesce(F.sha2(content, 256), F.lit("none"))
 
 
-def current_index(log: DataFrame) -> DataFrame:
+def current_index(log: DataFrame, compacted: int | None = None) -> DataFrame:
     """Latest row per document, without deleted ones.
 
     The rank filter also runs before the shuffle, so a document with very many versions sends one
-    row per task.
+    row per task. When the log was compacted up to a version, rows up to there are one per document:
+    only newer rows are ranked, and compacted rows stay where they are unless a newer row replaces
+    them.
     """
+    if compacted is not None:
+        newer = log.filter(F.col("commit_version") > compacted)
+        base = anti_join_broadcast(log.filter(F.col("commit_version") <= compacted), newer, KEY)
+        return base.drop("change_type").unionByName(current_index(newer))
     newest = Window.partitionBy(KEY).orderBy(F.desc("commit_version"))
     ranked = log.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") == 1)
     return ranked.filter(F.col("change_type") != DELETE).drop("_rank", "change_type")
@@ -49,7 +56,12 @@ def _log_rows(changes: DataFrame, embed: Embedder) -> DataFrame:
 
 
 def sync_index(
-    spark: SparkSession, documents: DataFrame, log_path: str, version: int, embed: Embedder = embed_text
+    spark: SparkSession,
+    documents: DataFrame,
+    log_path: str,
+    version: int,
+    embed: Embedder = embed_text,
+    compacted: int | None = None,
 ) -> None:
     """Bring the index up to a snapshot of the document table.
 
@@ -63,7 +75,7 @@ def sync_index(
         wanted = documents.select(KEY, content_digest(F.coalesce("content", F.lit(""))).alias("content_digest"))
         earlier = spark.read.parquet(log_path).filter(F.col("commit_version") < version)
         kinds = replace_table(
-            changed_keys(current_index(earlier), wanted, KEY, "content_digest"), fresh_dir(spark, "changed-keys")
+            changed_keys(current_index(earlier, compacted), wanted, KEY, "content_digest"), fresh_dir(spark, "changed-keys")
         )
         changed = documents.join(kinds, KEY)
         removed = kinds.filter(F.col("change_type") == DELETE)
@@ -92,7 +104,10 @@ def run_index_sync(
 
 
 def compact_index(spark: SparkSession, log_path: str, target: str) -> DataFrame:
-    """Write the current rows as a new log at ``target``."""
+    """Write the current rows as a new log at ``target``.
+
+    Pass the newest version it holds to :func:`current_index` as ``compacted``.
+    """
     current = current_index(spark.read.parquet(log_path)).withColumn("change_type", F.lit(INSERT))
     current.select(*LOG_COLUMNS).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.aggregates import average_of_totals, monthly_totals
 from millrace.operators.quality import Constraint, count_violations, drop_violations
 from millrace.sources.csv import stream_csv_directory
 from millrace.streaming.run import FILES_PER_BATCH, append_table, drain, each_batch
@@ -63,3 +64,31 @@ def run_violation_log(
 def total_violations(spark: SparkSession, log: str) -> DataFrame:
     """Violations per constraint over all batches."""
     return spark.read.parquet(log).groupBy("constraint_name").agg(F.sum("violations").alias("violations"))
+
+
+def run_totals_log(
+    spark: SparkSession,
+    silver: str,
+    log: str,
+    checkpoint: str,
+    moment: str,
+    area: str,
+    value: str,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> None:
+    """Write each batch's monthly totals to ``log/batch=<id>``.
+
+    The gold table is then an aggregate over the few rows of the log: a refresh reads what is new in
+    silver instead of all of it.
+    """
+
+    def record(batch: DataFrame, batch_id: int) -> None:
+        totals = monthly_totals(batch, moment, area, value)
+        totals.coalesce(1).write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+
+    drain(each_batch(stream_table(spark, silver, files_per_batch), checkpoint, record))
+
+
+def gold_from_totals(spark: SparkSession, log: str) -> DataFrame:
+    """Monthly averages over all batches so far."""
+    return average_of_totals(spark.read.parquet(log))

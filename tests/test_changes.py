@@ -13,7 +13,7 @@ from millrace.streaming.index_sync import (
     run_index_sync,
     sync_index,
 )
-from tests.conftest import rows
+from tests.conftest import physical_plan, rows
 
 SCHEMA = "document_id string, original_url string, content string"
 
@@ -98,6 +98,22 @@ def test_triggered_sync_from_the_change_feed(spark, tmp_path):
     assert compacted.count() == 2 and contents(current_index(compacted)) == [("a", 2, 3.0), ("c", 1, 1.0)]
 
 
+def test_reading_a_compacted_log_ranks_newer_rows_only(spark, tmp_path):
+    log, target = str(tmp_path / "log"), str(tmp_path / "compacted")
+    sync_index(spark, snapshot(spark, ("a", "x"), ("b", "yy"), ("c", "zzz")), log, 0, embed_length)
+    sync_index(spark, snapshot(spark, ("a", "x"), ("b", "y"), ("c", "zzz")), log, 1, embed_length)
+    base = compact_index(spark, log, target)
+    newer = spark.createDataFrame(
+        [("a", 2, "delete", "d", None), ("b", 2, "update_postimage", "d", [7.0]), ("b", 3, "update_postimage", "e", [8.0])],
+        base.schema,
+    )
+    log_now = base.unionByName(newer)
+    assert contents(current_index(log_now, compacted=1)) == [("b", 3, 8.0), ("c", 0, 3.0)]
+    assert contents(current_index(log_now, compacted=1)) == contents(current_index(log_now))
+    assert contents(current_index(base, compacted=1)) == contents(current_index(base))
+    assert "BroadcastHashJoin LeftAnti" in physical_plan(current_index(log_now, compacted=1))
+
+
 def test_a_document_with_very_many_versions(spark):
     log = spark.range(3_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("document_id"),
@@ -107,6 +123,4 @@ def test_a_document_with_very_many_versions(spark):
     current = current_index(log)
     assert current.count() == 2_001
     assert current.filter("document_id = 'hot'").first().commit_version == 2_997
-    from tests.conftest import physical_plan
-
     assert "WindowGroupLimit" in physical_plan(current)

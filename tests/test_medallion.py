@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import types as T
 
-from millrace.operators.aggregates import monthly_average
+from millrace.operators.aggregates import average_of_totals, monthly_average, monthly_totals
 from millrace.operators.quality import Constraint
 from millrace.sources.csv import (
     csv_layouts,
@@ -17,7 +17,14 @@ from millrace.sources.csv import (
     wider_type,
 )
 from millrace.streaming.csv_ingest import ingest_csv, read_ingested
-from millrace.streaming.medallion import run_bronze, run_silver, run_violation_log, total_violations
+from millrace.streaming.medallion import (
+    gold_from_totals,
+    run_bronze,
+    run_silver,
+    run_totals_log,
+    run_violation_log,
+    total_violations,
+)
 from tests.conftest import rows
 
 TEMPERATURE = "平均気温（℃）計測値"
@@ -39,14 +46,15 @@ def test_types_and_multi_byte_column_names_are_inferred(spark, tmp_path):
 
 def test_two_rounds_take_in_new_files_only(spark, tmp_path):
     folder = tmp_path / "in"
-    bronze, silver, log = (str(tmp_path / n) for n in ("bronze", "silver", "log"))
-    checkpoints = {n: str(tmp_path / f"{n}-checkpoint") for n in ("bronze", "silver", "log")}
+    bronze, silver, log, totals = (str(tmp_path / n) for n in ("bronze", "silver", "log", "totals"))
+    checkpoints = {n: str(tmp_path / f"{n}-checkpoint") for n in ("bronze", "silver", "log", "totals")}
     schema = f"ymd date, area_2 string, `{TEMPERATURE}` double"
 
     def run():
         run_bronze(spark, str(folder), schema, bronze, checkpoints["bronze"])
         run_silver(spark, bronze, silver, checkpoints["silver"], CONSTRAINTS)
         run_violation_log(spark, bronze, log, checkpoints["log"], CONSTRAINTS)
+        run_totals_log(spark, silver, totals, checkpoints["totals"], "ymd", "area_2", TEMPERATURE)
 
     put(folder, "a.csv", f"ymd,area_2,{TEMPERATURE}\n2024-01-02,x,1\n2024-01-03,,2\n")
     run()
@@ -58,6 +66,7 @@ def test_two_rounds_take_in_new_files_only(spark, tmp_path):
     assert rows(total_violations(spark, log)) == [("area", 1), ("day", 1)]
     gold = monthly_average(spark.read.parquet(silver), "ymd", "area_2", TEMPERATURE)
     assert rows(gold) == [("2024-01", "x", 2.5), ("2024-02", "x", 7.0)]
+    assert rows(gold_from_totals(spark, totals)) == rows(gold)
 
 
 def test_month_of_dates_and_timestamps(spark):
@@ -67,6 +76,15 @@ def test_month_of_dates_and_timestamps(spark):
     assert [monthly_average(frame, c, "area", "v").first().ym for c in "tnd"] == ["2024-12", "2025-01", "2023-02"]
 
 
+def test_averages_of_totals_skip_nulls(spark):
+    frame = spark.sql(
+        "SELECT * FROM VALUES (date'2024-01-05', 'x', 1.0D), (date'2024-01-06', 'x', NULL), (date'2024-01-07', 'y', NULL) AS t(d, a, v)"
+    )
+    totals = monthly_totals(frame.limit(0), "d", "a", "v").union(monthly_totals(frame, "d", "a", "v"))
+    assert rows(average_of_totals(totals)) == rows(monthly_average(frame, "d", "a", "v"))
+    assert rows(average_of_totals(totals)) == [("2024-01", "x", 1.0), ("2024-01", "y", None)]
+
+
 def test_a_column_named_area_is_not_mistaken_for_the_alias(spark):
     frame = spark.sql("SELECT date'2024-01-01' AS ymd, 'wrong' AS area, 'right' AS area_2, 3.0D AS v")
     assert rows(monthly_average(frame, "ymd", "area_2", "v")) == [("2024-01", "right", 3.0)]
