@@ -25,6 +25,10 @@ FNV64_BASIS = 0xCBF29CE484222325
 FNV64_PRIME = 0x100000001B3
 FNV64_PRIME_LOW = 435
 LOW_32_BITS = 0xFFFFFFFF
+ALL_64_BITS = 0xFFFFFFFFFFFFFFFF
+
+# Rows left in a batch from which on bytes are folded row by row.
+FEW_ROWS = 16
 
 
 def _fnv_of_bytes(low_byte_at: Callable[[int], Column], width: int) -> Column:
@@ -81,11 +85,19 @@ def fnv_hash_str(values: pa.Array) -> pa.Array:
     starts, ordered = bounds[:-1][order], lengths[order]
     state = np.full(count, FNV64_BASIS, np.uint64)
     prime = np.uint64(FNV64_PRIME)
+    # number of rows longer than each position, until few are left: from there on plain integers
+    # per row are faster than very short vectors
+    few = min(FEW_ROWS, count)
     active = count
-    for position in range(int(ordered[0])):
+    for position in range(int(ordered[few - 1])):
         while ordered[active - 1] <= position:
             active -= 1
         state[:active] = (state[:active] ^ data[starts[:active] + position]) * prime
+    for row in range(few):
+        value = int(state[row])
+        for byte in data[starts[row] + ordered[few - 1] : starts[row] + ordered[row]].tobytes():
+            value = ((value ^ byte) * FNV64_PRIME) & ALL_64_BITS
+        state[row] = value
     hashes = np.empty_like(state)
     hashes[order] = state
     missing = np.asarray(values.is_null().to_numpy(zero_copy_only=False))

@@ -42,6 +42,13 @@ def score_rows(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return scored.drop("_features", "_class", "rawPrediction", "probability")
 
 
+def score_struct(model: PipelineModel, rows: DataFrame, packed: str) -> DataFrame:
+    """The same for rows whose features are the fields of one struct column, which is kept."""
+    fields = rows.schema[packed].dataType.names
+    scored = score_rows(model, rows.select("*", *(F.col(f"{packed}.{name}").alias(name) for name in fields)))
+    return scored.drop(*fields)
+
+
 def holdout_score(scored: DataFrame, label: str) -> DataFrame:
     """Share of rows whose predicted label is the true one."""
     hit = (F.col("predicted") == F.col(label)).cast("double")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.features import OneHot, Standardiser, row_bucket, split_by_key
-from millrace.operators.forest import fit_forest, holdout_score, score_rows
+from millrace.operators.forest import fit_forest, holdout_score, score_rows, score_struct
 from millrace.plans.common import built_once
 from millrace.sources.tables import fixture
 
@@ -59,20 +59,26 @@ def feature_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(*KEYS, *(F.col(f"features.{c}").alias(c) for c in FEATURES))
 
 
-def _scored_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test rows scored by the stored model, which is trained when first asked for."""
+def _model_and_test_rows(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
+    """The stored model, trained when first asked for, and the rows it has not seen."""
     train, test = split_by_key(feature_rows(spark, sf_dir), "l_orderkey", "l_linenumber")
     scaler = Standardiser.fit(train, FEATURES)
 
     def build(path: str) -> None:
         fit_forest(scaler.transform(train), FEATURES, TARGET).write().save(path)
 
-    model = PipelineModel.load(built_once(spark, sf_dir, "forest", build))
-    return score_rows(model, scaler.transform(test))
+    return PipelineModel.load(built_once(spark, sf_dir, "forest", build)), scaler.transform(test)
+
+
+def _scored_test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_rows(*_model_and_test_rows(spark, sf_dir))
 
 
 def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _scored_test_rows(spark, sf_dir)
+    """Scored from one struct column, as a model function of a struct would be."""
+    model, test = _model_and_test_rows(spark, sf_dir)
+    packed = test.select(*KEYS, TARGET, F.struct(*FEATURES).alias("features"))
+    scored = score_struct(model, packed, "features")
     return scored.select(*KEYS, TARGET, "prediction", "prediction_converted", "predicted")
 
 

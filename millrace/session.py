@@ -15,6 +15,8 @@ SETTINGS = {
     # split a hot join key even where that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # fewer, longer scan tasks; shuffle partitions follow the advisory size above
+    "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.cbo.enabled": "true",
     "spark.sql.cbo.joinReorder.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
@@ -42,7 +44,7 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     # Listing many single files starts a task per file unless told otherwise.
-    tasks = max(64, 4 * spark.sparkContext.defaultParallelism)
+    tasks = min(10_000, max(64, 4 * spark.sparkContext.defaultParallelism))
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(tasks))
     return spark
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.operators.changes import changed_keys, snapshot_changes
@@ -44,6 +46,23 @@ def test_changes_compare_nulls(spark):
     ]
 
 
+_ROWS = st.dictionaries(st.integers(0, 8), st.tuples(st.none() | st.integers(0, 2), st.none() | st.sampled_from("ab")))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(before=_ROWS, after=_ROWS)
+def test_changes_lead_from_one_snapshot_to_the_other(spark, before, after):
+    def table(content):
+        return spark.createDataFrame([(k, *v) for k, v in content.items()], "k int, v int, w string")
+
+    expected = [("delete", k, *before[k]) for k in before.keys() - after.keys()]
+    expected += [("insert", k, *after[k]) for k in after.keys() - before.keys()]
+    for k in before.keys() & after.keys():
+        if before[k] != after[k]:
+            expected += [("update_preimage", k, *before[k]), ("update_postimage", k, *after[k])]
+    assert rows(snapshot_changes(table(before), table(after), "k")) == sorted(expected, key=repr)
+
+
 def test_changes_with_two_keys_and_no_other_columns(spark):
     before = spark.createDataFrame([(1, "a"), (1, "b")], "k int, l string")
     after = spark.createDataFrame([(1, "b"), (2, "b")], "k int, l string")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.features import OneHot, Standardiser, split_by_key
-from millrace.operators.forest import fit_forest, holdout_score, score_rows
+from millrace.operators.forest import fit_forest, holdout_score, score_rows, score_struct
 from tests.conftest import rows
 
 
@@ -64,4 +64,8 @@ def test_forest_learns_scores_and_decodes(spark, tmp_path):
     assert row.prediction_converted == 1 and row.predicted == "y"
     assert len(row.prediction) == 3 and abs(sum(row.prediction) - 1) < 1e-5
     assert dict(scored.dtypes)["prediction"] == "array<float>"
+    packed = frame.select("c", F.struct("f1", "f2").alias("features"))
+    from_struct = score_struct(model, packed, "features")
+    assert from_struct.columns == ["c", "features", "predicted", "prediction", "prediction_converted"]
+    assert rows(from_struct.select("features.f1", "predicted")) == rows(score_rows(model, frame).select("f1", "predicted"))
     assert holdout_score(score_rows(model, frame), "label").first().score > 0.95

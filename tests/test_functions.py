@@ -67,6 +67,15 @@ def test_text_hash_of_a_long_text_next_to_short_ones(spark):
     assert [r[0] for r in one(spark, texts, "v string", fnv_hash_str("v"))] == [fnv(t.encode()) for t in texts]
 
 
+def test_text_hashes_of_a_batch_with_a_long_tail(spark):
+    random.seed(11)
+    texts = ["ab" * random.randint(0, 40) for _ in range(300)] + ["é" * n for n in range(0, 4000, 97)] + [None] * 20
+    random.shuffle(texts)
+    frame = spark.createDataFrame([(t,) for t in texts], "v string").coalesce(1)
+    found = [r[0] for r in frame.select(fnv_hash_str("v")).collect()]
+    assert found == [None if t is None else fnv(t.encode()) for t in texts]
+
+
 def test_hashes_from_sql(spark):
     register_functions(spark)
     row = spark.sql("SELECT fnv_hash_int4(123), fnv_hash_int8(123L), fnv_hash_str('a'), fnv_hash_int8(NULL)").first()
