@@ -6,6 +6,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Rows per file of a clustered table: a few hundred MB of ordinary rows.
+ROWS_PER_FILE = 4_000_000
+
+
+def files_for(spark: SparkSession, rows: int, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """How many files a clustered table of ``rows`` rows gets, at least one per shuffle partition.
+
+    Range partitions are not split at run time, so for a large table their number follows its size
+    and not the session's setting.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_file))
+
+
 def clustered(df: DataFrame, *keys: str | Column, files: int | None = None) -> DataFrame:
     """Rows arranged so that each written file holds a narrow range of ``keys``.
 
@@ -24,23 +37,29 @@ def clustered(df: DataFrame, *keys: str | Column, files: int | None = None) -> D
     return ranged.sortWithinPartitions(*order)
 
 
-def replace_table(df: DataFrame, path: str, cluster_by: tuple[str | Column, ...] = ()) -> DataFrame:
+def replace_table(
+    df: DataFrame, path: str, cluster_by: tuple[str | Column, ...] = (), files: int | None = None
+) -> DataFrame:
     """Write ``df`` to ``path`` in place of what is there and return the table read back.
 
     ``df`` must not read from ``path``; to rewrite a table from itself write to a new path.
     """
     if cluster_by:
-        df = clustered(df, *cluster_by)
+        df = clustered(df, *cluster_by, files=files)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def replace_catalog_table(
-    df: DataFrame, name: str, path: str | None = None, cluster_by: tuple[str | Column, ...] = ()
+    df: DataFrame,
+    name: str,
+    path: str | None = None,
+    cluster_by: tuple[str | Column, ...] = (),
+    files: int | None = None,
 ) -> DataFrame:
     """The same for a named table. With ``path`` its files live there instead of the warehouse."""
     if cluster_by:
-        df = clustered(df, *cluster_by)
+        df = clustered(df, *cluster_by, files=files)
     writer = df.write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", path)

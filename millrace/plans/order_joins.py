@@ -19,7 +19,7 @@ from millrace.operators.joins import (
     semi_join_pruned,
 )
 from millrace.operators.statistics import analyze_table
-from millrace.operators.tables import clustered, replace_table
+from millrace.operators.tables import files_for, replace_table
 from millrace.plans.common import built_once, stored_path
 from millrace.session import session_with
 from millrace.sources.tables import fixture
@@ -59,8 +59,11 @@ def stored_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with stored keys, laid out by key."""
 
     def build(path: str) -> None:
-        check_key_space(fixture(spark, sf_dir, "lineitem"), "l_orderkey", COPIES, STRIDE, KEY_WIDTH)
-        replace_table(lineitem_orig(spark, sf_dir), path, cluster_by=(F.col("l_orderkey") + F.col("id"),))
+        source = fixture(spark, sf_dir, "lineitem")
+        check_key_space(source, "l_orderkey", COPIES, STRIDE, KEY_WIDTH)
+        number = F.col("l_orderkey") + F.col("id")
+        files = files_for(spark, source.count() * COPIES)
+        replace_table(lineitem_orig(spark, sf_dir), path, cluster_by=(number,), files=files)
 
     return spark.read.parquet(built_once(spark, sf_dir, "lineitem-orig", build))
 
@@ -69,8 +72,11 @@ def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with stored keys, laid out by key."""
 
     def build(path: str) -> None:
-        check_key_space(fixture(spark, sf_dir, "orders"), "o_orderkey", COPIES, STRIDE, KEY_WIDTH)
-        replace_table(orders_orig(spark, sf_dir), path, cluster_by=(F.col("o_orderkey") + F.col("id"),))
+        source = fixture(spark, sf_dir, "orders")
+        check_key_space(source, "o_orderkey", COPIES, STRIDE, KEY_WIDTH)
+        number = F.col("o_orderkey") + F.col("id")
+        files = files_for(spark, source.count() * COPIES)
+        replace_table(orders_orig(spark, sf_dir), path, cluster_by=(number,), files=files)
 
     return spark.read.parquet(built_once(spark, sf_dir, "orders-orig", build))
 
@@ -248,7 +254,8 @@ def clustered_by_heavy_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster by a column with three values, each a third of the rows, and read one of them back."""
 
     def build(path: str) -> None:
-        replace_table(clustered(fixture(spark, sf_dir, "lineitem"), "l_returnflag"), path)
+        source = fixture(spark, sf_dir, "lineitem")
+        replace_table(source, path, cluster_by=("l_returnflag",), files=files_for(spark, source.count()))
 
     rows = spark.read.parquet(built_once(spark, sf_dir, "lineitem-by-flag", build))
     returned = rows.filter(F.col("l_returnflag") == "R")

@@ -12,6 +12,7 @@ from millrace.operators.preview import preview
 from millrace.operators.statistics import analyze_table, column_profile, distinct_counts, stored_statistics
 from millrace.operators.tables import (
     clustered,
+    files_for,
     refresh_view,
     replace_catalog_table,
     replace_table,
@@ -59,6 +60,13 @@ def test_a_heavy_key_is_spread_over_several_files(spark, tmp_path):
     assert sum(low == -1 for low, *_ in ranges) >= 3
 
 
+def test_number_of_files_follows_the_rows(spark):
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert files_for(spark, 10) == partitions
+    assert files_for(spark, 10**12) == 250_000
+    assert files_for(spark, 101, rows_per_file=10) == 11
+
+
 def test_replacing(spark, tmp_path):
     path = str(tmp_path / "t")
     replace_table(spark.range(3), path)
