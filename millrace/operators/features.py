@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,10 +17,32 @@ def row_bucket(*keys: Column, buckets: int = 100) -> Column:
     return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % buckets).cast("int")
 
 
+def split_side(*keys: str, train_percent: int = 75) -> Column:
+    """``train`` or ``test``. The same row lands on the same side in every run and partitioning."""
+    return F.when(row_bucket(*(F.col(key) for key in keys)) < train_percent, "train").otherwise("test")
+
+
 def split_by_key(df: DataFrame, *keys: str, train_percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows. The same row lands on the same side in every run and partitioning."""
-    bucket = row_bucket(*(F.col(key) for key in keys))
-    return df.filter(bucket < train_percent), df.filter(bucket >= train_percent)
+    """Training and test rows."""
+    side = split_side(*keys, train_percent=train_percent)
+    return df.filter(side == "train"), df.filter(side == "test")
+
+
+def store_split(df: DataFrame, path: str, *keys: str, train_percent: int = 75) -> tuple[DataFrame, DataFrame]:
+    """Write the rows once, a folder per side, and return both sides read back.
+
+    Fitting passes over the training rows many times; each pass then reads one narrow folder instead
+    of the wide source with a digest per row.
+    """
+    side = split_side(*keys, train_percent=train_percent)
+    df.withColumn("side", side).write.mode("overwrite").partitionBy("side").parquet(path)
+    return read_split(df.sparkSession, path)
+
+
+def read_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of a stored split."""
+    stored = spark.read.parquet(path)
+    return tuple(stored.filter(F.col("side") == side).drop("side") for side in ("train", "test"))
 
 
 @dataclass(frozen=True)

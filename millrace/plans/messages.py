@@ -19,7 +19,7 @@ VALUE_SCHEMA = "event_id bigint, event_type string, value double, props string"
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users are spread over the partitions; within a partition offsets grow but have gaps."""
-    return fixture(spark, sf_dir, "events").select(
+    return fixture(spark, sf_dir, "events", heavy=True).select(
         F.encode(F.col("user_id").cast("string"), "UTF-8").alias("key"),
         F.encode(F.to_json(F.struct("event_id", "event_type", "value", "props")), "UTF-8").alias("value"),
         F.lit(TOPIC).alias("topic"),

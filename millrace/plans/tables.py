@@ -62,12 +62,12 @@ def number_range_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return column_profile(fixture(spark, sf_dir, "orders"), exact=True)
+    return column_profile(fixture(spark, sf_dir, "orders", heavy=True), exact=True)
 
 
 def profile_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one-pass profile; its distinct counts are estimates and are left out of the comparison."""
-    return column_profile(fixture(spark, sf_dir, "orders")).drop("distinct_values")
+    return column_profile(fixture(spark, sf_dir, "orders", heavy=True)).drop("distinct_values")
 
 
 def table_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,12 +6,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.features import OneHot, Standardiser, row_bucket, split_by_key
+from millrace.operators.features import OneHot, Standardiser, read_split, split_side, store_split
 from millrace.operators.forest import fit_forest, holdout_score, score_rows, score_struct
 from millrace.plans.common import built_once
 from millrace.sources.tables import fixture
 
 FEATURES = ["f1", "f2", "f3", "f4"]
+SPLIT_KEYS = ["l_orderkey", "l_linenumber"]
 TARGET = "l_returnflag"
 LABELS = ("A", "N", "R")
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -30,16 +31,20 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = feature_rows(spark, sf_dir)
-    bucket = row_bucket(F.col("l_orderkey"), F.col("l_linenumber"))
-    return rows.select(*KEYS, F.when(bucket < 75, "train").otherwise("test").alias("side"))
+    return feature_rows(spark, sf_dir).select(*KEYS, split_side(*SPLIT_KEYS).alias("side"))
+
+
+def _stored_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    def build(path: str) -> None:
+        store_split(feature_rows(spark, sf_dir), path, *SPLIT_KEYS)
+
+    return read_split(spark, built_once(spark, sf_dir, "features", build))
 
 
 def standardised_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted on the training rows, applied to all."""
-    rows = feature_rows(spark, sf_dir)
-    train, _ = split_by_key(rows, "l_orderkey", "l_linenumber")
-    scaled = Standardiser.fit(train, FEATURES).transform(rows)
+    train, test = _stored_split(spark, sf_dir)
+    scaled = Standardiser.fit(train, FEATURES).transform(train.unionByName(test))
     return scaled.select(*KEYS, *(F.round(c, DECIMALS).alias(c) for c in FEATURES))
 
 
@@ -61,7 +66,7 @@ def feature_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _model_and_test_rows(spark: SparkSession, sf_dir: str) -> tuple[PipelineModel, DataFrame]:
     """The stored model, trained when first asked for, and the rows it has not seen."""
-    train, test = split_by_key(feature_rows(spark, sf_dir), "l_orderkey", "l_linenumber")
+    train, test = _stored_split(spark, sf_dir)
     scaler = Standardiser.fit(train, FEATURES)
 
     def build(path: str) -> None:

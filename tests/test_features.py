@@ -6,18 +6,21 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.features import OneHot, Standardiser, split_by_key
+from millrace.operators.features import OneHot, Standardiser, split_by_key, store_split
 from millrace.operators.forest import fit_forest, holdout_score, score_rows, score_struct
-from tests.conftest import rows
+from tests.conftest import physical_plan, rows
 
 
-def test_split_does_not_depend_on_the_partitioning(spark):
+def test_split_does_not_depend_on_the_partitioning(spark, tmp_path):
     frame = spark.range(4_000).withColumn("line", F.col("id") % 7)
     train, test = split_by_key(frame, "id", "line")
     assert train.count() + test.count() == 4_000 and train.intersect(test).count() == 0
     assert 0.72 < train.count() / 4_000 < 0.78
     again, _ = split_by_key(frame.repartition(3), "id", "line")
     assert rows(again) == rows(train)
+    stored = store_split(frame, str(tmp_path / "split"), "id", "line")
+    assert [rows(side) for side in stored] == [rows(train), rows(test)]
+    assert "PartitionFilters: [isnotnull(side" in physical_plan(stored[0])
 
 
 def test_standardising_uses_the_population_deviation(spark):
