@@ -3,19 +3,46 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm.common import stage
+from millrace.llm.mixing import mixture
+from millrace.llm.quality import measured, rungs_for, verdicts
 from millrace.llm.simhash import near_duplicate_groups
+from millrace.llm.spaced_seeds import contaminated
 from millrace.sources.tables import fixture
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict for every document; cutoffs from the labels, one rung per language."""
+    measures = stage(measured(fixture(spark, sf_dir, "documents")), "quality-measures")
+    judged = verdicts(measures, rungs_for(measures, fixture(spark, sf_dir, "labels")))
+    counts = [F.col(f"measures.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return judged.select("doc_id", *counts, "base_failed", "kept")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document, links at 4 or fewer differing bits."""
     groups = near_duplicate_groups(fixture(spark, sf_dir, "documents"), distance=4, shingle=4)
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mixture takes from every document."""
+    mix = mixture(fixture(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, cap=2)
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item of which it holds a passage."""
+    return contaminated(fixture(spark, sf_dir, "documents"), fixture(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op8_mixing": op8_mixing,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
