@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,26 @@ from millrace.llm.mixing import mixture
 from millrace.llm.quality import measured, rungs_for, verdicts
 from millrace.llm.simhash import near_duplicate_groups
 from millrace.llm.spaced_seeds import contaminated
+from millrace.llm.token_store import document_digests
 from millrace.sources.tables import fixture
 
+# A public tokenizer's file; another place is given by this variable.
+TOKENIZER = os.environ.get("MILLRACE_TOKENIZER", "word_bpe_49k.json")
+
+
+def tokenizer_path() -> str:
+    """Where the tokenizer's file lies: a path as it is, a plain name among the installed public tokenizers."""
+    if os.sep in TOKENIZER:
+        return TOKENIZER
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER))
+
+
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, read back from the coded files."""
+    return document_digests(fixture(spark, sf_dir, "documents"), tokenizer_path())
+
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict for every document; cutoffs from the labels, one rung per language."""
@@ -39,6 +59,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES = {
+    "op1_token_ids": op1_token_ids,
     "op2_quality_rules": op2_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op8_mixing": op8_mixing,
