@@ -29,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a > b").distinct()
+        large = large.filter("a > b")
         # small star: a node and its smaller neighbours go to the smallest of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(

@@ -78,7 +78,7 @@ def pieces_for(count: int, distance: int) -> int:
     Every choice finds the same links; this only trades rows in the block table for chance meetings.
     """
     pieces = distance + 2
-    while pieces < distance + 6 and BITS * (pieces - distance) // pieces <= count.bit_length():
+    while pieces < distance + 6 and BITS * (pieces - distance) // pieces < count.bit_length() + 6:
         pieces += 1
     return pieces
 
@@ -90,11 +90,12 @@ def _near(a: Column, b: Column, distance: int) -> Column:
 def linked_fingerprints(prints: DataFrame, distance: int = 4) -> DataFrame:
     """``(fp, root)``: connected components of the distinct fingerprints ``(fp, n)`` that differ in ``distance`` bits at most.
 
-    No group of a block is paired with itself. Rounds of one comparison per member first tie each
-    block's members to a leader of the block, which merges dense groups. Then, per block, only
-    members outside the block's largest component are compared with all members: a dense group of
-    any size is one component by then and costs nothing. The last comparison is complete, so no link
-    between different components is missed, whatever the rounds found.
+    No group of a block is paired with itself. First every member of a block is compared with the
+    block's leader, its most frequent fingerprint, which ties dense groups together. Then, per block,
+    only members not tied to the leader are compared with all members: a dense group of any size is
+    tied by then and costs nothing. Where that would still be much work, a new leader is taken from
+    the members left over, as often as it helps. The last comparison is complete, so no link between
+    members not tied already is missed, whatever the rounds before found.
     """
     count = prints.count()
     masks = block_masks(pieces_for(count, distance), distance)
@@ -102,50 +103,41 @@ def linked_fingerprints(prints: DataFrame, distance: int = 4) -> DataFrame:
         *[F.struct(F.lit(i).alias("no"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)]
     )
     keyed = prints.select("fp", "n", F.explode(blocks).alias("block")).select("fp", "n", "block.no", "block.key")
-    shared = keyed.groupBy("no", "key").agg(F.count("*").alias("size")).filter("size > 1").select("no", "key")
+    shared = keyed.groupBy("no", "key").agg(F.count("*").alias("size"), F.max(F.struct("n", "fp")).alias("leader"))
+    shared = shared.filter("size > 1").select("no", "key", "size", F.col("leader.fp").alias("leader"))
     members = stage(keyed.join(shared, ["no", "key"]), "simhash-blocks")
 
-    roots = prints.select("fp", F.col("fp").alias("root"))
-    edges = None
-    pairs = None
+    near_leader = (F.col("fp") != F.col("leader")) & _near(F.col("fp"), F.col("leader"), distance)
+    edges = members.filter(near_leader).select(F.col("fp").alias("a"), F.col("leader").alias("b"))
+    done = None
     while True:
-        rooted = members.join(roots, "fp")
-        by_root = rooted.groupBy("no", "key", "root").agg(
-            F.count("*").alias("c"), F.max(F.struct("n", "fp")).alias("top")
+        # tied: members whose best leader is the same one
+        weights = prints.select(F.col("fp").alias("b"), F.col("n").alias("weight"))
+        tied = edges.distinct().join(weights, "b").groupBy("a").agg(F.max(F.struct("weight", "b")).alias("best"))
+        tied = stage(tied.select("a", F.col("best.b").alias("tie")), "simhash-ties")
+        left = members.join(tied, members["fp"] == tied["a"], "left").select(
+            "no", "key", "fp", "n", "size", "leader", F.coalesce("tie", "fp").alias("tie")
         )
-        mixed = by_root.groupBy("no", "key").agg(
-            F.max(F.struct("c", "root")).alias("main"), F.sum("c").alias("size"), F.count("*").alias("roots")
+        of_leader = tied.select(F.col("a").alias("leader"), F.col("tie").alias("other"))
+        left = left.join(of_leader, "leader", "left").filter(
+            (F.col("tie") != F.col("leader")) & (F.col("tie") != F.coalesce("other", "leader"))
         )
-        mixed = stage(mixed.filter("roots > 1").select("no", "key", "size", F.col("main.root").alias("main"), F.col("main.c").alias("c")), "simhash-mixed")
-        work, blocks_left = mixed.agg(F.sum(F.expr("(size - c) * size")), F.count("*")).first()
-        rooted = rooted.join(mixed.select("no", "key", "main"), ["no", "key"])
-        if not blocks_left:
-            break
-        if edges is not None and (work <= 2 * count or pairs == work):
-            # the complete comparison: members outside the main component against all of the block
-            outside = rooted.filter("root != main").select("no", "key", F.col("fp").alias("a"), F.col("root").alias("ra"))
-            found = outside.join(rooted.select("no", "key", F.col("fp").alias("b"), F.col("root").alias("rb")), ["no", "key"])
-            found = found.filter((F.col("ra") != F.col("rb")) & _near(F.col("a"), F.col("b"), distance))
-            edges = _extended(edges, found.select("a", "b"))
+        left = stage(left.select("no", "key", "fp", "n", "size", "tie"), "simhash-left")
+        work = left.agg(F.sum("size")).first()[0] or 0
+        if work <= 4 * count + 100_000 or (done is not None and 2 * work > done):
+            pairs = left.select("no", "key", F.col("fp").alias("a")).join(
+                members.select("no", "key", F.col("fp").alias("b")), ["no", "key"]
+            )
+            found = pairs.filter((F.col("a") != F.col("b")) & _near(F.col("a"), F.col("b"), distance))
+            edges = edges.unionByName(found.select("a", "b"))
             break
-        pairs = work
-        # a leader per block: of the members outside the main component the most frequent, at first of all
-        candidates = rooted if edges is None else rooted.filter("root != main")
-        leaders = candidates.groupBy("no", "key").agg(F.max(F.struct("n", "fp")).alias("leader"))
-        found = rooted.join(leaders.select("no", "key", F.col("leader.fp").alias("b")), ["no", "key"])
-        found = found.filter((F.col("fp") != F.col("b")) & _near(F.col("fp"), F.col("b"), distance))
-        edges = _extended(edges, found.select(F.col("fp").alias("a"), "b"))
-        roots = _rooted(prints, edges)
-    return prints.select("fp", F.col("fp").alias("root")) if edges is None else _rooted(prints, edges)
-
-
-def _extended(edges: DataFrame | None, found: DataFrame) -> DataFrame:
-    return stage((found if edges is None else edges.unionByName(found)).distinct(), "simhash-links")
-
-
-def _rooted(prints: DataFrame, edges: DataFrame) -> DataFrame:
+        done = work
+        leaders = left.groupBy("no", "key").agg(F.max(F.struct("n", "fp")).alias("leader"))
+        found = members.drop("leader").join(leaders.select("no", "key", F.col("leader.fp").alias("leader")), ["no", "key"])
+        found = found.filter(near_leader).select(F.col("fp").alias("a"), F.col("leader").alias("b"))
+        edges = stage(edges.unionByName(found), "simhash-links")
     joined = prints.join(components(edges), prints["fp"] == F.col("node"), "left")
-    return stage(joined.select("fp", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+    return joined.select("fp", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicate_groups(docs: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
