@@ -7,7 +7,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.chat import CONTROL, digests, log_of, messages, rendered
 from millrace.llm.common import stage
+from millrace.llm.hmm import scored
+from millrace.llm.language import dictionaries, fold, identified
+from millrace.llm.line_dedup import without_shared_lines
 from millrace.llm.mixing import mixture
 from millrace.llm.quality import measured, rungs_for, verdicts
 from millrace.llm.simhash import near_duplicate_groups
@@ -41,12 +45,38 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+# A conversation that says control strings, as in the template of another model.
+TRICKY = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, read back from their rendered form."""
+    conversations = fixture(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(TRICKY, "conv_id bigint, turn bigint, role string, text string")
+    return digests(rendered(messages(log_of(conversations.unionByName(more)))))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document, links at 4 or fewer differing bits."""
     groups = near_duplicate_groups(fixture(spark, sf_dir, "documents"), distance=4, shingle=4)
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that stay in every document, as counts and a digest."""
+    docs = fixture(spark, sf_dir, "documents")
+    return without_shared_lines(docs, min_chars=40, min_docs=5, digest=True)
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document; six of seven folds train the model."""
+    held_out = fold(F.col("doc_id"), 7) == 2
+    found = scored(fixture(spark, sf_dir, "documents"), ~held_out)
+    return found.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mixture takes from every document."""
     mix = mixture(fixture(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, cap=2)
@@ -58,12 +88,24 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(fixture(spark, sf_dir, "documents"), fixture(spark, sf_dir, "benchmark"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; dictionaries come from two thirds of the documents."""
+    docs = fixture(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    contents = dictionaries(docs.filter(~held_out).select("text", "lang"))
+    return identified(docs, contents).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_quality_rules": op2_quality_rules,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_mixing": op8_mixing,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {}
