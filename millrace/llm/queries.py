@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm.chat import CONTROL, digests, log_of, messages, rendered
 from millrace.llm.common import stage
 from millrace.llm.hmm import scored
+from millrace.llm.html_blocks import extracted, trained
 from millrace.llm.language import dictionaries, fold, identified
 from millrace.llm.line_dedup import without_shared_lines
 from millrace.llm.mixing import mixture
@@ -62,6 +63,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = fixture(spark, sf_dir, "pages")
+    return extracted(pages, trained(pages))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that stay in every document, as counts and a digest."""
     docs = fixture(spark, sf_dir, "documents")
@@ -101,6 +108,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_html_extraction": op5_html_extraction,
     "op6_line_dedup": op6_line_dedup,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_mixing": op8_mixing,
