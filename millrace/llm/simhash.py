@@ -174,12 +174,10 @@ def one_per_group(docs: DataFrame, distance: int = 4, shingle: int = 4) -> DataF
     groups = near_duplicate_groups(docs, distance, shingle).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = groups.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("k"), F.count("*").alias("rows"))
     kept = kept.select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_key").alias("kept_key"), "rows")
-    found = docs.join(
-        kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (text_key(F.col("text")) == F.col("kept_key"))
+    # the rows travel as one struct, so their columns may have any names
+    own = docs.select(
+        F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"), text_key(F.col("text")).alias("_key")
     )
-    names = [c for c in docs.columns]
-    single = found.filter("rows = 1").select(*names)
-    repeated = found.filter("rows > 1").groupBy("kept_id", "kept_key").agg(
-        F.min(F.struct(*[F.col(c) for c in names])).alias("row")
-    )
-    return single.unionByName(repeated.select("row.*"))
+    found = own.join(kept, F.col("_id").eqNullSafe(F.col("kept_id")) & (F.col("_key") == F.col("kept_key")))
+    repeated = found.filter("rows > 1").groupBy("kept_id", "kept_key").agg(F.min("_row").alias("_row"))
+    return found.filter("rows = 1").select("_row.*").unionByName(repeated.select("_row.*"))
