@@ -64,7 +64,7 @@ class Vocabulary:
         flat = split.flatten()
         # white space at a text's ends leaves empty strings
         coded = flat.dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         rank = np.fromiter((self.words.get(w, -1) for w in words), dtype=np.int64, count=len(words))
         symbol = np.where((rank >= 0) & (rank < self.own), rank, 0)
         for i in np.flatnonzero((rank < 0) | (rank >= self.own)):
@@ -248,7 +248,7 @@ def vocabulary(counts: DataFrame, known: int = KNOWN_WORDS, own: int = OWN_SYMBO
     def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, tokens = np.zeros(buckets, dtype=np.int64), np.zeros(buckets, dtype=np.int64)
         for batch in batches:
-            for word, c in zip(batch["word"].to_pylist(), batch["c"].to_pylist()):
+            for word, c in zip(batch["word"].to_numpy(zero_copy_only=False).tolist(), batch["c"].to_pylist()):
                 if word not in own_words:
                     b = bucket_of(word, buckets)
                     held[b] += 1
@@ -289,7 +289,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             by_text = sums[offsets[1:]] - sums[offsets[:-1]]
             rows = batch.num_rows
             packed, rare, rare_n = [], [], []
-            values = words.to_pylist()
+            values = words.to_numpy(zero_copy_only=False).tolist()
             for i in range(rows):
                 own = position[offsets[i] : offsets[i + 1]]
                 packed.append(np.append(symbol[own], v.symbols - 1).astype("<u2").tobytes())

@@ -148,7 +148,7 @@ def features(pages: list[list[Block]]) -> tuple[np.ndarray, np.ndarray]:
             paths[i, known[where, level]] = 1
     split = pc.ascii_split_whitespace(pc.utf8_lower(pa.array([b.text for b in blocks], pa.string())))
     coded = split.flatten().dictionary_encode()
-    bucket = np.array([_hash(w, WORD_DIMS) for w in coded.dictionary.to_pylist()], dtype=np.int64)
+    bucket = np.array([_hash(w, WORD_DIMS) for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()], dtype=np.int64)
     lengths = np.diff(np.asarray(split.offsets)).astype(np.int64)
     owner = np.repeat(np.arange(count), lengths)
     flat = bucket[np.asarray(coded.indices)] if len(bucket) else np.empty(0, dtype=np.int64)

@@ -7,13 +7,14 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.chat import CONTROL, digests, log_of, messages, rendered
+from millrace.llm.chat import digests, log_of, messages, rendered
 from millrace.llm.common import stage
 from millrace.llm.hmm import scored
 from millrace.llm.html_blocks import extracted, trained
 from millrace.llm.language import dictionaries, fold, identified
 from millrace.llm.line_dedup import without_shared_lines
 from millrace.llm.mixing import mixture
+from millrace.llm.oracles import CHAT, LINES, OVERLAPS, QUALITY
 from millrace.llm.quality import measured, rungs_for, verdicts
 from millrace.llm.simhash import near_duplicate_groups
 from millrace.llm.spaced_seeds import contaminated
@@ -116,4 +117,10 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+# The others have no SQL; tests/llm compares them with brute force.
+ORACLES = {
+    "op2_quality_rules": QUALITY,
+    "op3_chat_formatting": CHAT,
+    "op6_line_dedup": LINES,
+    "op9_benchmark_decontamination": OVERLAPS,
+}
