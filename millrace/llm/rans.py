@@ -20,7 +20,7 @@ import zlib
 
 import numpy as np
 
-LANES = 1024
+LANES = 2048
 MARK_STEPS = 256
 PRECISION = 22
 _LOW = np.uint64(1 << 31)
