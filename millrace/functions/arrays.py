@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,5 +16,10 @@ def argmax(values: Column) -> Column:
 
 @F.pandas_udf(T.IntegerType())
 def argmax_in_pandas(values: pd.Series) -> pd.Series:
-    """The same by Arrow batch, kept to compare the two."""
-    return values.map(lambda row: int(row.argmax()))
+    """The same by Arrow batch, kept to compare the two. Null and empty arrays give null."""
+    lengths = values.map(len, na_action="ignore").fillna(0).astype(int)
+    found = pd.Series(pd.NA, index=values.index, dtype="Int32")
+    for length in lengths[lengths > 0].unique():  # arrays of one length stack to a matrix
+        same = lengths.index[lengths == length]
+        found[same] = np.stack(values[same].to_list()).argmax(axis=1)
+    return found

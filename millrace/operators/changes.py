@@ -14,8 +14,8 @@ BEFORE_UPDATE = "update_preimage"
 AFTER_UPDATE = "update_postimage"
 
 
-def _side(df: DataFrame, keys: tuple[str, ...], prefix: str) -> DataFrame:
-    values = [F.col(f"`{c}`").alias(f"{prefix}{c}") for c in df.columns if c not in keys]
+def _side(df: DataFrame, keys: tuple[str, ...], prefix: str, columns: list[str]) -> DataFrame:
+    values = [(F.col(f"`{c}`") if c in df.columns else F.lit(None)).alias(f"{prefix}{c}") for c in columns]
     return df.select(*keys, *values, F.lit(True).alias(f"{prefix}_present"))
 
 
@@ -25,10 +25,10 @@ def snapshot_changes(before: DataFrame, after: DataFrame, *keys: str) -> DataFra
     A row only in ``after`` is an insert, one only in ``before`` a delete; a row whose values differ
     (null equals null) gives its old and its new form. ``keys`` identify a row within a snapshot and
     are never null. Both sides shuffle once on the keys, which are unique and so cannot be skewed;
-    equal rows leave right after the join.
+    equal rows leave right after the join. A column that only one snapshot has is null in the other.
     """
-    columns = [c for c in before.columns if c not in keys]
-    joined = _side(before, keys, "b_").join(_side(after, keys, "a_"), list(keys), "full_outer")
+    columns = [c for c in dict.fromkeys([*before.columns, *after.columns]) if c not in keys]
+    joined = _side(before, keys, "b_", columns).join(_side(after, keys, "a_", columns), list(keys), "full_outer")
 
     def image(kind: str, prefix: str) -> Column:
         values = [F.col(f"`{prefix}{c}`").alias(c) for c in columns]

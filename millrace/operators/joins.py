@@ -38,22 +38,9 @@ def join_left_columns(left: DataFrame, right: DataFrame, key: str, strategy: str
     return left.join(right_keys, key).select(left["*"])
 
 
-def _broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark for broadcast when there are at most ``max_rows`` rows; otherwise the planner decides.
-
-    Counting stops at the bound.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def join_broadcast(left: DataFrame, right: DataFrame, key: str, max_rows: int = 100_000) -> DataFrame:
-    """The same, broadcasting the right side's keys when there are at most ``max_rows`` of them."""
-    return left.join(_broadcast_up_to(right.select(key), max_rows), key).select(left["*"])
-
-
-def anti_join_broadcast(left: DataFrame, right: DataFrame, key: str, max_rows: int = 100_000) -> DataFrame:
-    """Left rows whose key does not occur on the right. Up to ``max_rows`` right rows, the left side stays where it is."""
-    return left.join(_broadcast_up_to(right.select(key), max_rows), key, "left_anti")
+def anti_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left rows whose key does not occur on the right."""
+    return left.join(right.select(key), key, "left_anti")
 
 
 def semi_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -61,40 +48,15 @@ def semi_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right.select(key), key, "left_semi")
 
 
-def _few_keys(right: DataFrame, key: str, max_rows: int) -> list | None:
-    """The right side's keys when it has at most ``max_rows`` rows. Fetching stops at the bound."""
-    rows = right.select(key).filter(F.col(key).isNotNull()).limit(max_rows + 1).collect()
-    return [row[0] for row in rows] if len(rows) <= max_rows else None
-
-
-def _with_keys(left: DataFrame, key: str, keys: list) -> DataFrame:
-    return left.filter(F.col(key).isin(sorted(set(keys)))) if keys else left.filter(F.lit(False))
-
-
-def semi_join_pruned(left: DataFrame, right: DataFrame, key: str, max_rows: int = 1_000) -> DataFrame:
-    """A semi-join that prunes the left scan by the right side's keys.
-
-    Open-source Spark derives scan filters from a join for partition columns only, and without
-    statistics it learns that the right side is small after it has begun to shuffle the left one.
-    When the right side has at most ``max_rows`` rows, their keys are fetched first and become an
-    ``IN`` filter on the left scan, which skips the row groups of a clustered table that cannot
-    match. With more rows this is :func:`semi_join`.
-    """
-    keys = _few_keys(right, key, max_rows)
-    return semi_join(left, right, key) if keys is None else _with_keys(left, key, keys)
-
-
-def join_pruned(left: DataFrame, right: DataFrame, key: str, max_rows: int = 1_000) -> DataFrame:
-    """An inner join that keeps the left columns and prunes the left scan in the same way.
+def semi_join_pruned(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """A semi-join that prunes the left scan to the range of the right side's keys.
 
-    Right keys that occur once need no join beyond the filter; repeated ones are joined from the
-    fetched rows. With more than ``max_rows`` rows this is :func:`join_left_columns`.
+    Open-source Spark derives scan filters from a join for partition columns only. The smallest and
+    the largest key of the right side, one row, are fetched first and become a range filter on the
+    left scan, which skips the row groups of a clustered table that lie outside. The join itself is
+    the same at every size. Worth asking for when the right side's keys lie close together.
     """
-    keys = _few_keys(right, key, max_rows)
-    if keys is None:
-        return join_left_columns(left, right, key)
-    pruned = _with_keys(left, key, keys)
-    if len(set(keys)) == len(keys):
-        return pruned
-    repeated = left.sparkSession.createDataFrame([(k,) for k in keys], right.select(key).schema)
-    return pruned.join(F.broadcast(repeated), key).select(pruned["*"])
+    low, high = right.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return semi_join(left.filter(F.lit(False)), right, key)
+    return semi_join(left.filter(F.col(key).between(low, high)), right, key)

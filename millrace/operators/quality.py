@@ -25,9 +25,13 @@ class Constraint:
 
 
 def drop_violations(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
-    """Keep the rows that satisfy all constraints. A plain filter, so it is pushed to the scan."""
+    """Keep the rows that satisfy all constraints.
+
+    A filter drops rows whose predicate is null by itself, so the bare predicates stand in the plan and
+    those a scan understands are pushed to it.
+    """
     for constraint in constraints:
-        df = df.filter(constraint.holds())
+        df = df.filter(F.expr(constraint.predicate))
     return df
 
 

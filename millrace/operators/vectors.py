@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,9 +45,9 @@ def _unit_rows(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scan_block(
-    vectors: DataFrame, query_ids: list, query_matrix: np.ndarray, k: int, query_type: str, id_type: str
+    vectors: DataFrame, first: int, query_ids: list, query_matrix: np.ndarray, k: int, query_type: str, id_type: str
 ) -> DataFrame:
-    """Candidates for one bounded block of queries: per Arrow batch the best ``k`` of each query."""
+    """The best ``k`` for one bounded block of queries, numbered from ``first``: ``k`` per Arrow batch and query leave a task."""
     units, _ = _unit_rows(query_matrix)
 
     def best_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -55,31 +56,45 @@ def _scan_block(
                 continue
             rows, usable = _unit_rows(np.stack(batch["vector"].to_numpy()).astype(np.float64))
             ids = batch["id"].to_numpy()[usable]
-            scores = np.round(units @ rows[usable].T, SCORE_DECIMALS)
+            order = np.argsort(ids, kind="stable")
+            ids, rows = ids[order], rows[usable][order]
+            scores = np.round(units @ rows.T, SCORE_DECIMALS)
             if scores.shape[1] > k:
-                # everything not below the k-th best score, ties included
-                bound = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-                query_at, row_at = np.nonzero(scores >= bound[:, None])
+                # what is above the k-th best score, and of the rows at that score the first by id
+                bound = -np.partition(-scores, k - 1, axis=1)[:, k - 1][:, None]
+                above, level = scores > bound, scores == bound
+                missing = k - above.sum(axis=1, keepdims=True)
+                query_at, row_at = np.nonzero(above | (level & (np.cumsum(level, axis=1) <= missing)))
             else:
                 query_at, row_at = np.nonzero(np.ones_like(scores, dtype=bool))
             yield pd.DataFrame(
                 {
+                    "number": query_at + first,
                     "query_id": pd.Series([query_ids[i] for i in query_at], dtype=object),
                     "neighbour_id": ids[row_at],
                     "score": scores[query_at, row_at],
                 }
             )
 
-    schema = f"query_id {query_type}, neighbour_id {id_type}, score double"
+    schema = f"number bigint, query_id {query_type}, neighbour_id {id_type}, score double"
     candidates = vectors.mapInPandas(best_of_batch, schema)
     # the rank filter also runs before the shuffle, so each task sends at most k rows per query
-    ranks = Window.partitionBy("query_id").orderBy(F.desc("score"), "neighbour_id")
-    return candidates.withColumn("rank", F.row_number().over(ranks)).filter(F.col("rank") <= k)
+    ranks = Window.partitionBy("number").orderBy(F.desc("score"), "neighbour_id")
+    return candidates.withColumn("rank", F.row_number().over(ranks)).filter(F.col("rank") <= k).drop("number")
 
 
-def _local_block(queries: DataFrame) -> tuple[list, np.ndarray]:
-    rows = queries.collect()
-    return [row[0] for row in rows], np.array([row[1] for row in rows], dtype=np.float64)
+def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[int, list, np.ndarray]]:
+    """Queries with a direction, ``size`` at a time, with the number of the first; one partition is held at once."""
+    first, ids, rows = 0, [], []
+    for row in queries.toLocalIterator():
+        if row[1] is not None and any(row[1]):
+            ids.append(row[0])
+            rows.append(row[1])
+        if len(ids) == size:
+            yield first, ids, np.array(rows, dtype=np.float64)
+            first, ids, rows = first + size, [], []
+    if ids:
+        yield first, ids, np.array(rows, dtype=np.float64)
 
 
 def cosine_top_k(
@@ -94,52 +109,28 @@ def cosine_top_k(
 ) -> DataFrame:
     """The ``k`` vectors most similar to each query: ``query_id``, ``neighbour_id``, ``score``, ``rank``.
 
-    Exact. A block of at most ``max_block`` query vectors is sent to every task and multiplied with
-    each batch of vectors; only the best ``k`` per batch leave the task, so no query-vector pairs are
-    materialised. A larger query set is cut into blocks of at most that size, one scan each, and each
-    block's result is written before the next block is fetched. Vectors of length 0 have no
-    direction and are nobody's neighbours.
+    Exact. Queries are numbered and cut into blocks of ``max_block``. Each block is sent to every task
+    and multiplied with each batch of the vectors, which are written once; ``k`` rows per batch and
+    query leave the task, so no query-vector pairs are materialised. Every block's result is written
+    before the next is fetched. A query id that comes several times is answered as often. Queries and
+    vectors of length 0, or null, have no direction: they get no neighbours and are nobody's.
     """
     id_type = vectors.schema[vector_id].dataType.simpleString()
     query_type = queries.schema[query_id].dataType.simpleString()
-    searched = vectors.select(F.col(vector_id).alias("id"), F.col(vector).alias("vector"))
+    searched, output = fresh_dir(spark, "vectors"), fresh_dir(spark, "neighbours")
+    named = vectors.select(F.col(vector_id).alias("id"), F.col(vector).alias("vector"))
+    named.filter("vector is not null").write.parquet(searched)
     asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vector"))
-
-    first = asked.limit(max_block + 1).collect()
-    if not first:
-        return spark.createDataFrame([], f"query_id {query_type}, neighbour_id {id_type}, score double, rank int")
-    if len(first) <= max_block:
-        matrix = np.array([row[1] for row in first], dtype=np.float64)
-        return _scan_block(searched, [row[0] for row in first], matrix, k, query_type, id_type)
-
-    del first
-    blocks = 2 * (asked.count() // max_block + 1)
-    while True:
-        block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-        largest = asked.groupBy(block).count().agg(F.max("count")).first()[0]
-        if largest <= max_block:
-            break
-        blocks *= 2
-    staged = fresh_dir(spark, "query-blocks")
-    asked.withColumn("block", block).write.partitionBy("block").parquet(staged)
-    output = fresh_dir(spark, "neighbours")
-    for number in range(blocks):
-        ids, matrix = _local_block(
-            spark.read.parquet(staged).filter(F.col("block") == number).select("query_id", "vector")
-        )
-        if ids:
-            part = _scan_block(searched, ids, matrix, k, query_type, id_type)
-            part.write.mode("append").parquet(output)
-    return spark.read.parquet(output)
+    schema = f"query_id {query_type}, neighbour_id {id_type}, score double, rank int"
+    spark.createDataFrame([], schema).write.parquet(output)
+    for first, ids, matrix in _blocks(asked, max_block):
+        part = _scan_block(spark.read.parquet(searched), first, ids, matrix, k, query_type, id_type)
+        part.write.mode("append").parquet(output)
+    return spark.read.schema(schema).parquet(output)
 
 
 def centroids(df: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
-    """Mean vector per group.
-
-    Positions are averaged separately, grouped by (group, position), so the averages combine before
-    the shuffle and a group of any size is never gathered in one place.
-    """
-    positions = df.select(group, F.posexplode(vector).alias("_at", "_value"))
-    means = positions.groupBy(group, "_at").agg(F.avg(F.col("_value").cast("double")).alias("_mean"))
-    packed = means.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("_at", "_mean"))).alias("_pairs"))
-    return packed.select(group, F.col("_pairs._mean").alias(vector))
+    """Mean vector per group; vectors are summed as vectors before the shuffle."""
+    numeric = df.select(group, array_to_vector(F.col(vector).cast("array<double>")).alias("_vector"))
+    means = numeric.groupBy(group).agg(Summarizer.mean(F.col("_vector")).alias("_mean"))
+    return means.select(group, vector_to_array("_mean").alias(vector))

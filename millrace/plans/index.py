@@ -19,12 +19,14 @@ def snapshot_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     after = orders.filter(F.col("o_orderstatus") != "O").withColumn(
         "o_totalprice", F.coalesce(raised, F.col("o_totalprice"))
     )
+    # a column that the earlier snapshot does not have
+    after = after.withColumn("rush", F.when(F.col("o_orderpriority") == "2-HIGH", "yes"))
     return snapshot_changes(before, after, "o_orderkey")
 
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """English documents get a longer text, Spanish ones are new, German ones are gone."""
-    documents = fixture(spark, sf_dir, "documents", heavy=True).select(
+    documents = fixture(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("document_id"),
         F.concat(F.lit("https://example.com/"), F.col("source")).alias("original_url"),
         F.col("text").alias("content"),
@@ -40,6 +42,8 @@ def _index_rows(index: DataFrame) -> DataFrame:
     return index.select(
         "document_id",
         F.col("commit_version").cast("bigint").alias("commit_version"),
+        "original_url",
+        F.length("content").cast("bigint").alias("content_length"),
         "content_digest",
         F.size("embedding").cast("bigint").alias("dimensions"),
     )
@@ -57,6 +61,11 @@ def index_sync_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = _snapshots(spark, sf_dir)
     publish_changes(None, first, feed, 0)
     run_index_sync(spark, feed, log, checkpoint)
+    # the version comes out with wrong texts at first, is taken in, and comes out again
+    publish_changes(first, second.withColumn(
+        "content", F.when(F.col("original_url").isNotNull() & F.col("content").endswith("Revised."), F.lit("wrong")).otherwise(F.col("content"))
+    ), feed, 1)
+    run_index_sync(spark, feed, log, checkpoint)
     publish_changes(first, second, feed, 1)
     run_index_sync(spark, feed, log, checkpoint)
     return _index_rows(compact_index(spark, log, fresh_dir(spark, "index-compacted")))
@@ -71,6 +80,8 @@ QUERIES = {
 _INDEX = """
     SELECT CAST(doc_id AS VARCHAR) AS document_id,
            CAST(CASE WHEN lang IN ('en', 'es') THEN 1 ELSE 0 END AS BIGINT) AS commit_version,
+           'https://example.com/' || source AS original_url,
+           CAST(length(CASE WHEN lang = 'en' THEN text || chr(10) || 'Revised.' ELSE text END) AS BIGINT) AS content_length,
            sha256(CASE WHEN lang = 'en' THEN text || chr(10) || 'Revised.' ELSE text END) AS content_digest,
            CAST(256 AS BIGINT) AS dimensions
     FROM documents WHERE lang <> 'de'
@@ -79,22 +90,22 @@ _INDEX = """
 ORACLES = {
     "snapshot_change_rows": """
         WITH o AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders),
-        b AS (SELECT * FROM o WHERE o_orderpriority <> '5-LOW'),
+        b AS (SELECT *, CAST(NULL AS VARCHAR) AS rush FROM o WHERE o_orderpriority <> '5-LOW'),
         a AS (SELECT o_orderkey, o_orderstatus,
                      CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 100 ELSE o_totalprice END AS o_totalprice,
-                     o_orderpriority
+                     o_orderpriority, CASE WHEN o_orderpriority = '2-HIGH' THEN 'yes' END AS rush
               FROM o WHERE o_orderstatus <> 'O')
         SELECT 'insert' AS change_type, a.* FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.o_orderkey = a.o_orderkey)
         UNION ALL
         SELECT 'delete', b.* FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.o_orderkey = b.o_orderkey)
         UNION ALL
         SELECT 'update_preimage', b.* FROM b JOIN a USING (o_orderkey)
-        WHERE (a.o_orderstatus, a.o_totalprice, a.o_orderpriority)
-              IS DISTINCT FROM (b.o_orderstatus, b.o_totalprice, b.o_orderpriority)
+        WHERE (a.o_orderstatus, a.o_totalprice, a.o_orderpriority, a.rush)
+              IS DISTINCT FROM (b.o_orderstatus, b.o_totalprice, b.o_orderpriority, b.rush)
         UNION ALL
         SELECT 'update_postimage', a.* FROM b JOIN a USING (o_orderkey)
-        WHERE (a.o_orderstatus, a.o_totalprice, a.o_orderpriority)
-              IS DISTINCT FROM (b.o_orderstatus, b.o_totalprice, b.o_orderpriority)
+        WHERE (a.o_orderstatus, a.o_totalprice, a.o_orderpriority, a.rush)
+              IS DISTINCT FROM (b.o_orderstatus, b.o_totalprice, b.o_orderpriority, b.rush)
     """,
     "index_sync_upsert": _INDEX,
     "index_sync_stream": _INDEX,

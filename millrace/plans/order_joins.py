@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,19 +9,16 @@ from millrace.functions.keys import FILTER_KEY_PREFIX, KEY_WIDTH, ORDER_KEY_PREF
 from millrace.functions.register import register_functions
 from millrace.operators.joins import (
     check_key_space,
-    join_broadcast,
     join_left_columns,
-    join_pruned,
     replicate,
     semi_join,
     semi_join_pruned,
 )
 from millrace.operators.statistics import analyze_table
-from millrace.operators.tables import files_for, replace_table
+from millrace.operators.tables import files_for, replace_catalog_table, replace_table
 from millrace.plans.common import built_once, stored_path
 from millrace.session import session_with
 from millrace.sources.tables import fixture
-from millrace.workspace import fresh_dir
 
 # How often the tables are replicated and how far apart the copies' keys are.
 COPIES = 10
@@ -34,13 +29,13 @@ POINT = "filter_0000000012"
 
 
 def lineitem_orig(spark: SparkSession, sf_dir: str) -> DataFrame:
-    copies = replicate(fixture(spark, sf_dir, "lineitem", heavy=True), COPIES, STRIDE)
+    copies = replicate(fixture(spark, sf_dir, "lineitem"), COPIES, STRIDE)
     return copies.select(derived_key(ORDER_KEY_PREFIX, F.col("l_orderkey") + F.col("id")).alias(KEY), "*")
 
 
 def orders_orig(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("o_orderkey") + F.col("id")
-    return replicate(fixture(spark, sf_dir, "orders", heavy=True), COPIES, STRIDE).select(
+    return replicate(fixture(spark, sf_dir, "orders"), COPIES, STRIDE).select(
         derived_key(ORDER_KEY_PREFIX, number).alias(KEY),
         derived_key(FILTER_KEY_PREFIX, number).alias("filter_pre"),
         "*",
@@ -92,12 +87,9 @@ def stored_orders_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A view: its key column is computed whenever it is read."""
-    stored_lineitem(spark, sf_dir).createOrReplaceTempView("lineitem_orig")
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY VIEW lineitem_view AS "
-        f"SELECT '{ORDER_KEY_PREFIX}' || lpad(l_orderkey, {KEY_WIDTH}, '0') AS orderkey_clc, * FROM lineitem_orig"
-    )
-    return spark.table("lineitem_view")
+    lines = stored_lineitem(spark, sf_dir)
+    lines.select(derived_key(ORDER_KEY_PREFIX, F.col("l_orderkey")).alias("orderkey_clc"), "*").createOrReplaceTempView("keyed_lines")
+    return spark.table("keyed_lines")
 
 
 def _point(orders: DataFrame) -> DataFrame:
@@ -127,21 +119,21 @@ def replicate_scaleout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_table_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_pruned(stored_lineitem(spark, sf_dir), _point(stored_orders(spark, sf_dir)), KEY)
+    return join_left_columns(stored_lineitem(spark, sf_dir), _point(stored_orders(spark, sf_dir)), KEY)
 
 
 def join_table_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_pruned(stored_lineitem(spark, sf_dir), _point(stored_orders_copy(spark, sf_dir)), KEY)
+    return join_left_columns(stored_lineitem(spark, sf_dir), _point(stored_orders_copy(spark, sf_dir)), KEY)
 
 
 def join_view_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_pruned(lineitem_view(spark, sf_dir), _point(stored_orders_copy(spark, sf_dir)), KEY)
+    return join_left_columns(lineitem_view(spark, sf_dir), _point(stored_orders_copy(spark, sf_dir)), KEY)
 
 
 def join_computed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = stored_orders(spark, sf_dir)
     matching = orders.filter(derived_key(FILTER_KEY_PREFIX, F.col("o_orderkey")) == POINT)
-    return join_pruned(stored_lineitem(spark, sf_dir), matching, KEY)
+    return join_left_columns(stored_lineitem(spark, sf_dir), matching, KEY)
 
 
 def join_planned_at_runtime(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,35 +149,35 @@ def semi_join_key_pushdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return semi_join_pruned(stored_lineitem(spark, sf_dir), _point(stored_orders(spark, sf_dir)), KEY)
 
 
+def _point_join_text(spark: SparkSession, sf_dir: str) -> str:
+    """The join as SQL text over views of the stored tables."""
+    stored_lineitem(spark, sf_dir).createOrReplaceTempView("lines")
+    stored_orders(spark, sf_dir).createOrReplaceTempView("ordered")
+    columns = ", ".join(f"lines.{c}" for c in spark.table("lines").columns)
+    return f"SELECT {columns} FROM ordered JOIN lines ON lines.{KEY} = ordered.{KEY} WHERE ordered.filter_pre = '{POINT}'"
+
+
 def join_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored_lineitem(spark, sf_dir).createOrReplaceTempView("lineitem_orig")
-    stored_orders(spark, sf_dir).createOrReplaceTempView("orders_orig")
-    return spark.sql(f"""
-        SELECT A.* FROM lineitem_orig A
-        INNER JOIN orders_orig B USING (orderkey_pre)
-        WHERE B.filter_pre = "{POINT}"
-    """)
+    return spark.sql(_point_join_text(spark, sf_dir))
 
 
 def join_output_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result stored as a table, in SQL text."""
-    stored_lineitem(spark, sf_dir).createOrReplaceTempView("lineitem_orig")
-    stored_orders(spark, sf_dir).createOrReplaceTempView("orders_orig")
-    name = f"output_case_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"""
-        CREATE TABLE {name} USING parquet LOCATION '{fresh_dir(spark, "output-case")}' AS
-        SELECT A.* FROM lineitem_orig A
-        INNER JOIN orders_orig B USING (orderkey_pre)
-        WHERE B.filter_pre = "{POINT}"
-    """)
+    """The result stored as a table, made twice: the second time it replaces what is there."""
+    name = "point_join_result"
+    for _ in range(2):
+        replace_catalog_table(spark.sql(_point_join_text(spark, sf_dir)), name)
     return spark.table(name)
 
 
-def _analyzed(spark: SparkSession, label: str, table: DataFrame, path: str) -> str:
-    """A named table over stored files, with statistics for all columns."""
-    name = f"{label}_{uuid.uuid4().hex[:12]}"
-    spark.catalog.createTable(name, path, "parquet", table.schema)
-    analyze_table(spark, name)
+def _analyzed(spark: SparkSession, sf_dir: str, label: str, name: str, table: DataFrame, columns: list[str]) -> str:
+    """A named table over stored files, with statistics for the columns a join asks about; made once."""
+
+    def build(_: str) -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, stored_path(spark, sf_dir, label), "parquet", table.schema)
+        analyze_table(spark, name, columns)
+
+    built_once(spark, sf_dir, f"{label}-analyzed", build)
     return name
 
 
@@ -193,13 +185,19 @@ def join_with_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables with column statistics: the planner knows before it starts how few orders match."""
     session = session_with(spark, {"spark.sql.cbo.enabled": "true"})
     lines, orders = stored_lineitem(spark, sf_dir), stored_orders(spark, sf_dir)
-    line_table = _analyzed(spark, "lineitem_analyzed", lines, stored_path(spark, sf_dir, "lineitem-orig"))
-    order_table = _analyzed(spark, "orders_analyzed", orders, stored_path(spark, sf_dir, "orders-orig"))
+    # a name per folder: the statistics belong to its files
+    suffix = "".join(c if c.isalnum() else "_" for c in sf_dir.rstrip("/").split("/")[-1])
+    line_table = _analyzed(spark, sf_dir, "lineitem-orig", f"lines_analyzed_{suffix}", lines, [KEY])
+    order_table = _analyzed(spark, sf_dir, "orders-orig", f"orders_analyzed_{suffix}", orders, [KEY, "filter_pre"])
     return join_left_columns(session.table(line_table), _point(session.table(order_table)), KEY)
 
 
 def join_broadcast_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_broadcast(stored_lineitem(spark, sf_dir), _point(stored_orders(spark, sf_dir)), KEY)
+    """The planner broadcasts the matching orders when their bytes, measured while running, are below its threshold."""
+    session = session_with(
+        spark, {"spark.sql.autoBroadcastJoinThreshold": "16MB", "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB"}
+    )
+    return join_left_columns(stored_lineitem(session, sf_dir), _point(stored_orders(session, sf_dir)), KEY)
 
 
 def _urgent(orders: DataFrame) -> DataFrame:

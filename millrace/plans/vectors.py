@@ -28,25 +28,25 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashing moves words to positions but loses none: counts add up to the number of words."""
-    counted = term_counts(fixture(spark, sf_dir, "documents", heavy=True), "text")
+    counted = term_counts(fixture(spark, sf_dir, "documents"), "text")
     total = F.aggregate(vector_to_array("terms"), F.lit(0.0), lambda a, b: a + b)
     return counted.select("doc_id", total.cast("bigint").alias("words"))
 
 
 def text_embedding_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    embedded = embed_text(fixture(spark, sf_dir, "documents", heavy=True), "text")
+    embedded = embed_text(fixture(spark, sf_dir, "documents"), "text")
     return embedded.select("doc_id", "embedding")
 
 
 def text_embedding_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    embedded = embed_text(fixture(spark, sf_dir, "documents", heavy=True), "text")
+    embedded = embed_text(fixture(spark, sf_dir, "documents"), "text")
     squares = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     return embedded.select("doc_id", F.size("embedding").alias("dimensions"), F.round(F.sqrt(squares), 4).alias("norm"))
 
 
 def text_search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents most similar to each benchmark text."""
-    documents = embed_text(fixture(spark, sf_dir, "documents", heavy=True), "text").select("doc_id", "embedding")
+    documents = embed_text(fixture(spark, sf_dir, "documents"), "text").select("doc_id", "embedding")
     asked = embed_text(fixture(spark, sf_dir, "benchmark"), "text").select("item_id", "embedding")
     found = cosine_top_k(spark, documents, asked, NEIGHBOURS, "doc_id", "item_id")
     return found.select(

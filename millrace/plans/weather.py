@@ -9,7 +9,7 @@ from millrace.operators.aggregates import monthly_average
 from millrace.operators.quality import Constraint, count_violations, drop_violations
 from millrace.operators.tables import refresh_view
 from millrace.plans.common import built_once
-from millrace.sources.csv import csv_view, read_csv_directory
+from millrace.sources.csv import BAD_RECORD, csv_view, read_csv_directory
 from millrace.sources.tables import fixture
 from millrace.streaming.csv_ingest import ingest_csv, read_ingested
 from millrace.streaming.medallion import (
@@ -106,12 +106,8 @@ def csv_batch_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_view_monthly_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     csv_view(spark, "observation_files", observation_csv(spark, sf_dir))
-    return spark.sql(f"""
-        SELECT date_format(ymd, 'yyyy-MM') AS ym, area_2, round(avg(`{TEMPERATURE}`), {DECIMALS}) AS temp
-        FROM observation_files
-        GROUP BY date_format(ymd, 'yyyy-MM'), area_2
-        ORDER BY date_format(ymd, 'yyyy-MM'), avg(`{TEMPERATURE}`)
-    """)
+    averages = monthly_average(spark.table("observation_files"), DAY, AREA_2, TEMPERATURE, "area_2", "temp")
+    return _rounded(averages.orderBy("ym", "temp"))
 
 
 # ---------------------------------------------------------------- streams
@@ -170,12 +166,18 @@ def csv_merge_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest_csv(spark, folder, table, checkpoint)
 
     wider = rows.filter(purchase).join(props, "event_id").select(AREA_2, AREA_1, TEMPERATURE, DAY, "event_id", "props")
-    # JSON text holds quotes: write them doubled, and read both layouts with the reader's defaults
-    wider.withColumn("props", F.get_json_object("props", "$.k").cast("int")).write.option("header", True).csv(
-        f"{folder}/round=2"
-    )
-    ingest_csv(spark, folder, table, checkpoint)
-    return _for_output(read_ingested(spark, table), "props")
+    # JSON text holds quotes, and every third one a line break
+    broken = F.concat_ws("\n", "props", "props")
+    wider = wider.withColumn("props", F.when(F.col("event_id") % 3 == 0, broken).otherwise(F.col("props")))
+    wider.write.option("header", True).csv(f"{folder}/round=2")
+    # an odd file: a blank line first, a number of 20 digits, and a cell that does not fit
+    odd = [("",), ("event_id,ymd,area_1,area_2," + TEMPERATURE,), (f"{10**19},2024-01-01,1,view,1.5",), ("-1,2024-01-01,2,view,n/a",)]
+    spark.createDataFrame(odd, "value string").coalesce(1).write.text(f"{folder}/round=3", lineSep="\n")
+    ingest_csv(spark, folder, table, checkpoint, glob="*.{csv,txt}")
+    number, day = (F.col(c).cast("string").alias(c) for c in ("event_id", DAY))
+    area = F.col(AREA_1).cast("bigint").alias(AREA_1)
+    temperature = F.col(f"`{TEMPERATURE}`").alias("temp")
+    return read_ingested(spark, table).select(number, day, area, AREA_2, temperature, "props", BAD_RECORD)
 
 
 QUERIES = {
@@ -226,9 +228,13 @@ ORACLES = {
     """,
     "csv_stream_bronze": _ALL_ROWS,
     "csv_merge_headers": f"""
-        SELECT o.event_id, o.ymd, o.area_1, o.area_2, o.temp,
-               CASE WHEN o.area_2 = 'purchase' THEN CAST(json_extract(e.props, '$.k') AS INT) END AS props
+        SELECT CAST(o.event_id AS VARCHAR) AS event_id, o.ymd, o.area_1, o.area_2, o.temp,
+               CASE WHEN o.area_2 = 'purchase' AND o.event_id % 3 = 0 THEN e.props || chr(10) || e.props
+                    WHEN o.area_2 = 'purchase' THEN e.props END AS props,
+               CAST(NULL AS VARCHAR) AS _bad_record
         FROM ({_OBSERVATIONS_SQL}) o JOIN events e USING (event_id)
+        UNION ALL VALUES ('10000000000000000000', '2024-01-01', 1, 'view', 1.5, NULL, NULL),
+                         ('-1', '2024-01-01', 2, 'view', NULL, NULL, '-1,2024-01-01,2,view,n/a')
     """,
     "stream_silver_from_bronze": _SILVER_ROWS,
     "stream_violation_counts": _VIOLATIONS,

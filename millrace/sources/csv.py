@@ -20,6 +20,10 @@ from pyspark.sql import types as T
 
 # Fixed value: numeric types from narrow to wide, for merging inferred types.
 WIDENING = (T.IntegerType(), T.LongType(), T.DoubleType())
+# Digits that the whole-number types hold.
+DIGITS = {T.IntegerType(): 10, T.LongType(): 19}
+# The line of a row with a cell that does not fit its column's type, or with too many or too few cells.
+BAD_RECORD = "_bad_record"
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -28,13 +32,14 @@ def read_csv_directory(
     folder: str | list[str],
     schema: T.StructType | str | None = None,
     sampling_ratio: float | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Files with one common header line.
 
     Without ``schema`` the types are inferred, which costs an extra pass over the data; on large
     input give the schema.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
     if schema is not None:
         return reader.schema(schema).option("enforceSchema", False).csv(folder)
     if sampling_ratio:
@@ -52,12 +57,36 @@ def stream_csv_directory(
     folder: str,
     schema: T.StructType | str,
     files_per_batch: int,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Files with one common header line, each read once. Wrong headers fail instead of swapping."""
-    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
+    """Files with one common header line, each read once. Wrong headers fail instead of swapping.
+
+    Rows that do not fit keep their line in ``_bad_record``, see :func:`with_bad_record`.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.readStream.schema(with_bad_record(schema)).options(**reading(multi_line))
     return reader.option("maxFilesPerTrigger", files_per_batch).csv(folder)
 
 
+def with_bad_record(schema: T.StructType) -> T.StructType:
+    """The schema with a column for rows that do not fit: cells that cannot be read are null, the line is kept there."""
+    return schema if BAD_RECORD in schema.names else T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())])
+
+
+def reading(multi_line: bool) -> dict[str, object]:
+    """Reader options: headers must agree, bad rows are kept, and cells may hold line breaks.
+
+    With ``multi_line`` a file is one task; without it, files are split and line breaks in cells make bad rows.
+    """
+    return {
+        "header": True,
+        "enforceSchema": False,
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": BAD_RECORD,
+        "multiLine": multi_line,
+    }
+
+
 # ---------------------------------------------------------------- differing headers
 
 
@@ -94,7 +123,7 @@ def stream_file_list(spark: SparkSession, folder: str, glob: str, files_per_batc
 
 
 def _header_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First line of each file: reads up to the first line break, not the file."""
+    """First line of each file that is not blank: reads up to its end, not the file. Empty if there is none."""
     from pyarrow import fs
 
     def first_line(path: str) -> str:
@@ -106,23 +135,22 @@ def _header_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 piece = stream.read(64 * 1024)
                 if not piece:
                     break
-                head += piece
+                # blank lines before the header do not count, for Spark's reader either
+                head = (head + piece).removeprefix(b"\xef\xbb\xbf").lstrip(b"\r\n \t") if not head.strip() else head + piece
         return head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
 
     for batch in batches:
         yield pd.DataFrame({"path": batch["path"], "header": [first_line(path) for path in batch["path"]]})
 
 
-def csv_layouts(files: DataFrame, max_files: int = 10_000) -> list[Layout]:
+def csv_layouts(files: DataFrame) -> list[Layout]:
     """Group listed files by header line.
 
-    The lines are read by the executors; the driver receives a path and a header per file. More than
-    ``max_files`` files are refused: take them in with :func:`millrace.streaming.csv_ingest.ingest_csv`,
-    which goes through a directory of any size in batches.
+    The lines are read by the executors; the driver receives a path and a header per file, as many as
+    Spark's own listing gives it. Files without any text have no rows and are left out. For very many
+    files use :func:`millrace.streaming.csv_ingest.ingest_csv`, which goes through them in batches.
     """
-    headers = files.mapInPandas(_header_lines, "path string, header string").limit(max_files + 1).collect()
-    if len(headers) > max_files:
-        raise ValueError(f"more than {max_files} files: ingest them in batches")
+    headers = files.mapInPandas(_header_lines, "path string, header string").collect()
     groups: dict[tuple[str, ...], list[str]] = {}
     for row in headers:
         if row.header.strip():
@@ -135,6 +163,15 @@ def wider_type(left: T.DataType, right: T.DataType) -> T.DataType:
     """A type that holds both; text when nothing else does."""
     if left == right:
         return left
+    decimals = [t for t in (left, right) if isinstance(t, T.DecimalType)]
+    if decimals and T.DoubleType() not in (left, right):
+        # whole numbers wider than 64 bits are inferred as decimals
+        digits = [t.precision - t.scale if isinstance(t, T.DecimalType) else DIGITS.get(t) for t in (left, right)]
+        if None not in digits:
+            scale = max(t.scale for t in decimals)
+            return T.DecimalType(max(digits) + scale, scale) if max(digits) + scale <= 38 else T.DoubleType()
+    if decimals and T.DoubleType() in (left, right):
+        return T.DoubleType()
     if left in WIDENING and right in WIDENING:
         return WIDENING[max(WIDENING.index(left), WIDENING.index(right))]
     if {left, right} == {T.DateType(), T.TimestampType()}:
@@ -163,7 +200,7 @@ def _without_empty(frame: DataFrame, columns: set[str]) -> T.StructType:
 
 
 def infer_merged_schema(
-    spark: SparkSession, layouts: list[Layout], known: T.StructType | None = None
+    spark: SparkSession, layouts: list[Layout], known: T.StructType | None = None, multi_line: bool = True
 ) -> T.StructType:
     """Infer each layout's types from its files and merge them by name, after the ``known`` columns.
 
@@ -171,7 +208,7 @@ def infer_merged_schema(
     text, the column's values are counted, and an empty one has no say.
     """
     base = [known] if known else []
-    frames = [read_csv_directory(spark, list(layout.paths)) for layout in layouts]
+    frames = [read_csv_directory(spark, list(layout.paths), multi_line=multi_line) for layout in layouts]
     merged = merge_schemas(*base, *(frame.schema for frame in frames))
     seen = [field for schema in (*base, *(f.schema for f in frames)) for field in schema.fields]
     clashing = {
@@ -183,24 +220,18 @@ def infer_merged_schema(
     return T.StructType([told[f.name] if f.name in told.names else f for f in merged.fields])
 
 
-def read_layouts(spark: SparkSession, layouts: list[Layout], schema: T.StructType) -> DataFrame:
+def read_layouts(spark: SparkSession, layouts: list[Layout], schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """Read every layout in its own column order and merge by name; absent columns are null.
 
-    A value that does not fit its column's type fails the read rather than becoming null.
+    A cell that does not fit its column's type is null, and its row's line is kept in ``_bad_record``.
     """
-    types = {field.name: field.dataType for field in schema.fields}
+    types = {field.name: field.dataType for field in schema.fields if field.name != BAD_RECORD}
     parts = []
     for layout in layouts:
-        own = T.StructType([T.StructField(name, types[name]) for name in layout.columns])
-        part = (
-            spark.read.schema(own)
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("mode", "FAILFAST")
-            .csv(list(layout.paths))
-        )
+        own = with_bad_record(T.StructType([T.StructField(name, types[name]) for name in layout.columns]))
+        part = spark.read.schema(own).options(**reading(multi_line)).csv(list(layout.paths))
         missing = [F.lit(None).cast(types[name]).alias(name) for name in types if name not in layout.columns]
-        parts.append(part.select("*", *missing).select(*(F.col(f"`{name}`") for name in types)))
+        parts.append(part.select("*", *missing).select(*(F.col(f"`{name}`") for name in (*types, BAD_RECORD))))
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)
@@ -208,6 +239,6 @@ def read_layouts(spark: SparkSession, layouts: list[Layout], schema: T.StructTyp
 
 
 def read_csv_merging(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
-    """Batch read of a directory whose files may have different headers."""
+    """Batch read of a directory whose files may have different headers. Bad rows keep their line in ``_bad_record``."""
     layouts = csv_layouts(list_files(spark, folder))
     return read_layouts(spark, layouts, schema or infer_merged_schema(spark, layouts))

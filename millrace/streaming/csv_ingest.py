@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.sources.csv import csv_layouts, infer_merged_schema, read_layouts, stream_file_list
+from millrace.sources.csv import BAD_RECORD, csv_layouts, infer_merged_schema, read_layouts, stream_file_list, with_bad_record
 from millrace.streaming.run import drain, each_batch
 
 
@@ -18,8 +18,10 @@ def _schema_changes(spark: SparkSession, table: str) -> list[tuple[int, T.Struct
     """First batch of each schema the ingest has used, in order. One entry per change of schema."""
     try:
         rows = spark.read.schema("batch bigint, schema string").json(f"{table}/schemas").collect()
-    except AnalysisException:
-        return []
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []  # nothing has been taken in yet
     return sorted(((r.batch, T.StructType.fromJson(json.loads(r.schema))) for r in rows), key=lambda c: c[0])
 
 
@@ -30,27 +32,33 @@ def ingest_csv(
     checkpoint: str,
     glob: str = "*.csv",
     files_per_batch: int = 1000,
+    multi_line: bool = True,
 ) -> None:
     """Take in the files that are new since the last run.
 
     The stream carries file names, not contents; each batch of at most ``files_per_batch`` files is
     grouped by header, read by name and written to ``table/data/batch=<id>``. A new column or a wider
-    number type is added to the known schema on the way, without a restart. Text where numbers were
-    fails the batch and leaves it to be run again: the numbers taken in earlier have lost their
-    spelling.
+    number type is added to the known schema on the way, without a restart. A column whose numbers were
+    taken in stays one of numbers: rows where it holds text keep their line in ``_bad_record``.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        layouts = csv_layouts(batch, max_files=files_per_batch)
+        layouts = csv_layouts(batch)
         if not layouts:
             return
         earlier = [schema for first, schema in _schema_changes(session, table) if first < batch_id]
-        schema = infer_merged_schema(session, layouts, earlier[-1] if earlier else None)
-        for field in earlier[-1].fields if earlier else ():
-            if schema[field.name].dataType != field.dataType and schema[field.name].dataType == T.StringType():
-                raise ValueError(f"column {field.name} was {field.dataType.simpleString()}, now holds text")
-        read_layouts(session, layouts, schema).write.mode("overwrite").parquet(f"{table}/data/batch={batch_id}")
+        known = {field.name: field.dataType for field in earlier[-1].fields} if earlier else {}
+        schema = infer_merged_schema(session, layouts, earlier[-1] if earlier else None, multi_line)
+        schema = T.StructType(
+            [
+                T.StructField(f.name, known[f.name] if f.dataType == T.StringType() and f.name in known else f.dataType)
+                for f in schema.fields
+                if f.name != BAD_RECORD
+            ]
+        )
+        schema = with_bad_record(schema)
+        read_layouts(session, layouts, schema, multi_line).write.mode("overwrite").parquet(f"{table}/data/batch={batch_id}")
         if not earlier or schema != earlier[-1]:
             change = session.createDataFrame([(batch_id, schema.json())], "batch bigint, schema string")
             change.coalesce(1).write.mode("overwrite").json(f"{table}/schemas/from={batch_id}")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.changes import BEFORE_UPDATE, DELETE, INSERT, changed_keys, snapshot_changes
-from millrace.operators.joins import anti_join_broadcast
+from millrace.operators.joins import anti_join
 from millrace.operators.tables import replace_table
 from millrace.operators.vectors import Embedder, embed_text
 from millrace.streaming.medallion import stream_table
@@ -20,7 +20,7 @@ from millrace.streaming.run import append_table, drain
 from millrace.workspace import fresh_dir
 
 KEY = "document_id"
-LOG_COLUMNS = (KEY, "commit_version", "change_type", "content_digest", "embedding")
+LOG_COLUMNS = (KEY, "commit_version", "arrived", "change_type", "original_url", "content", "content_digest", "embedding")
 
 
 def content_digest(content: Column) -> Column:
@@ -29,7 +29,7 @@ def content_digest(content: Column) -> Column:
 
 
 def current_index(log: DataFrame, compacted: int | None = None) -> DataFrame:
-    """Latest row per document, without deleted ones.
+    """Latest row per document, without deleted ones: of the newest version, the one that arrived last.
 
     The rank filter also runs before the shuffle, so a document with very many versions sends one
     row per task. When the log was compacted up to a version, rows up to there are one per document:
@@ -38,21 +38,27 @@ def current_index(log: DataFrame, compacted: int | None = None) -> DataFrame:
     """
     if compacted is not None:
         newer = log.filter(F.col("commit_version") > compacted)
-        base = anti_join_broadcast(log.filter(F.col("commit_version") <= compacted), newer, KEY)
-        return base.drop("change_type").unionByName(current_index(newer))
-    newest = Window.partitionBy(KEY).orderBy(F.desc("commit_version"))
+        base = anti_join(log.filter(F.col("commit_version") <= compacted), newer, KEY)
+        return base.drop("change_type", "arrived").unionByName(current_index(newer))
+    newest = Window.partitionBy(KEY).orderBy(*[F.desc(c) for c in ("commit_version", "arrived") if c in log.columns])
     ranked = log.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") == 1)
-    return ranked.filter(F.col("change_type") != DELETE).drop("_rank", "change_type")
+    return ranked.filter(F.col("change_type") != DELETE).drop("_rank", "change_type", "arrived")
 
 
 def _log_rows(changes: DataFrame, embed: Embedder) -> DataFrame:
-    """Change rows to log rows. A deletion has no embedding; ``embed`` sees an empty text for it."""
+    """Change rows to log rows, with the document's columns and when they were taken in.
+
+    A deletion has no content and no embedding; ``embed`` sees an empty text for it.
+    """
+    if "original_url" not in changes.columns:
+        changes = changes.withColumn("original_url", F.lit(None).cast("string"))
     deleted = F.col("change_type") == DELETE
     kept = changes.filter(F.col("change_type") != BEFORE_UPDATE)
     kept = kept.withColumn("content", F.when(deleted, "").otherwise(F.coalesce("content", F.lit(""))))
     digested = kept.withColumn("content_digest", content_digest(F.col("content")))
     embedded = embed(digested, "content").withColumn("embedding", F.when(~deleted, F.col("embedding")))
-    return embedded.select(*LOG_COLUMNS)
+    rows = embedded.withColumn("content", F.when(~deleted, F.col("content")))
+    return rows.withColumn("arrived", F.current_timestamp()).select(*LOG_COLUMNS)
 
 
 def sync_index(
@@ -87,7 +93,8 @@ def sync_index(
 def publish_changes(before: DataFrame | None, after: DataFrame, feed: str, version: int) -> None:
     """Write the change rows that lead from one snapshot to the next to the table's change feed.
 
-    Publishing a version again replaces it.
+    Publishing a version again replaces it. An index that has taken in the earlier rows takes in the
+    new ones as well, and they win, because they arrive later.
     """
     if before is None:
         changes = after.select(F.lit(INSERT).alias("change_type"), "*")
@@ -108,6 +115,6 @@ def compact_index(spark: SparkSession, log_path: str, target: str) -> DataFrame:
 
     Pass the newest version it holds to :func:`current_index` as ``compacted``.
     """
-    current = current_index(spark.read.parquet(log_path)).withColumn("change_type", F.lit(INSERT))
+    current = current_index(spark.read.parquet(log_path)).withColumns({"change_type": F.lit(INSERT), "arrived": F.current_timestamp()})
     current.select(*LOG_COLUMNS).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)

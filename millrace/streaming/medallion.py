@@ -84,7 +84,7 @@ def run_totals_log(
 
     def record(batch: DataFrame, batch_id: int) -> None:
         totals = monthly_totals(batch, moment, area, value)
-        totals.coalesce(1).write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+        totals.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
 
     drain(each_batch(stream_table(spark, silver, files_per_batch), checkpoint, record))
 

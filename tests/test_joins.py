@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.keys import FILTER_KEY_PREFIX, derived_key
 from millrace.operators.joins import (
+    anti_join,
     check_key_space,
-    join_broadcast,
     join_left_columns,
-    join_pruned,
     replicate,
     semi_join,
     semi_join_pruned,
@@ -40,16 +39,12 @@ def test_inner_repeats_and_semi_does_not(spark):
     assert rows(semi_join(left(spark), right(spark), "k")) == [("a", 1), ("a", 2)]
     assert rows(semi_join_pruned(left(spark), right(spark), "k")) == [("a", 1), ("a", 2)]
     assert rows(semi_join_pruned(left(spark), right(spark).limit(0), "k")) == []
-    assert rows(join_pruned(left(spark), right(spark), "k")) == [("a", 1), ("a", 1), ("a", 2), ("a", 2)]
-    assert rows(join_pruned(left(spark), right(spark).filter("w > 8"), "k")) == [("a", 1), ("a", 2)]
-    assert rows(join_pruned(left(spark), right(spark).limit(0), "k")) == []
-    assert rows(join_pruned(left(spark), right(spark), "k", max_rows=1)) == [("a", 1), ("a", 1), ("a", 2), ("a", 2)]
+    assert rows(anti_join(left(spark), right(spark), "k")) == [("b", 3), (None, 4)]
 
 
-def test_pruned_semi_join_beyond_its_bound_is_a_join(spark):
-    assert rows(semi_join_pruned(left(spark), right(spark), "k", max_rows=1)) == [("a", 1), ("a", 2)]
-    assert "LeftSemi" in physical_plan(semi_join_pruned(left(spark), right(spark), "k", max_rows=1))
-    assert "Join" not in physical_plan(semi_join_pruned(left(spark), right(spark), "k", max_rows=3))
+def test_pruned_semi_join_is_a_join_behind_a_range(spark):
+    plan = physical_plan(semi_join_pruned(left(spark), right(spark), "k"))
+    assert "LeftSemi" in plan and ">= a" in plan and "<= c" in plan
 
 
 @pytest.mark.parametrize("strategy,node", [("shuffle_hash", "ShuffledHashJoin"), ("merge", "SortMergeJoin")])
@@ -60,15 +55,6 @@ def test_strategies_give_the_same_rows(spark, strategy, node):
     assert rows(joined) == rows(join_left_columns(left(spark), right(spark), "k"))
 
 
-def test_broadcast_only_below_its_bound(spark):
-    session = session_with(spark, NO_BROADCAST)
-    small = join_broadcast(left(session), right(session), "k", max_rows=4)
-    large = join_broadcast(left(session), right(session), "k", max_rows=3)
-    assert "BroadcastHashJoin" in physical_plan(small)
-    assert "Broadcast" not in physical_plan(large)
-    assert rows(small) == rows(large)
-
-
 def test_replicas(spark):
     copies = replicate(spark.createDataFrame([(5,)], "k bigint"), 3, 100)
     assert copies.columns == ["k", "id"] and rows(copies) == [(5, 0), (5, 100), (5, 200)]
@@ -106,12 +92,19 @@ def test_join_reads_two_columns_of_the_right_table(spark):
     assert "BroadcastHashJoin" in plan
 
 
+def test_joins_join(spark):
+    for query in (order_joins.join_table_table, order_joins.join_table_copy, order_joins.join_view_copy, order_joins.join_computed_filter):
+        assert "Join" in physical_plan(query(spark, FOLDER))
+
+
 def test_point_lookup_reads_one_key(spark):
-    for query in (order_joins.semi_join_key_pushdown, order_joins.join_table_table):
-        plan = physical_plan(query(spark, FOLDER))
-        assert "EqualTo(orderkey_pre,orderkey_0000000012)" in plan and "Join" not in plan
-    plan = physical_plan(order_joins.join_computed_filter(spark, FOLDER))
-    assert "In(orderkey_pre, [orderkey_0000000012,orderkey_0100000012," in plan and "Join" not in plan
+    plan = physical_plan(order_joins.semi_join_key_pushdown(spark, FOLDER))
+    assert "GreaterThanOrEqual(orderkey_pre,orderkey_0000000012)" in plan and "LeftSemi" in plan
+
+
+def test_output_table_is_replaced(spark):
+    first, second = (order_joins.join_output_table(spark, FOLDER).count() for _ in range(2))
+    assert first == second == order_joins.join_table_table(spark, FOLDER).count()
 
 
 def test_statistics_make_the_planner_broadcast(spark):

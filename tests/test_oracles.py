@@ -7,6 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, rows_of
+from millrace.plans import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -19,26 +20,25 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, database, name):
-    frame = queries()[name](spark, FOLDER)
+    frame = QUERIES[name](spark, FOLDER)
     found = rows_of(frame.columns, frame.collect())
     assert found[1], "no rows"
-    sql = oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql:
         relation = database.sql(sql)
         assert found == rows_of(relation.columns, relation.fetchall())
 
 
 def test_only_these_queries_have_no_sql():
-    # random forests and hashed embeddings; test_vectors and test_features check them by other means
-    assert set(queries()) - set(oracle_sql()) == {
-        "text_embedding_default",
-        "text_search_topk",
-        "forest_predictions",
-        "forest_score",
-    }
-    assert set(oracle_sql()) <= set(queries())
+    # hashed embeddings; test_vectors checks them by other means
+    assert set(QUERIES) - set(ORACLES) == {"text_embedding_default", "text_search_topk"}
+    assert set(ORACLES) <= set(QUERIES)
+
+
+def test_entry_module_has_them_all():
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):

@@ -19,7 +19,7 @@ from millrace.operators.tables import (
     set_parameter,
 )
 from millrace.sources.kafka import decode_json_records, kafka_options
-from millrace.sources.tables import catalog_table, number_range, rows_in_memory, spread, use_catalog
+from millrace.sources.tables import catalog_table, number_range, rows_in_memory, use_catalog
 from millrace.workspace import fresh_dir, shared_root
 from tests.conftest import physical_plan, rows
 
@@ -150,11 +150,6 @@ def test_scratch_folders_follow_the_session(spark):
     assert first != second and first.startswith(shared_root(spark) + "/")
 
 
-def test_spread_leaves_enough_partitions_alone(spark):
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 16)
-    assert spread(many) is many
-
 
 def test_kafka_options():
     connection = {"sasl.mechanism": "X", "kafka.security.protocol": "SASL_SSL"}
