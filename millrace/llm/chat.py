@@ -60,7 +60,7 @@ def messages(log: DataFrame) -> DataFrame:
     # from_end counts from the last event, so the latest start or edit has the smallest
     of_message = Window.partitionBy("conv_id", "turn")
     reset = F.min(F.when(F.col("kind").isin("start", "edit"), F.col("from_end"))).over(of_message)
-    pieces = alive.select("*", reset.alias("reset")).filter("reset is null or from_end <= reset or text is null")
+    pieces = alive.select("*", reset.alias("reset")).filter("reset is null or from_end <= reset or role is not null")
     used = F.when(F.col("reset").isNull() | (F.col("from_end") <= F.col("reset")), F.col("text"))
     return (
         pieces.groupBy("conv_id", "turn")
