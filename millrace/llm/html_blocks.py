@@ -274,7 +274,7 @@ def _variant(page: list[Block], others: list[list[Block]], rng: np.random.Genera
             made.append((Block(text, [("html",), ("body",), container, ("p",)], 0 if from_article else b.linked), 0))
 
     if rng.random() < 0.4:
-        foreign(str(rng.choice(["cookie", "notice", "banner", "header", "masthead"])), "div", 1, False)
+        foreign(str(rng.choice(["cookie", "notice", "banner", "header", "masthead"])), str(rng.choice(["div", "header"])), 1, False)
     for block, label in zip(page, labels):
         path = block.path
         if rename < 0.5:

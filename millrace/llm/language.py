@@ -17,8 +17,8 @@ UNKNOWN = "und"
 SAMPLE_DOCS = 512
 SAMPLE_CHARS = 512
 # A text is compressed in pieces of so many bytes, so the dictionary counts in all of it.
-PIECE = 256
-LEVEL = 3
+PIECE = 512
+LEVEL = 6
 _OTHER = re.compile(r"[\W\d_]+")
 # A language must save this share of the size that the runner-up needs, or the answer is rejected.
 MARGIN = 0.02

@@ -13,7 +13,7 @@ from millrace.llm.queries import QUERIES
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return trained(spark.read.parquet(f"{SMALL}/pages.parquet"))
+    return trained(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
 
 
 def article_of(page: str) -> str:
