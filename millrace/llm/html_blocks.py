@@ -26,9 +26,9 @@ from millrace.llm.common import pieces_of
 
 # Bound of the training sample.
 TRAIN_PAGES = 400
-VARIANTS = 6
+VARIANTS = 8
 EPOCHS = 16
-PATH_DIMS, WORD_DIMS, MEASURES, HIDDEN = 64, 48, 6, 16
+PATH_DIMS, WORD_DIMS, MEASURES, HIDDEN = 160, 48, 6, 16
 
 # HTML elements that do not begin a block, that hold no text, and that have no end tag.
 INLINE = set(
