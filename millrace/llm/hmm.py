@@ -27,7 +27,7 @@ OWN_SYMBOLS = 8192
 BUCKETS = 1024
 # Words whose counts every executor knows; the counts of all others are joined. A row of the table
 # is a word and a number.
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 16
 ROUNDS = 3
 # The starting point is fitted on a bounded sample of at most so many tokens.
 SAMPLE_TOKENS = 200_000
