@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -88,7 +88,21 @@ def _near(a: Column, b: Column, distance: int) -> Column:
 
 
 def linked_fingerprints(prints: DataFrame, distance: int = 4) -> DataFrame:
-    """``(fp, root)``: connected components of the distinct fingerprints ``(fp, n)`` that differ in ``distance`` bits at most.
+    """``(fp, root)``: connected components of the distinct fingerprints ``(fp, n)`` that differ in ``distance`` bits at most."""
+    count = prints.count()
+    masks = block_masks(pieces_for(count, distance), distance)
+    blocks = F.array(
+        *[F.struct(F.lit(i).alias("no"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)]
+    )
+    keyed = prints.select("fp", "n", F.explode(blocks).alias("block")).select("fp", "n", "block.no", "block.key")
+    return linked(prints, keyed, lambda pairs: pairs.filter(_near(F.col("a"), F.col("b"), distance)), count)
+
+
+def linked(prints: DataFrame, keyed: DataFrame, near: Callable[[DataFrame], DataFrame], count: int) -> DataFrame:
+    """``(fp, root)``: connected components of the nodes ``prints (fp, n)``, ``count`` of them.
+
+    ``keyed (fp, n, no, key)`` puts nodes into blocks; nodes of one block are linked where ``near``, which takes
+    and gives pairs ``(a, b)``, keeps their pair.
 
     No group of a block is paired with itself. First every member of a block is compared with the
     block's leader, its most frequent fingerprint, which ties dense groups together. Then, per block,
@@ -97,18 +111,12 @@ def linked_fingerprints(prints: DataFrame, distance: int = 4) -> DataFrame:
     the members left over, as often as it helps. The last comparison is complete, so no link between
     members not tied already is missed, whatever the rounds before found.
     """
-    count = prints.count()
-    masks = block_masks(pieces_for(count, distance), distance)
-    blocks = F.array(
-        *[F.struct(F.lit(i).alias("no"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)]
-    )
-    keyed = prints.select("fp", "n", F.explode(blocks).alias("block")).select("fp", "n", "block.no", "block.key")
     shared = keyed.groupBy("no", "key").agg(F.count("*").alias("size"), F.max(F.struct("n", "fp")).alias("leader"))
     shared = shared.filter("size > 1").select("no", "key", "size", F.col("leader.fp").alias("leader"))
     members = stage(keyed.join(shared, ["no", "key"]), "simhash-blocks")
 
-    near_leader = (F.col("fp") != F.col("leader")) & _near(F.col("fp"), F.col("leader"), distance)
-    edges = members.filter(near_leader).select(F.col("fp").alias("a"), F.col("leader").alias("b"))
+    with_leader = [F.col("fp").alias("a"), F.col("leader").alias("b")]
+    edges = near(members.filter("fp != leader").select(*with_leader))
     done = None
     while True:
         # tied: members whose best leader is the same one
@@ -128,13 +136,12 @@ def linked_fingerprints(prints: DataFrame, distance: int = 4) -> DataFrame:
             pairs = left.select("no", "key", F.col("fp").alias("a")).join(
                 members.select("no", "key", F.col("fp").alias("b")), ["no", "key"]
             )
-            found = pairs.filter((F.col("a") != F.col("b")) & _near(F.col("a"), F.col("b"), distance))
-            edges = edges.unionByName(found.select("a", "b"))
+            edges = edges.unionByName(near(pairs.filter("a != b").select("a", "b")))
             break
         done = work
         leaders = left.groupBy("no", "key").agg(F.max(F.struct("n", "fp")).alias("leader"))
         found = members.drop("leader").join(leaders.select("no", "key", F.col("leader.fp").alias("leader")), ["no", "key"])
-        found = found.filter(near_leader).select(F.col("fp").alias("a"), F.col("leader").alias("b"))
+        found = near(found.filter("fp != leader").select(*with_leader))
         edges = stage(edges.unionByName(found), "simhash-links")
     joined = prints.join(components(edges), prints["fp"] == F.col("node"), "left")
     return joined.select("fp", F.coalesce("root", "fp").alias("root"))
@@ -171,7 +178,12 @@ def one_per_group(docs: DataFrame, distance: int = 4, shingle: int = 4) -> DataF
     Where several rows have that ``doc_id`` (or a group has null ids only) the smallest text key
     decides, and of equal rows one stays.
     """
-    groups = near_duplicate_groups(docs, distance, shingle).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return least_of_groups(docs, near_duplicate_groups(docs, distance, shingle))
+
+
+def least_of_groups(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay by ``groups (doc_id, text_key, component_id, root)``, as in :func:`one_per_group`."""
+    groups = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = groups.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("k"), F.count("*").alias("rows"))
     kept = kept.select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_key").alias("kept_key"), "rows")
     # the rows travel as one struct, so their columns may have any names
