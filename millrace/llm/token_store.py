@@ -13,6 +13,7 @@ repeated after a lost executor replaces its output as a whole.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -45,14 +46,21 @@ class WordEncoder:
 
     The tokenizer in question lower-cases, drops white space and splits at every change between
     letters, digits and other signs before it merges, so a text's ids are those of its words in order,
-    and a word's ids those of its stem and of its trailing ASCII punctuation.
+    and a word's ids those of its stem and of its trailing ASCII punctuation. The tokenizer's added tokens
+    are recognised first, in the raw text; what lies between them is tokenized by itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {token.content: i for i, token in added.items()}
+        # Only tokens that are found as they stand, in the raw text, can be split off first.
+        self.plain = not any(t.normalized or t.lstrip or t.rstrip or t.single_word or t.content.split() != [t.content] for t in added.values())
+        either = "|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))
+        self.split_added = re.compile(f"({either})")
+        self.lowered = [c.encode().lower().decode() for c in self.added]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.young: dict[str, bytes] = {}
@@ -107,8 +115,37 @@ class WordEncoder:
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch of texts in one array, and the number of ids per text; a null text has none."""
+        if not self.plain:
+            own = [e.ids for e in self.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+            return np.array([i for ids in own for i in ids], dtype=self.kind), np.array([len(ids) for ids in own], dtype=np.int64)
         split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
         coded = split.flatten().dictionary_encode()
+        # an added token lies within a word, and distinct words are few
+        if any(pc.any(pc.match_substring(coded.dictionary, c)).as_py() for c in self.lowered):
+            return self._around_added(texts)
+        return self._of_words(split, coded)
+
+    def _around_added(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`batch`, for texts that may hold added tokens."""
+        pieces: list[str] = []
+        between: list[int] = []
+        counts, marks = [], []
+        for text in texts.to_pylist():
+            parts = self.split_added.split(text or "")
+            # pieces of text and added tokens take turns, a piece first and last
+            between += [len(pieces) + i for i in range(len(parts) // 2)]
+            marks += [self.added[t] for t in parts[1::2]]
+            pieces += parts[::2]
+            counts.append(len(parts) // 2 + 1)
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(pieces, pa.string())))
+        flat, lengths = self._of_words(split, split.flatten().dictionary_encode())
+        flat = np.insert(flat, np.cumsum(lengths)[between], np.array(marks, dtype=self.kind))
+        lengths[between] += 1
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *counts])]
+        return flat, np.diff(ends)
+
+    def _of_words(self, split: pa.ListArray, coded: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`batch`, for texts as lists of words and their words as a dictionary."""
         ids = self.ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.kind.itemsize
         flat = np.frombuffer(b"".join(ids), dtype=self.kind)
