@@ -32,8 +32,8 @@ ROUNDS = 3
 # The starting point is fitted on a bounded sample of at most so many tokens.
 SAMPLE_TOKENS = 200_000
 SAMPLE_ROUNDS = 25
-# Training cuts longer sequences, scoring runs the parts of longer ones side by side.
-TRAIN_WINDOW = 256
+# Training and scoring run the parts of longer sequences side by side, with the results of whole ones.
+TRAIN_WINDOW = 2048
 SCORE_WINDOW = 2048
 _SCALE = 1 << 20
 _LOG10 = np.log(10.0)
@@ -120,23 +120,24 @@ def _ordered(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def expected_counts(model: Model, symbols: np.ndarray, offsets: np.ndarray, window: int = TRAIN_WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Baum-Welch counts ``(start, move, emit)`` of sequences, ``symbols[offsets[i]:offsets[i + 1]]`` each.
 
-    Sequences are cut into windows. All windows of one number of steps to go are processed together;
-    one that continues a sequence starts from the model's long-run states.
+    Sequences are cut into windows; all windows of one number of steps to go are processed together. The states
+    before a window and the message from what follows it are carried over the cut by transfer matrices, so the
+    counts are those of whole sequences.
     """
     states, size = model.emit.shape
     cuts = np.concatenate([np.arange(a, b, window) for a, b in zip(offsets, offsets[1:])] + [offsets[-1:]]).astype(np.int64)
     first = np.isin(cuts[:-1], offsets[:-1])
+    before, after = _carried(model, symbols, offsets, cuts, window)
     order, lengths = _ordered(cuts)
-    begins, first = cuts[:-1][order], first[order]
+    begins, first, before, after = cuts[:-1][order], first[order], before[order], after[order]
     emit = np.ascontiguousarray(model.emit.T)
-    longrun = np.linalg.matrix_power(model.move, 64)[0]
     steps = int(lengths[0]) if len(lengths) else 0
     active = np.searchsorted(-lengths, -np.arange(steps), side="left")  # windows longer than t
     total = np.concatenate([[0], np.cumsum(active)])
     alphas = np.empty((int(total[-1]), states))
     scales = np.empty(int(total[-1]))
     seen = np.empty(int(total[-1]), dtype=np.int64)
-    alpha = np.where(first[:, None], model.start, longrun)
+    alpha = np.where(first[:, None], model.start, before @ model.move)
     for t in range(steps):
         n, here = active[t], slice(total[t], total[t + 1])
         seen[here] = symbols[begins[:n] + t]
@@ -147,31 +148,56 @@ def expected_counts(model: Model, symbols: np.ndarray, offsets: np.ndarray, wind
     move = np.zeros((states, states))
     gammas = alphas.copy()
     beta = np.ones((0, states))
-    for t in range(steps - 1, 0, -1):
-        n, here, there = active[t], slice(total[t], total[t + 1]), slice(total[t - 1], total[t - 1] + active[t])
-        beta = np.concatenate([beta, np.ones((n - len(beta), states))])
+    for t in range(steps - 1, -1, -1):
+        n, here = active[t], slice(total[t], total[t + 1])
+        beta = np.concatenate([beta, after[len(beta) : n]])
+        gammas[here] *= beta
         weighted = beta * emit[seen[here]] / scales[here][:, None]
-        move += alphas[there].T @ weighted
+        earlier = alphas[total[t - 1] : total[t - 1] + n] if t else np.where(first[:, None], 0.0, before)
+        move += earlier.T @ weighted
         beta = weighted @ model.move.T
-        gammas[there] *= beta
     move *= model.move
     counts = np.stack([np.bincount(seen, weights=gammas[:, k], minlength=size) for k in range(states)])
     start = gammas[: active[0]][first].sum(axis=0) if steps else np.zeros(states)
     return start, move, counts
 
 
-def log_likelihood(model: Model, symbols: np.ndarray, offsets: np.ndarray, window: int = SCORE_WINDOW) -> np.ndarray:
-    """Natural logarithm of every sequence's exact probability, by the scaled forward recursion.
-
-    Long sequences are cut into parts. The first part runs from the start states; for each other part
-    the recursion runs from every state at once, side by side with all other parts, and the resulting
-    transfer matrices are multiplied in order. The result is that of one long recursion.
+def _carried(model: Model, symbols: np.ndarray, offsets: np.ndarray, cuts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per window between ``cuts`` the states of the step before it, and the scaled backward message at its last step."""
+    states = len(model.start)
+    before, after = np.zeros((len(cuts) - 1, states)), np.ones((len(cuts) - 1, states))
+    spans = [(a, b) for a, b in zip(offsets.tolist(), offsets[1:].tolist()) if b - a > window]
+    if not spans:
+        return before, after
+    owner, begins, later, place, ends, logs = _transfers(model, symbols, spans, window)
+    at = np.searchsorted(cuts, begins)
+    last = np.empty((len(owner), states))
+    for j in range(len(owner)):
+        if not later[j]:
+            last[j] = ends[place[j]]
+            continue
+        before[at[j]] = last[j - 1]
+        log = logs[place[j] : place[j] + states]
+        last[j] = (last[j - 1] * np.exp(log - log.max())) @ ends[place[j] : place[j] + states]
+        last[j] /= last[j].sum()
+    for j in range(len(owner) - 2, -1, -1):
+        if later[j + 1]:
+            log = logs[place[j + 1] : place[j + 1] + states]
+            message = np.exp(log - log.max()) * (ends[place[j + 1] : place[j + 1] + states] @ after[at[j + 1]])
+            after[at[j]] = message / (last[j] @ message)
+    return before, after
+
+
+def _transfers(model: Model, symbols: np.ndarray, spans: list[tuple[int, int]], window: int) -> tuple[np.ndarray, ...]:
+    """The parts of the sequences ``spans``: ``(owner, begins, later, place, ends, logs)``.
+
+    ``ends[place[j]]`` are the scaled states after part ``j`` and ``logs`` the logarithm of their scale: one row
+    from the start for a sequence's first part, one from every state before it for a later one.
     """
     states = len(model.start)
     emit = np.ascontiguousarray(model.emit.T)
-    count = len(offsets) - 1
     owner, begins, lengths, rows = [], [], [], []
-    for i, (a, b) in enumerate(zip(offsets.tolist(), offsets[1:].tolist())):
+    for i, (a, b) in enumerate(spans):
         for c in range(a, b, window):
             owner.append(i)
             begins.append(c)
@@ -206,6 +232,19 @@ def log_likelihood(model: Model, symbols: np.ndarray, offsets: np.ndarray, windo
     back[order] = np.arange(len(part))
     ends, logs = ends[back], logs[back]
     place = np.cumsum(copies) - copies
+    return owner, begins, later, place, ends, logs
+
+
+def log_likelihood(model: Model, symbols: np.ndarray, offsets: np.ndarray, window: int = SCORE_WINDOW) -> np.ndarray:
+    """Natural logarithm of every sequence's exact probability, by the scaled forward recursion.
+
+    Long sequences are cut into parts. The first part runs from the start states; for each other part
+    the recursion runs from every state at once, side by side with all other parts, and the resulting
+    transfer matrices are multiplied in order. The result is that of one long recursion.
+    """
+    states = len(model.start)
+    count = len(offsets) - 1
+    owner, _, later, place, ends, logs = _transfers(model, symbols, list(zip(offsets.tolist(), offsets[1:].tolist())), window)
     result = np.zeros(count)
     vector: dict[int, np.ndarray] = {}
     for j, i in enumerate(owner):
@@ -339,7 +378,7 @@ def trained(sequences: DataFrame, frequency: np.ndarray, states: int = STATES, r
         sample = pa.RecordBatch.from_arrays([pa.array(picked, pa.binary())], ["symbols"])
         symbols, offsets = _sequences(sample)
         for _ in range(SAMPLE_ROUNDS):
-            model = Model.from_counts(*expected_counts(model, symbols, offsets, 64), frequency)
+            model = Model.from_counts(*expected_counts(model, symbols, offsets), frequency)
     size = len(frequency)
     for _ in range(rounds):
         current = model

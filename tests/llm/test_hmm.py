@@ -64,6 +64,15 @@ def test_expected_counts():
         assert np.allclose(found, wanted)
 
 
+@pytest.mark.parametrize("window", [1, 4, 7, 17])
+def test_expected_counts_do_not_depend_on_cuts(window):
+    sticky = random_model(3, 7)
+    sticky.move[:] = 0.001 * sticky.move + 0.999 * np.eye(3)
+    for m in (random_model(3, 7), sticky):
+        for found, wanted in zip(expected_counts(m, SYMBOLS, OFFSETS, window), expected_counts(m, SYMBOLS, OFFSETS, 1000)):
+            assert np.allclose(found, wanted)
+
+
 def test_query(spark):
     rows = {r["doc_id"]: r for r in QUERIES["op7_lm_scoring"](spark, SMALL).collect()}
     docs = {r[0]: (r[1] or "").encode().lower().split() for r in table("documents")}
