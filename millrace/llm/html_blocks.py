@@ -33,9 +33,10 @@ PATH_DIMS, WORD_DIMS, MEASURES, HIDDEN = 160, 48, 6, 16
 # HTML elements that do not begin a block, that hold no text, and that have no end tag.
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr img".split()
+    "strong sub sup time tt u var wbr img object param math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover "
+    "munderover mmultiscripts mtable mtr mtd mstyle mpadded mphantom menclose merror semantics".split()
 )
-HIDDEN_TEXT = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "textarea")
+HIDDEN_TEXT = ("script", "style", "noscript", "template", "iframe", "svg", "textarea")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 # An open element of the value is closed by the start of one of the key.
 CLOSES = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -49,7 +50,8 @@ OTHER_NAMES = set(
 )
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(HIDDEN_TEXT) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>"
+    r"|<(?P<raw>" + "|".join(HIDDEN_TEXT) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
     re.S | re.I,
 )

@@ -80,3 +80,15 @@ def test_odd_pages(spark, model):
     found = extracted(frame, model).collect()
     assert [r["text"] for r in found][:4] == [""] * 4 and found[4]["n_chars"] in (0, len("long text. " * 30_000) - 1)
     assert extracted(frame.limit(0), model).count() == 0 and trained(frame.limit(0)).hidden == 16
+
+
+def test_text_after_and_inside_other_elements_stays():
+    for name in ("svg-icon", "template-card", "style-guide"):
+        assert [b.text for b in blocks_of(f"<p>a</p><{name}></{name}><p>rest of article</p>")] == ["a", "rest of article"]
+    for empty in ("<svg/>", "<svg class='x>y' viewBox=\"0 0 1 1\" />", "<math/>", "<math display='block' />", "<svg><path d='M0'/></svg>"):
+        assert [b.text for b in blocks_of(f"<p>a</p>{empty}<p>rest</p>")] == ["a", "rest"]
+    math = "<p>where <math><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow></math> holds</p><p>rest</p>"
+    assert [b.text for b in blocks_of(math)] == ["where x=1 holds", "rest"]
+    held = "<p>a <object data='f'><param name='n'>told inside</object> b</p><p>rest</p>"
+    assert [b.text for b in blocks_of(held)] == ["a told inside b", "rest"]
+    assert [b.text for b in blocks_of("<p>a</p><svg><text>no</text></svg><script>no</script><p>b</p>")] == ["a", "b"]
