@@ -139,8 +139,6 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.exp(first) * total["sum"]
 
 
-
-
 def chosen_rungs(holdout: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """``(stratum, rung, n_good, n_rejected)``: the strictest rung that holds in each stratum.
 
@@ -200,10 +198,12 @@ def keep_good(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: f
 
     Null and empty texts have no words and fail the base rules. An empty table stays empty.
     """
-    rungs = rungs_for(stage(measured(docs), "quality-measures"), labels, alpha, delta)
     names = docs.columns
-    own = docs.select(F.struct(*names).alias("_row"), "text", F.col("lang").alias("stratum"))
-    judged = with_measures(own).select(
-        "_row", "stratum", base_failed(F.col("measures")).alias("base_failed"), strictest_passed(F.col("measures")).alias("passed")
+    m = F.col("measures")
+    judged = with_measures(docs.select(F.struct(*names).alias("_row"), "doc_id", "text", F.col("lang").alias("stratum"))).select(
+        "_row", "doc_id", "stratum", base_failed(m).alias("base_failed"), strictest_passed(m).alias("passed")
     )
-    return verdicts(judged, rungs).filter("kept").select("_row.*")
+    # every text is measured once: what passes the base rules is written with its rung and read twice, once narrow
+    passed = stage(judged.filter("not base_failed"), "quality-passed")
+    rungs = rungs_for(passed.select("doc_id", "stratum", "base_failed", "passed"), labels, alpha, delta)
+    return verdicts(passed.select("_row", "stratum", "base_failed", "passed"), rungs).filter("kept").select("_row.*")

@@ -94,7 +94,9 @@ def linked_fingerprints(prints: DataFrame, distance: int = 4) -> DataFrame:
     blocks = F.array(
         *[F.struct(F.lit(i).alias("no"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)]
     )
-    keyed = prints.select("fp", "n", F.explode(blocks).alias("block")).select("fp", "n", "block.no", "block.key")
+    # few bytes, but many blocks for each: spread before the explode, whatever files the table came in
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = prints.repartition(tasks, "fp").select("fp", "n", F.explode(blocks).alias("block")).select("fp", "n", "block.no", "block.key")
     return linked(prints, keyed, lambda pairs: pairs.filter(_near(F.col("a"), F.col("b"), distance)), count)
 
 

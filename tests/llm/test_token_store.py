@@ -17,8 +17,8 @@ from millrace.workspace import fresh_dir
 
 
 def plain_ids(texts: list) -> list[list[int]]:
+    """The contract: every text encoded whole, nothing switched."""
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -86,12 +86,6 @@ def test_small_blocks_and_odd_rows(spark):
     assert document_digests(odd(spark, []), tokenizer_path()).count() == 0
 
 
-def whole_ids(texts: list) -> list[list[int]]:
-    """The contract: every text encoded whole, nothing switched."""
-    tokenizer = Tokenizer.from_file(tokenizer_path())
-    return [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
-
-
 END, START = "<|endoftext|>", "<|startoftext|>"
 WITH_ADDED = [
     f"a {END} b", f"a{END}b {START}", f"{START}{END}{END}", f"it's{END}'s, x.{START}!? 12{END}3", None, "plain words",
@@ -100,12 +94,12 @@ WITH_ADDED = [
 
 
 def test_added_tokens_are_recognised(spark):
-    assert whole_ids([f"a {END} b"]) == [[320, 49407, 321]]
+    assert plain_ids([f"a {END} b"]) == [[320, 49407, 321]]
     flat, lengths = WordEncoder.of(tokenizer_path()).batch(pa.array(WITH_ADDED, pa.string()))
-    assert [f.tolist() for f in np.split(flat, np.cumsum(lengths)[:-1])] == whole_ids(WITH_ADDED)
+    assert [f.tolist() for f in np.split(flat, np.cumsum(lengths)[:-1])] == plain_ids(WITH_ADDED)
     docs = spark.createDataFrame(list(enumerate(WITH_ADDED)), "doc_id bigint, text string")
     found = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in document_digests(docs, tokenizer_path()).collect()}
-    wanted = [[*ids, 1] for ids in whole_ids(WITH_ADDED)]
+    wanted = [[*ids, 1] for ids in plain_ids(WITH_ADDED)]
     assert found == {i: (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())) for i, ids in enumerate(wanted)}
 
 
@@ -114,4 +108,4 @@ def test_added_tokens_are_recognised(spark):
 def test_added_tokens_among_anything(texts):
     flat, lengths = WordEncoder.of(tokenizer_path()).batch(pa.array(texts, pa.string()))
     found = np.split(flat, np.cumsum(lengths)[:-1]) if len(texts) else []
-    assert [f.tolist() for f in found] == whole_ids(texts)
+    assert [f.tolist() for f in found] == plain_ids(texts)
