@@ -102,3 +102,61 @@ SELECT doc_id, item_id, max(matched)::BIGINT AS matched, max(item_words)::BIGINT
 FROM places WHERE matched >= CASE WHEN item_words >= 13 THEN 11 ELSE item_words END
 GROUP BY doc_id, item_id
 """
+
+_FRAMED = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+_LEAF = f"sha256(concat({', '.join(_FRAMED.format(c) for c in ('doc_id', 'source', 'lang', 'n_chars', '{text}'))}))"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Nodes (grp, level, i, h, n) of the trees over leaves (grp, i, h, n), level by level."""
+    return f"""{name}(grp, level, i, h, n) AS (
+    SELECT grp, 0, i, h, n FROM {leaves}
+    UNION ALL
+    SELECT grp, level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), max((n + 2) // 3) FROM {name} WHERE n > 1 GROUP BY grp, level, i // 3)"""
+
+
+def _sides(rows: str, tree: str) -> str:
+    """Siblings of the leaves of ``rows`` in ``tree``, as 'left|right' per level."""
+    return f"""
+    SELECT rid, own.level, coalesce(string_agg(s.h, '' ORDER BY s.i) FILTER (s.i < own.i), '') || '|'
+        || coalesce(string_agg(s.h, '' ORDER BY s.i) FILTER (s.i > own.i), '') AS step
+    FROM {rows} JOIN {tree} AS own ON own.grp IS NOT DISTINCT FROM {rows}.grp AND own.i = {rows}.i // (3 ** own.level)::BIGINT AND own.n > 1
+    JOIN {tree} AS s ON s.grp IS NOT DISTINCT FROM own.grp AND s.level = own.level AND s.i // 3 = own.i // 3
+    GROUP BY rid, own.level"""
+
+
+# crc32 bit by bit: a table of 256 values, then a step per digit.
+MERKLE = f"""
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: xor(c >> 1, (c & 1) * 3988292384)) ORDER BY i) AS t
+    FROM range(256) AS r(i)),
+d AS (SELECT row_number() OVER () AS rid, * FROM documents),
+l AS (
+    SELECT rid, doc_id, source AS grp, {_LEAF.format(text="text")} AS h,
+        {_LEAF.format(text="replace(text, chr(10), '')")} AS cut,
+        xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 2 = 0 AS touched
+    FROM d, crc),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY grp) AS n FROM l),
+{_tree("lower", "leaves")},
+groups AS (
+    SELECT row_number() OVER () AS rid, 0 AS grp, lower.grp AS of, h,
+        row_number() OVER (ORDER BY lower.grp NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM lower WHERE n = 1),
+{_tree("upper", "groups")},
+below AS ({_sides("leaves", "lower")}),
+above AS ({_sides("groups", "upper")}),
+paths AS (
+    SELECT rid, list(step ORDER BY place, level) AS path FROM (
+        SELECT rid, 0 AS place, level, step FROM below UNION ALL
+        SELECT leaves.rid, 1, above.level, step
+        FROM leaves JOIN groups ON groups.of IS NOT DISTINCT FROM leaves.grp JOIN above ON above.rid = groups.rid) GROUP BY rid),
+proved AS (
+    SELECT doc_id, leaves.h AS leaf, groups.h AS subroot, (SELECT h FROM upper WHERE n = 1) AS root,
+        sha256(replace(array_to_string(coalesce(path, []), ''), '|', '')) AS proof_sha256,
+        list_reduce([CASE WHEN touched AND text_cut THEN cut ELSE leaves.h END] || coalesce(path, []),
+            lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2))) AS folded_root
+    FROM (SELECT *, cut <> h AS text_cut FROM leaves) AS leaves
+    JOIN groups ON groups.of IS NOT DISTINCT FROM leaves.grp LEFT JOIN paths ON paths.rid = leaves.rid)
+SELECT *, folded_root = root AS verified FROM proved
+"""

@@ -13,8 +13,9 @@ from millrace.llm.hmm import scored
 from millrace.llm.html_blocks import extracted, trained
 from millrace.llm.language import dictionaries, fold, identified
 from millrace.llm.line_dedup import without_shared_lines
+from millrace.llm.merkle import proved
 from millrace.llm.mixing import mixture
-from millrace.llm.oracles import CHAT, LINES, OVERLAPS, QUALITY
+from millrace.llm.oracles import CHAT, LINES, MERKLE, OVERLAPS, QUALITY
 from millrace.llm.quality import measured, rungs_for, verdicts
 from millrace.llm.simhash import near_duplicate_groups
 from millrace.llm.spaced_seeds import contaminated
@@ -104,6 +105,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identified(docs, contents).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and verdict of every document; of every other one the line breaks are gone when it is verified."""
+    touched = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    tampered = F.when(touched, F.translate("text", "\n", ""))
+    return proved(fixture(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_quality_rules": op2_quality_rules,
@@ -115,6 +123,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_language_id": op10_language_id,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
 # The others have no SQL; tests/llm compares them with brute force.
@@ -123,4 +132,5 @@ ORACLES = {
     "op3_chat_formatting": CHAT,
     "op6_line_dedup": LINES,
     "op9_benchmark_decontamination": OVERLAPS,
+    "op12_merkle_manifest": MERKLE,
 }
