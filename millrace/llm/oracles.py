@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from millrace.llm.chat import BEGIN, CONTROL, END, FINISH, TEXT, TURN
 from millrace.llm.common import ASCII_UPPER
+from millrace.llm.lexical import TERM
 from millrace.llm.quality import ALPHA, DELTA, LADDER
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -160,3 +161,27 @@ proved AS (
     JOIN groups ON groups.of IS NOT DISTINCT FROM leaves.grp LEFT JOIN paths ON paths.rid = leaves.rid)
 SELECT *, folded_root = root AS verified FROM proved
 """
+
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_UPPER.lower()}'), '{TERM}')"
+
+SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS terms FROM documents),
+n AS (SELECT rid, doc_id, len(terms) AS n FROM d),
+total AS (SELECT count(*) FILTER (n > 0) AS docs, sum(n)::BIGINT AS terms FROM n),
+dt AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM dt GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w FROM df, total),
+i AS (
+    SELECT iid, item_id, term, count(*) AS qtf
+    FROM (SELECT row_number() OVER () AS iid, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+weighed AS (
+    SELECT rid, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total.terms)) AS damped
+    FROM dt JOIN n USING (rid), total),
+scored AS (
+    SELECT iid, item_id, rid, sum(qtf * w * damped)::BIGINT AS score
+    FROM i JOIN w USING (term) JOIN weighed USING (term) GROUP BY ALL),
+placed AS (
+    SELECT item_id, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+    FROM scored JOIN n USING (rid) WHERE score > 0)
+SELECT * FROM placed WHERE rank <= 20
+"""

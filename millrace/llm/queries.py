@@ -12,10 +12,11 @@ from millrace.llm.common import stage
 from millrace.llm.hmm import scored
 from millrace.llm.html_blocks import extracted, trained
 from millrace.llm.language import dictionaries, fold, identified
+from millrace.llm.lexical import ranked_documents
 from millrace.llm.line_dedup import without_shared_lines
 from millrace.llm.merkle import proved
 from millrace.llm.mixing import mixture
-from millrace.llm.oracles import CHAT, LINES, MERKLE, OVERLAPS, QUALITY
+from millrace.llm.oracles import CHAT, LINES, MERKLE, OVERLAPS, QUALITY, SEARCH
 from millrace.llm.quality import measured, rungs_for, verdicts
 from millrace.llm.simhash import near_duplicate_groups
 from millrace.llm.spaced_seeds import contaminated
@@ -105,6 +106,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identified(docs, contents).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest-scoring documents of every benchmark item."""
+    return ranked_documents(fixture(spark, sf_dir, "documents"), fixture(spark, sf_dir, "benchmark"), top=20)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and verdict of every document; of every other one the line breaks are gone when it is verified."""
     touched = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
@@ -123,6 +129,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_language_id": op10_language_id,
+    "op11_lexical_search": op11_lexical_search,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
 
@@ -132,5 +139,6 @@ ORACLES = {
     "op3_chat_formatting": CHAT,
     "op6_line_dedup": LINES,
     "op9_benchmark_decontamination": OVERLAPS,
+    "op11_lexical_search": SEARCH,
     "op12_merkle_manifest": MERKLE,
 }
