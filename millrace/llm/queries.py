@@ -20,6 +20,7 @@ from millrace.llm.oracles import CHAT, LINES, MERKLE, OVERLAPS, QUALITY, SEARCH
 from millrace.llm.quality import measured, rungs_for, verdicts
 from millrace.llm.simhash import near_duplicate_groups
 from millrace.llm.spaced_seeds import contaminated
+from millrace.llm.suffix_dedup import without_repeats
 from millrace.llm.token_store import document_digests
 from millrace.sources.tables import fixture
 
@@ -118,6 +119,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proved(fixture(spark, sf_dir, "documents"), tampered)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the bytes of repeated 400-byte strings."""
+    return without_repeats(fixture(spark, sf_dir, "documents"), length=400, digest=True)
+
+
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_quality_rules": op2_quality_rules,
@@ -131,6 +137,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_lexical_search": op11_lexical_search,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 # The others have no SQL; tests/llm compares them with brute force.
