@@ -7,10 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.arrays import argmax, argmax_in_pandas
+from millrace.operators.vector_index import build_index, index_top_k, probes_for, recall
 from millrace.operators.vectors import centroids, cosine_top_k, embed_text, term_counts
 from millrace.sources.tables import fixture
 
 NEIGHBOURS = 5
+# The share of the exact neighbours that the index has to find, and the share it is tuned for on other queries.
+RECALL = 0.9
+TUNED = 0.95
 DECIMALS = 6
 
 
@@ -54,6 +58,36 @@ def text_search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _every_fiftieth(vectors: DataFrame, first: int = 0) -> DataFrame:
+    return vectors.filter(f"vec_id % 50 = {first}")
+
+
+def vector_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbours of every fiftieth vector through the index, with all cells probed: the exact answer."""
+    vectors = fixture(spark, sf_dir, "embeddings")
+    index = build_index(vectors, "vec_id")
+    found = index_top_k(index, _every_fiftieth(vectors), NEIGHBOURS, "vec_id", probes=len(index.centroids))
+    return found.select(
+        F.col("query_id").alias("vec_id"), F.col("neighbour_id").alias("other_id"), "rank", F.round("score", DECIMALS).alias("score")
+    )
+
+
+def vector_index_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the index finds of the exact neighbours of every fiftieth vector, with as many probes as other vectors needed.
+
+    The supplied vectors have no clusters (the nearest neighbour's similarity is about 0.4), so more than half the cells are probed.
+    """
+    vectors = fixture(spark, sf_dir, "embeddings")
+    index = build_index(vectors, "vec_id")
+    others, asked = _every_fiftieth(vectors, 25), _every_fiftieth(vectors)
+    known = cosine_top_k(spark, vectors, others, NEIGHBOURS, "vec_id", "vec_id")
+    probes = probes_for(index, others, known, TUNED, "vec_id")
+    found = index_top_k(index, asked, NEIGHBOURS, "vec_id", probes=probes)
+    exact = cosine_top_k(spark, vectors, asked, NEIGHBOURS, "vec_id", "vec_id")
+    share = F.col("hits") / F.col("expected")
+    return recall(found, exact).select("expected", (share >= RECALL).alias("recall_reached"))
+
+
 def argmax_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture(spark, sf_dir, "embeddings").select("vec_id", argmax(F.col("embedding")).alias("position"))
 
@@ -68,10 +102,29 @@ QUERIES = {
     "text_embedding_default": text_embedding_default,
     "text_embedding_norms": text_embedding_norms,
     "text_search_topk": text_search_topk,
+    "vector_index_search": vector_index_search,
+    "vector_index_recall": vector_index_recall,
     "argmax_array": argmax_array,
     "argmax_pandas": argmax_pandas,
 }
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _embedding(table: str, key: str) -> str:
+    """Hashed word counts of every text, scaled to length 1."""
+    return rf"""
+        SELECT {key}, list_transform(counts, lambda n: CAST(coalesce(n / nullif(sqrt(list_sum(list_transform(counts, lambda x: x * x))), 0), 0) AS FLOAT))
+            AS embedding
+        FROM (
+            SELECT {key}, list_transform(range(256), lambda i: CAST(len(list_filter(positions, lambda p: p = i)) AS DOUBLE)) AS counts
+            FROM (
+                SELECT {key}, list_transform(
+                    list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[\x20\x09-\x0D]+'), lambda w: w <> ''),
+                    lambda w: CAST('0x' || substr(md5(w), 1, 7) AS BIGINT) % 256) AS positions
+                FROM {table}))"""
+
+
 _ARGMAX = "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INT) AS position FROM embeddings"
 
 ORACLES = {
@@ -91,6 +144,31 @@ ORACLES = {
         SELECT CAST(label AS BIGINT) AS label, rank, vec_id, round(score, {DECIMALS}) AS score
         FROM ranked WHERE rank <= {NEIGHBOURS}
     """,
+    "vector_index_search": f"""
+        WITH scores AS (
+            SELECT q.vec_id, e.vec_id AS other_id, round(list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 9) AS score
+            FROM embeddings e CROSS JOIN (FROM embeddings WHERE vec_id % 50 = 0) q
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, other_id)::INTEGER AS rank FROM scores
+        )
+        SELECT vec_id, other_id, rank, round(score, {DECIMALS}) AS score FROM ranked WHERE rank <= {NEIGHBOURS}
+    """,
+    "vector_index_recall": f"""
+        SELECT {NEIGHBOURS} * count(*) FILTER (vec_id % 50 = 0) AS expected, true AS recall_reached FROM embeddings
+    """,
+    "text_embedding_default": _embedding("documents", "doc_id"),
+    "text_search_topk": f"""
+        WITH d AS ({_embedding("documents", "doc_id")}), b AS ({_embedding("benchmark", "item_id")}),
+        scores AS (
+            SELECT item_id, doc_id, round(list_cosine_similarity(b.embedding::DOUBLE[], d.embedding::DOUBLE[]), 9) AS score
+            FROM d CROSS JOIN b WHERE list_max(d.embedding) > 0 AND list_max(b.embedding) > 0
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores
+        )
+        SELECT item_id, doc_id, rank, round(score, {DECIMALS}) AS score FROM ranked WHERE rank <= {NEIGHBOURS}
+    """,
     # Java's split drops trailing empty pieces
     "text_term_counts": r"""
         SELECT doc_id, CAST(len(regexp_split_to_array(regexp_replace(text, '\s+$', ''), '\s')) AS BIGINT) AS words
