@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.preview import preview
-from millrace.operators.statistics import analyze_table, column_profile, stored_statistics
+from millrace.operators.statistics import (
+    analyze_table,
+    append_statistics,
+    column_profile,
+    distinct_counts,
+    merged_statistics,
+    stored_statistics,
+)
 from millrace.operators.tables import replace_catalog_table, set_parameter
 from millrace.sources.tables import catalog_table, fixture, number_range, path_table, rows_in_memory, use_catalog
 from millrace.workspace import fresh_dir
@@ -65,21 +72,56 @@ def profile_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return column_profile(fixture(spark, sf_dir, "orders"), exact=True)
 
 
+def _close(estimate: Column, exact: Column, tolerance: float) -> Column:
+    return F.abs(estimate - exact) <= F.ceil(tolerance * exact)
+
+
+def _with_judged_counts(spark: SparkSession, sf_dir: str, profile: DataFrame, tolerance: float) -> DataFrame:
+    """``distinct_values`` is an estimate: it is exchanged for whether it is near the exact number."""
+    exact = distinct_counts(fixture(spark, sf_dir, "orders")).withColumnRenamed("distinct_values", "exact")
+    judged = _close(F.col("distinct_values").cast("double"), F.coalesce("exact", F.lit(0)), tolerance)
+    return profile.join(exact, "column_name", "left").withColumn("distinct_close", judged).drop("distinct_values", "exact")
+
+
 def profile_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The one-pass profile; its distinct counts are estimates and are left out of the comparison."""
-    return column_profile(fixture(spark, sf_dir, "orders")).drop("distinct_values")
+    """The one-pass profile; its distinct counts are within 8 % (four standard deviations) of the exact ones."""
+    return _with_judged_counts(spark, sf_dir, column_profile(fixture(spark, sf_dir, "orders")), 0.08)
+
+
+def statistics_of_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All measures after three appends, merged from stored sketches; estimates are judged against exact values."""
+    orders, path = fixture(spark, sf_dir, "orders"), fresh_dir(spark, "sketches")
+    for part in range(3):
+        append_statistics(orders.filter(F.col("o_orderkey") % 3 == part), path)
+    merged = merged_statistics(spark, path, (0.25, 0.75))
+    # the rank of an estimated quantile is near the rank asked for
+    sizes = orders.select(*[F.col(c).cast("double").alias(c) for c in _NUMERIC])
+    wanted = merged.filter("quantiles is not null").select("column_name", F.posexplode("quantiles").alias("at", "value"))
+    pairs = sizes.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("x")) for c in _NUMERIC])))
+    ranks = pairs.join(F.broadcast(wanted), "column_name").groupBy("column_name", "at").agg(
+        F.avg((F.col("x") <= F.col("value")).cast("double")).alias("rank")
+    )
+    near = ranks.groupBy("column_name").agg(
+        F.max(F.abs(F.col("rank") - F.when(F.col("at") == 0, 0.25).otherwise(0.75))).alias("off")
+    )
+    judged = _with_judged_counts(spark, sf_dir, merged.drop("quantiles"), 0.04).join(near, "column_name", "left")
+    return judged.withColumn("quantiles_close", F.coalesce(F.col("off") <= 0.02, F.lit(True))).drop("off")
 
 
 def table_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the catalog stores; its distinct counts are estimates with 5 % standard deviation by default."""
     name = _saved_orders(spark, sf_dir)
     analyze_table(spark, name)
-    return stored_statistics(spark, name).select(
+    stored = stored_statistics(spark, name).select(
         "column_name",
         F.col("nulls").cast("bigint").alias("nulls"),
         F.expr("try_cast(min_value AS double)").alias("min_number"),
         F.expr("try_cast(max_value AS double)").alias("max_number"),
+        F.col("avg_len").cast("bigint").alias("avg_len"),
         F.col("max_len").cast("bigint").alias("max_len"),
+        F.col("distinct_values").cast("bigint").alias("distinct_values"),
     )
+    return _with_judged_counts(spark, sf_dir, stored, 0.2)
 
 
 QUERIES = {
@@ -91,6 +133,7 @@ QUERIES = {
     "number_range_months": number_range_months,
     "profile_exact": profile_exact,
     "profile_one_pass": profile_one_pass,
+    "statistics_of_batches": statistics_of_batches,
     "table_statistics": table_statistics,
 }
 
@@ -99,9 +142,9 @@ _NUMERIC = {"o_orderkey": 8, "o_custkey": 8, "o_totalprice": 8}
 _TEXT = ("o_orderstatus", "o_orderpriority")
 
 
-def _profile_sql(distinct: bool) -> str:
+def _profile_sql(distinct: bool, more: str = "") -> str:
     def line(column: str, numbers: str, texts: str, lengths: str) -> str:
-        counted = f"count(DISTINCT {column}) AS distinct_values," if distinct else ""
+        counted = f"count(DISTINCT {column}) AS distinct_values," if distinct else f"true AS distinct_close, {more}"
         return f"""SELECT '{column}' AS column_name, count(*) AS rows, count(*) - count({column}) AS nulls, {counted}
             {numbers}, {texts}, {lengths} FROM orders"""
 
@@ -131,15 +174,16 @@ def _profile_sql(distinct: bool) -> str:
 _STATISTICS = " UNION ALL ".join(
     [
         f"""SELECT '{c}' AS column_name, CAST(0 AS BIGINT) AS nulls, CAST(min({c}) AS DOUBLE) AS min_number,
-            CAST(max({c}) AS DOUBLE) AS max_number, CAST(8 AS BIGINT) AS max_len FROM orders"""
+            CAST(max({c}) AS DOUBLE) AS max_number, CAST(8 AS BIGINT) AS avg_len, CAST(8 AS BIGINT) AS max_len,
+            true AS distinct_close FROM orders"""
         for c in _NUMERIC
     ]
     + [
         f"""SELECT '{c}', CAST(0 AS BIGINT), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
-            CAST(max(length({c})) AS BIGINT) FROM orders"""
+            CAST(ceil(avg(length({c}))) AS BIGINT), CAST(max(length({c})) AS BIGINT), true FROM orders"""
         for c in _TEXT
     ]
-    + ["SELECT 'o_orderdate', CAST(0 AS BIGINT), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(8 AS BIGINT)"]
+    + ["SELECT 'o_orderdate', CAST(0 AS BIGINT), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(8 AS BIGINT), CAST(8 AS BIGINT), true"]
 )
 
 ORACLES = {
@@ -158,5 +202,6 @@ ORACLES = {
     """,
     "profile_exact": _profile_sql(distinct=True),
     "profile_one_pass": _profile_sql(distinct=False),
+    "statistics_of_batches": _profile_sql(distinct=False, more="true AS quantiles_close,"),
     "table_statistics": _STATISTICS,
 }

@@ -13,8 +13,10 @@ from millrace.sources.csv import BAD_RECORD, csv_view, read_csv_directory
 from millrace.sources.tables import fixture
 from millrace.streaming.csv_ingest import ingest_csv, read_ingested
 from millrace.streaming.medallion import (
+    current_gold,
     gold_from_totals,
     run_bronze,
+    run_gold,
     run_silver,
     run_totals_log,
     run_violation_log,
@@ -153,6 +155,36 @@ def gold_from_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(gold_from_totals(spark, log))
 
 
+def _bronze_in_rounds(spark: SparkSession, sf_dir: str):
+    """The folder of a bronze table that grows: yields after each of two rounds."""
+    rows, bronze = observations(spark, sf_dir), fresh_dir(spark, "growing-bronze")
+    for odd in (0, 1):
+        rows.filter(F.col("event_id") % 2 == odd).write.mode("append").parquet(bronze)
+        yield bronze
+
+
+def silver_counts_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violations that two rounds of the silver stream counted on their way, next to the rows they let through."""
+    silver, checkpoint = fresh_dir(spark, "silver"), fresh_dir(spark, "silver-checkpoint")
+    total = dict.fromkeys((c.name for c in CONSTRAINTS), 0)
+    for bronze in _bronze_in_rounds(spark, sf_dir):
+        for name, n in run_silver(spark, bronze, silver, checkpoint, CONSTRAINTS).items():
+            total[name] += n
+    counted = spark.createDataFrame(list(total.items()), "constraint_name string, violations bigint")
+    kept = spark.read.parquet(silver).agg(F.count(F.lit(1)).alias("violations"))
+    return counted.unionByName(kept.select(F.lit("rows kept").alias("constraint_name"), "violations"))
+
+
+def gold_stateful_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds of a stream whose state holds the monthly totals."""
+    gold, checkpoint = fresh_dir(spark, "gold-state"), fresh_dir(spark, "gold-state-checkpoint")
+    silver = fresh_dir(spark, "silver")
+    for bronze in _bronze_in_rounds(spark, sf_dir):
+        run_silver(spark, bronze, silver, f"{checkpoint}/silver", CONSTRAINTS)
+        run_gold(spark, silver, gold, f"{checkpoint}/gold", DAY, AREA_2, TEMPERATURE)
+    return _rounded(current_gold(spark, gold))
+
+
 def csv_merge_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases come in files with another column order and one more column, in a second round."""
     rows = observations(spark, sf_dir)
@@ -193,6 +225,8 @@ QUERIES = {
     "stream_violation_counts": stream_violation_counts,
     "gold_after_streams": gold_after_streams,
     "gold_from_new_rows": gold_from_new_rows,
+    "silver_counts_observed": silver_counts_observed,
+    "gold_stateful_stream": gold_stateful_stream,
 }
 
 _ALL_ROWS = f"SELECT event_id, ymd, area_1, area_2, temp FROM ({_OBSERVATIONS_SQL})"
@@ -240,4 +274,6 @@ ORACLES = {
     "stream_violation_counts": _VIOLATIONS,
     "gold_after_streams": _GOLD,
     "gold_from_new_rows": _GOLD,
+    "silver_counts_observed": f"{_VIOLATIONS} UNION ALL SELECT 'rows kept', count(*) FILTER ({_KEPT}) FROM ({_OBSERVATIONS_SQL})",
+    "gold_stateful_stream": _GOLD,
 }

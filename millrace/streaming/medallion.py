@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.aggregates import average_of_totals, monthly_totals
-from millrace.operators.quality import Constraint, count_violations, drop_violations
+from millrace.operators.quality import Constraint, count_violations, drop_violations, observe_violations
 from millrace.sources.csv import stream_csv_directory
-from millrace.streaming.run import FILES_PER_BATCH, append_table, drain, each_batch
+from millrace.streaming.run import FILES_PER_BATCH, append_table, drain, drain_observed, each_batch
 
 
 def stream_table(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
@@ -39,10 +39,15 @@ def run_silver(
     checkpoint: str,
     constraints: Sequence[Constraint],
     files_per_batch: int = FILES_PER_BATCH,
-) -> None:
-    """Append the new bronze rows that satisfy all constraints."""
-    rows = drop_violations(stream_table(spark, bronze, files_per_batch), constraints)
-    drain(append_table(rows, silver, checkpoint))
+) -> dict[str, int]:
+    """Append the new bronze rows that satisfy all constraints; returns the violations per constraint among the new rows.
+
+    The rows are counted while they pass by on their way to silver, so bronze is read once. For counts that outlive
+    the run, and for those of a run that was stopped, there is :func:`run_violation_log`.
+    """
+    observed = observe_violations(stream_table(spark, bronze, files_per_batch), constraints, "violations")
+    counts = drain_observed(append_table(drop_violations(observed, constraints), silver, checkpoint), "violations")
+    return {c.name: sum(batch[c.name] for batch in counts.values()) for c in constraints}
 
 
 def run_violation_log(
@@ -89,6 +94,37 @@ def run_totals_log(
     drain(each_batch(stream_table(spark, silver, files_per_batch), checkpoint, record))
 
 
+def run_gold(
+    spark: SparkSession,
+    silver: str,
+    gold: str,
+    checkpoint: str,
+    moment: str,
+    area: str,
+    value: str,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> None:
+    """Keep monthly totals as the state of a stream; after each batch all groups are written to ``gold/batch=<id>``.
+
+    The state holds a row per month and area, partitioned by them, and is stored with the checkpoint; a batch reads what
+    is new in silver and changes the groups it touches. A repeated batch overwrites its folder with the same rows.
+    """
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{gold}/batch={batch_id}")
+
+    totals = monthly_totals(stream_table(spark, silver, files_per_batch), moment, area, value)
+    writer = totals.writeStream.outputMode("complete").foreachBatch(publish)
+    drain(writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def current_gold(spark: SparkSession, gold: str) -> DataFrame:
+    """Monthly averages as of the last batch of :func:`run_gold`."""
+    stored = spark.read.parquet(gold)
+    last = stored.agg(F.max("batch")).first()[0]  # from the folders' names
+    return average_of_totals(stored.filter(F.col("batch") == F.lit(last)))
+
+
 def gold_from_totals(spark: SparkSession, log: str) -> DataFrame:
     """Monthly averages over all batches so far."""
     return average_of_totals(spark.read.parquet(log))

@@ -18,8 +18,10 @@ from millrace.sources.csv import (
 )
 from millrace.streaming.csv_ingest import ingest_csv, read_ingested
 from millrace.streaming.medallion import (
+    current_gold,
     gold_from_totals,
     run_bronze,
+    run_gold,
     run_silver,
     run_totals_log,
     run_violation_log,
@@ -193,3 +195,30 @@ def test_type_merging():
     left = T.StructType([T.StructField("a", int_), T.StructField("b", text)])
     right = T.StructType([T.StructField("c", text), T.StructField("a", double_)])
     assert [(f.name, f.dataType) for f in merge_schemas(left, right)] == [("a", double_), ("b", text), ("c", text)]
+
+
+def test_silver_counts_what_it_drops_in_the_same_pass(spark, tmp_path):
+    bronze, silver, checkpoint = (str(tmp_path / n) for n in ("bronze", "silver", "checkpoint"))
+    schema = f"ymd date, area_2 string, `{TEMPERATURE}` double"
+
+    def add(*lines):
+        spark.createDataFrame([(None, a, t) for a, t in lines], schema).write.mode("append").parquet(bronze)
+
+    add(("x", 1.0), (None, 2.0), ("y", 3.0))
+    one_file_at_a_time = 1
+    assert run_silver(spark, bronze, silver, checkpoint, CONSTRAINTS, one_file_at_a_time) == {"day": 3, "area": 1}
+    assert run_silver(spark, bronze, silver, checkpoint, CONSTRAINTS) == {"day": 0, "area": 0}
+    add((None, None))
+    assert run_silver(spark, bronze, silver, checkpoint, CONSTRAINTS) == {"day": 1, "area": 1}
+    assert spark.read.parquet(silver).count() == 0
+
+
+def test_state_of_a_stream_equals_the_batch_result_after_each_round(spark, tmp_path):
+    silver, gold, checkpoint = (str(tmp_path / n) for n in ("silver", "gold", "checkpoint"))
+    lines = [("2024-01-05", "x", 1.0), ("2024-01-06", "x", 2.0), ("2024-02-01", None, None), (None, "y", 4.0)]
+    for round_ in (lines, [("2024-01-07", "x", 6.0), ("2024-03-01", "z", -1.0)], []):
+        frame = spark.createDataFrame(round_, f"ymd string, area_2 string, `{TEMPERATURE}` double")
+        frame.selectExpr("cast(ymd AS date) AS ymd", "area_2", f"`{TEMPERATURE}`").write.mode("append").parquet(silver)
+        run_gold(spark, silver, gold, checkpoint, "ymd", "area_2", TEMPERATURE, files_per_batch=1)
+        expected = monthly_average(spark.read.parquet(silver), "ymd", "area_2", TEMPERATURE)
+        assert rows(current_gold(spark, gold)) == rows(expected)

@@ -9,7 +9,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.preview import preview
-from millrace.operators.statistics import analyze_table, column_profile, distinct_counts, stored_statistics
+from millrace.operators.statistics import (
+    analyze_table,
+    append_statistics,
+    column_profile,
+    distinct_counts,
+    merged_statistics,
+    stored_statistics,
+)
 from millrace.operators.tables import (
     clustered,
     files_for,
@@ -178,3 +185,26 @@ def test_kafka_reader_without_its_connector_says_so(spark):
     for read in (read_topic, stream_topic):
         with pytest.raises(Exception, match="(?i)kafka"):
             read(spark, "h:1", "t")
+
+
+def test_statistics_of_appended_batches_equal_a_full_pass(spark, tmp_path):
+    schema = "n int, t string, d double, flag boolean"
+    batches = [
+        [(i, f"t{i % 700}", i / 3, None) for i in range(3000)],
+        [(None, None, None, None)],
+        [(-5, "a longer text than all", float("-inf"), True), (7, "", 1.0, False)],
+        [],
+    ]
+    path = str(tmp_path / "statistics")
+    for batch in batches:
+        append_statistics(spark.createDataFrame(batch, schema), path)
+    whole = spark.createDataFrame([r for batch in batches for r in batch], schema)
+    merged = {r["column_name"]: r.asDict() for r in merged_statistics(spark, path, (0.0, 0.5, 1.0)).collect()}
+    for exact in column_profile(whole, exact=True).collect():
+        own = merged[exact["column_name"]]
+        assert {k: own[k] for k in own if k not in ("distinct_values", "quantiles")} == {
+            k: v for k, v in exact.asDict().items() if k != "distinct_values"
+        }
+        assert abs(own["distinct_values"] - exact["distinct_values"]) <= 0.04 * exact["distinct_values"]
+    low, middle, high = merged["n"]["quantiles"]
+    assert low == -5 and high == 2999 and abs(middle - 1500) < 60 and merged["t"]["quantiles"] is None
