@@ -18,12 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.sources.quoted_csv import inferred_types, parsed, quoted_records
+
 # Fixed value: numeric types from narrow to wide, for merging inferred types.
 WIDENING = (T.IntegerType(), T.LongType(), T.DoubleType())
 # Digits that the whole-number types hold.
 DIGITS = {T.IntegerType(): 10, T.LongType(): 19}
 # The line of a row with a cell that does not fit its column's type, or with too many or too few cells.
 BAD_RECORD = "_bad_record"
+_records: dict[tuple, DataFrame] = {}
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -37,7 +40,8 @@ def read_csv_directory(
     """Files with one common header line.
 
     Without ``schema`` the types are inferred, which costs an extra pass over the data; on large
-    input give the schema.
+    input give the schema. ``multi_line`` makes each file one task; :func:`read_csv_merging` takes line breaks in
+    cells and still splits files.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line)
     if schema is not None:
@@ -179,6 +183,16 @@ def wider_type(left: T.DataType, right: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def records_of(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The records of a layout's files, put together once per session and set of files."""
+    key = (spark.sparkContext.applicationId, layout)
+    if key not in _records:
+        if len(_records) >= 64:  # types are inferred and then the same files are read; older ones are not asked for again
+            del _records[next(iter(_records))]
+        _records[key] = quoted_records(spark, list(layout.paths))
+    return _records[key]
+
+
 def merge_schemas(*schemas: T.StructType) -> T.StructType:
     """All columns by name in order of first appearance, each with its widest type."""
     types: dict[str, T.DataType] = {}
@@ -208,7 +222,12 @@ def infer_merged_schema(
     text, the column's values are counted, and an empty one has no say.
     """
     base = [known] if known else []
-    frames = [read_csv_directory(spark, list(layout.paths), multi_line=multi_line) for layout in layouts]
+    if multi_line:
+        read = [records_of(spark, layout) for layout in layouts]
+        kinds = [inferred_types(spark, records, layout.columns) for layout, records in zip(layouts, read)]
+        frames = [parsed(records, with_bad_record(kind), BAD_RECORD).drop(BAD_RECORD) for records, kind in zip(read, kinds)]
+    else:
+        frames = [read_csv_directory(spark, list(layout.paths)) for layout in layouts]
     merged = merge_schemas(*base, *(frame.schema for frame in frames))
     seen = [field for schema in (*base, *(f.schema for f in frames)) for field in schema.fields]
     clashing = {
@@ -229,7 +248,10 @@ def read_layouts(spark: SparkSession, layouts: list[Layout], schema: T.StructTyp
     parts = []
     for layout in layouts:
         own = with_bad_record(T.StructType([T.StructField(name, types[name]) for name in layout.columns]))
-        part = spark.read.schema(own).options(**reading(multi_line)).csv(list(layout.paths))
+        if multi_line:
+            part = parsed(records_of(spark, layout), own, BAD_RECORD)
+        else:
+            part = spark.read.schema(own).options(**reading(False)).csv(list(layout.paths))
         missing = [F.lit(None).cast(types[name]).alias(name) for name in types if name not in layout.columns]
         parts.append(part.select("*", *missing).select(*(F.col(f"`{name}`") for name in (*types, BAD_RECORD))))
     merged = parts[0]

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from random import Random
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from millrace.operators.aggregates import average_of_totals, monthly_average, monthly_totals
@@ -14,8 +18,12 @@ from millrace.sources.csv import (
     merge_schemas,
     read_csv_directory,
     read_csv_merging,
+    reading,
     wider_type,
 )
+from millrace.session import session_with
+from millrace.sources import quoted_csv
+from millrace.sources.quoted_csv import ends_inside, inferred_types, parsed, quoted_records
 from millrace.streaming.csv_ingest import ingest_csv, read_ingested
 from millrace.streaming.medallion import (
     current_gold,
@@ -222,3 +230,47 @@ def test_state_of_a_stream_equals_the_batch_result_after_each_round(spark, tmp_p
         run_gold(spark, silver, gold, checkpoint, "ymd", "area_2", TEMPERATURE, files_per_batch=1)
         expected = monthly_average(spark.read.parquet(silver), "ymd", "area_2", TEMPERATURE)
         assert rows(current_gold(spark, gold)) == rows(expected)
+
+
+CELLS = ["plain", 'a "quoted" one', "two\nlines", 'br\n\n"x",\n,y', "back\\slash", '5" pipe', "", "ends with \\", "cr\r\nlf", None]
+
+
+def test_one_file_with_quoted_breaks_is_read_by_many_tasks(spark, tmp_path):
+    random = Random(4)
+    data = [(i, random.choice([*CELLS, "long " * random.randint(0, 300) + '\n"']), random.random()) for i in range(1500)]
+    spark.createDataFrame(data, "i int, t string, d double").coalesce(1).write.option("header", True).csv(str(tmp_path / "in"))
+    small = session_with(spark, {"spark.sql.files.maxPartitionBytes": "3000", "spark.sql.files.openCostInBytes": "1"})
+    paths = [str(p) for p in (tmp_path / "in").glob("*.csv")]
+    assert len(paths) == 1 and small.read.option("lineSep", "\n").text(paths).rdd.getNumPartitions() > 30
+    schema = T.StructType.fromDDL("i int, t string, d double, _bad_record string")
+    whole = spark.read.schema(schema).options(**reading(True)).csv(paths)
+    records = quoted_records(small, paths)
+    assert rows(parsed(records, schema, "_bad_record")) == rows(whole)
+    assert inferred_types(small, records, ("i", "t", "d")) == T.StructType.fromDDL("i int, t string, d double")
+    assert rows(read_csv_merging(small, str(tmp_path / "in"))) == rows(whole)
+    some_named = quoted_csv.NAMED_SPLITS
+    quoted_csv.NAMED_SPLITS = 0  # more splits begin inside a cell than may be named to every task
+    assert rows(parsed(quoted_records(small, paths), schema, "_bad_record")) == rows(whole)
+    quoted_csv.NAMED_SPLITS = some_named
+
+
+def test_odd_quoted_files(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "\ufeff\r\n\r\nx,y\r\n1,\"a\nb\"\r\n\r\n2,\"open\n to the end")
+    put(tmp_path / "in", "b.csv", "x,y\n")
+    put(tmp_path / "in", "c.csv", "")
+    frame = read_csv_merging(spark, str(tmp_path / "in"))
+    assert rows(frame.select("x", "y")) == [(1, "a\nb"), (2, "open\n to the end")]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet='",\\a ', max_size=8), min_size=1, max_size=5), st.booleans())
+def test_quotes_line_by_line_as_in_one_go(lines, inside):
+    state = inside
+    for line in lines[:-1]:
+        state = ends_inside(line, state)
+        if not state:
+            break
+    else:
+        joined = "\n".join(lines)
+        if not (any(line.endswith("\\") for line in lines)):
+            assert ends_inside(joined, inside) == ends_inside(lines[-1], state)
