@@ -13,6 +13,7 @@ from __future__ import annotations
 import html as references
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,7 +37,7 @@ INLINE = set(
     "strong sub sup time tt u var wbr img object param math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover "
     "munderover mmultiscripts mtable mtr mtd mstyle mpadded mphantom menclose merror semantics".split()
 )
-HIDDEN_TEXT = ("script", "style", "noscript", "template", "iframe", "svg", "textarea")
+HIDDEN_TEXT = ("script", "style", "template", "iframe", "svg", "textarea")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 # An open element of the value is closed by the start of one of the key.
 CLOSES = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -49,12 +50,11 @@ OTHER_NAMES = set(
     "copyright widget toolbar masthead".split()
 )
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>"
-    r"|<(?P<raw>" + "|".join(HIDDEN_TEXT) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
-    re.S | re.I,
-)
+# Levels of a block's path that are kept, the innermost ones.
+DEPTH = 48
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_HIDDEN_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in HIDDEN_TEXT}
+_TAG_SIGN = re.compile("[>\"']")
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 
@@ -68,10 +68,89 @@ class Block:
     linked: int = 0
 
 
+class _Tags:
+    """The tags of a page, in order and in linear time, whatever the page holds.
+
+    A tag ends at the first ``>`` outside quotes, and where quotes leave none at the first ``>``; a tag without any is markup
+    up to the next ``<``. The text of hidden elements is skipped if they end; if not, only their tag is.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.failed: set[int] = set()  # places outside quotes from which no tag ends
+        self.endless: set[str] = set()  # what is known not to come any more
+
+    def _find(self, what: str, at: int) -> int:
+        if what in self.endless:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.endless.add(what)
+        return found
+
+    def _end(self, at: int) -> int:
+        """Where the tag that goes on at ``at`` ends, after its ``>``; -1 if the page ends before."""
+        if at > self.last:
+            return -1
+        start, seen = at, []
+        while at not in self.failed:
+            seen.append(at)
+            sign = _TAG_SIGN.search(self.page, at)
+            if sign is None:
+                break
+            at = sign.end()
+            if sign.group() == ">":
+                return at
+            # a quote begins a value only after an equals sign
+            if self.page[start : at - 1].rstrip()[-1:] == "=" if at - start < 256 else self.page[at - 256 : at - 1].rstrip()[-1:] == "=":
+                closing = self._find(sign.group(), at)
+                at = closing + 1 if closing >= 0 else at
+        self.failed.update(seen)
+        return self.page.find(">", start) + 1  # there is one, as the last is not before
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, bool, str]]:
+        """``(begin, end, name, closes, attributes)``; the name is empty for what is no element."""
+        page, at = self.page, 0
+        while (at := page.find("<", at)) >= 0:
+            begin, tag = at, _TAG.match(page, at)
+            if tag:
+                name, after = tag[2].lower(), tag.end()
+                at = self._end(after)
+                if at < 0:
+                    following = page.find("<", after)
+                    at = following if following >= 0 else len(page)
+                    yield begin, at, "", False, ""
+                    continue
+                attributes = page[after : at - 1]
+                if not tag[1] and name in _HIDDEN_END:
+                    closing = None
+                    if not (attributes.endswith("/") and name == "svg") and name not in self.endless:
+                        closing = _HIDDEN_END[name].search(page, at)
+                        if closing is None:
+                            self.endless.add(name)
+                    if closing:
+                        ended = self._end(closing.end())
+                        at = ended if ended >= 0 else len(page)
+                    yield begin, at, "", False, ""
+                else:
+                    yield begin, at, name, bool(tag[1]), attributes
+            elif page.startswith("<!--", at):
+                closing = self._find("-->", at + 4)
+                at = closing + 3 if closing >= 0 else at + 4
+                yield begin, at, "", False, ""
+            elif page.startswith(("<!", "<?", "</"), at) and at < self.last:
+                at = page.find(">", at) + 1
+                yield begin, at, "", False, ""
+            else:
+                at += 1
+
+
 @dataclass
 class _Page:
     blocks: list[Block] = field(default_factory=list)
     path: list[tuple[str, ...]] = field(default_factory=list)
+    open: Counter = field(default_factory=Counter)
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     in_link: bool = False
@@ -85,38 +164,45 @@ class _Page:
     def cut(self) -> None:
         text = " ".join(references.unescape("".join(self.parts)).split()) if self.parts else ""
         if text:
-            self.blocks.append(Block(text, list(self.path), self.linked))
+            self.blocks.append(Block(text, self.path[-DEPTH:], self.linked))
         self.parts, self.linked = [], 0
 
+    def leave(self) -> None:
+        self.open[self.path.pop()[0]] -= 1
+
 
 def blocks_of(page: str | None) -> list[Block]:
-    """The leaf blocks of a page in order, with references decoded and white space made single spaces."""
+    """The leaf blocks of a page in order, with references decoded and white space made single spaces.
+
+    No text is lost to markup that is not finished: see :class:`_Tags`.
+    """
     held, at = _Page(), 0
     page = page or ""
-    for m in _TOKEN.finditer(page):
-        held.text(page[at : m.start()])
-        at = m.end()
-        tag = (m["tag"] or "").lower()
+    for begin, end, tag, closes, attributes in _Tags(page):
+        held.text(page[at:begin])
+        at = end
         if not tag:
             continue
         if tag in INLINE:
             if tag == "br":
                 held.text(" ")
             elif tag == "a":
-                held.in_link = not m["end"]
+                held.in_link = not closes
             continue
         held.cut()
-        if m["end"]:
-            for i in range(len(held.path) - 1, -1, -1):
-                if held.path[i][0] == tag:
-                    del held.path[i:]
+        if closes:
+            while held.open[tag] and held.path:
+                found = held.path[-1][0] == tag
+                held.leave()
+                if found:
                     break
         else:
             if held.path and held.path[-1][0] in CLOSES.get(tag, ()):
-                held.path.pop()
+                held.leave()
             if tag not in VOID:
-                words = [w for n in _NAMED.findall(m["attributes"]) for w in _NAME.findall("".join(n).lower())]
+                words = [w for n in _NAMED.findall(attributes) for w in _NAME.findall("".join(n).lower())]
                 held.path.append((tag, *words))
+                held.open[tag] += 1
     held.text(page[at:])
     held.cut()
     return held.blocks
@@ -139,15 +225,18 @@ def features(pages: list[list[Block]]) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.cumsum([0, *map(len, pages)])
     blocks = [b for page in pages for b in page]
     count = len(blocks)
-    paths = np.zeros((count, PATH_DIMS), dtype=np.float32)
+    different: dict[tuple, int] = {}
+    which = np.array([different.setdefault(tuple(block.path), len(different)) for block in blocks], dtype=np.int64)
+    rows = np.zeros((len(different), PATH_DIMS), dtype=np.float32)
     known: dict[tuple, list[int]] = {}
-    for i, block in enumerate(blocks):
-        for depth, level in enumerate(reversed(block.path)):
+    for i, path in enumerate(different):
+        for depth, level in enumerate(reversed(path)):
             # the two innermost levels are also told apart from the rest
             where = min(depth, 2)
             if (where, level) not in known:
                 known[where, level] = [_hash(f"{where}{w}", PATH_DIMS) for w in level] + [_hash(w, PATH_DIMS) for w in level]
-            paths[i, known[where, level]] = 1
+            rows[i, known[where, level]] = 1
+    paths = rows[which]
     split = pc.ascii_split_whitespace(pc.utf8_lower(pa.array([b.text for b in blocks], pa.string())))
     coded = split.flatten().dictionary_encode()
     bucket = np.array([_hash(w, WORD_DIMS) for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()], dtype=np.int64)
@@ -301,10 +390,32 @@ def _variant(page: list[Block], others: list[list[Block]], rng: np.random.Genera
     return [b for b, _ in made], [label for _, label in made]
 
 
+_fitted: dict[tuple, Labeller] = {}
+
+
+def sampled(pages: DataFrame, sample: int) -> list[str]:
+    """The ``sample`` different pages with the smallest hashes; the hashes are found on their own, so only these pages are moved."""
+    hashed = pages.filter("html is not null").select(F.xxhash64("html").alias("hash"), "html")
+    chosen = [r["hash"] for r in hashed.select("hash").distinct().orderBy("hash").limit(sample).collect()]
+    rows = hashed.filter(F.col("hash").isin(chosen)).groupBy("hash").agg(F.min("html").alias("html")).orderBy("hash").collect()
+    return [r["html"] for r in rows]
+
+
 def trained(pages: DataFrame, sample: int = TRAIN_PAGES, variants: int = VARIANTS, epochs: int = EPOCHS) -> Labeller:
-    """A labeller fitted on the ``sample`` pages with the smallest hashes; only those reach the driver. Null pages do not count."""
-    rows = pages.filter("html is not null").select("html").distinct().orderBy(F.xxhash64("html"), "html").limit(sample).collect()
-    parsed = [b for b in (blocks_of(r["html"]) for r in rows) if b]
+    """A labeller fitted on :func:`sampled` pages of ``pages (html, …)``; only those reach the driver.
+
+    Null pages do not count, repeated pages count once, ties of the hash are broken by the page, and long pages are taken
+    whole. A table without pages gives a labeller that has learnt nothing. Equal samples are fitted once per process.
+    """
+    rows = sampled(pages, sample)
+    key = (variants, epochs, *(zlib.crc32(h.encode()) for h in rows))
+    if key not in _fitted:
+        _fitted.clear()
+        _fitted[key] = _fit([b for b in map(blocks_of, rows) if b], variants, epochs)
+    return _fitted[key]
+
+
+def _fit(parsed: list[list[Block]], variants: int, epochs: int) -> Labeller:
     model = Labeller(PATH_DIMS + WORD_DIMS + MEASURES)
     if not parsed:
         return model
