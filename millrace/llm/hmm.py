@@ -1,11 +1,14 @@
 """A hidden Markov language model: trained by Baum-Welch over partitions, scored by the exact forward recursion.
 
-The model emits a symbol per token: frequent words have one of their own, others share one per word
-ending (a bucket), the end of a text has the last. A word of a bucket is then drawn from the bucket's
-smoothed frequencies, where everything never seen is one more word. So the model is a distribution over
-the same tokens as smoothed word frequencies, and the scores compare.
-
-Arrays: ``start (K)``, ``move (K, K)``, ``emit (K, S)``; the end symbol is ``S - 1``.
+Every training word has emission counts of its own in every state, kept as a table, and so has the end of a
+text. Training has three parts, each over all training sequences: pair counts of coarse classes of words give a first
+guess of the states; Baum-Welch rounds follow until the likelihood gains no more than a tolerance, in which
+words beyond the frequent ones have the emissions of their ending (a bucket); a last pass counts for each of these
+words how often each state emitted it. A state emits a word of a bucket by those counts, mixed with the corpus
+frequencies by Witten and Bell's rule, where everything never seen is one more word. So the model is a
+distribution over the same tokens as smoothed word frequencies, and the scores compare.
+
+Arrays: ``start (K)``, ``move (K, K)``, ``emit (K, S)``; symbols are the frequent words, the buckets, and the end, ``S - 1``.
 """
 
 from __future__ import annotations
@@ -23,52 +26,61 @@ from pyspark.sql import functions as F
 from millrace.llm.common import pieces_of, stage
 
 STATES = 8
-OWN_SYMBOLS = 8192
+# Words that have emissions of their own while the states are formed, and the buckets of endings that the others share then.
+FREQUENT = 8192
 BUCKETS = 1024
-# Words whose counts every executor knows; the counts of all others are joined. A row of the table
-# is a word and a number.
-KNOWN_WORDS = 1 << 16
-ROUNDS = 3
-# The starting point is fitted on a bounded sample of at most so many tokens.
-SAMPLE_TOKENS = 200_000
-SAMPLE_ROUNDS = 25
+# Classes for the first guess: so many words, and so many buckets (a divisor of BUCKETS).
+COARSE_WORDS, COARSE_BUCKETS = 255, 256
+# Words whose rows of the emission table are sent to every task, about 30 bytes each; the rows of all others are joined.
+KNOWN_WORDS = 1 << 18
+# Rounds go on while a token's mean log probability gains more than this, in nats.
+TOLERANCE = 0.01
 # Training and scoring run the parts of longer sequences side by side, with the results of whole ones.
 TRAIN_WINDOW = 2048
 SCORE_WINDOW = 2048
+# Words whose expected counts a task holds before it hands them on.
+HELD_WORDS = 400_000
 _SCALE = 1 << 20
 _LOG10 = np.log(10.0)
 
 
+def bucket_of(word: str, buckets: int) -> int:
+    """Words with one ending share a bucket: endings tell languages and kinds of text apart."""
+    return zlib.crc32(word[-3:].encode()) % buckets
+
+
+def bucket_column(word: Column, buckets: int) -> Column:
+    return F.crc32(F.substring(word, -3, 3).cast("binary")) % buckets
+
+
 @dataclass
 class Vocabulary:
-    """The frequent words with their counts, most frequent first, and the buckets of all others."""
+    """The frequent words, most frequent first, with their counts, and the sizes of the buckets of all others."""
 
     words: dict[str, int]
     counts: np.ndarray
-    own: int
-    buckets: int
     bucket_words: np.ndarray
     bucket_tokens: np.ndarray
 
+    @property
+    def own(self) -> int:
+        return len(self.words)
+
     @property
     def symbols(self) -> int:
-        return self.own + self.buckets + 1
+        return self.own + len(self.bucket_words) + 1
 
-    def encode(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """``(words, rank, symbol, position, offsets)`` of a batch of texts.
+    def encode(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """``(words, rank, position, offsets)`` of a batch of texts.
 
-        ``words`` are the distinct ones, ``rank`` their places among the known words or -1, ``symbol`` what the
-        model emits for them. Text ``i`` is ``position[offsets[i]:offsets[i + 1]]``, places in ``words``.
+        ``words`` are the distinct ones, ``rank`` their places among the frequent words or -1. Text ``i`` is
+        ``position[offsets[i]:offsets[i + 1]]``, places in ``words``.
         """
         split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-        flat = split.flatten()
         # white space at a text's ends leaves empty strings
-        coded = flat.dictionary_encode()
+        coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         rank = np.fromiter((self.words.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-        symbol = np.where((rank >= 0) & (rank < self.own), rank, 0)
-        for i in np.flatnonzero((rank < 0) | (rank >= self.own)):
-            symbol[i] = self.own + bucket_of(words[i], self.buckets)
         position = np.asarray(coded.indices)
         offsets = np.asarray(split.offsets) - np.asarray(split.offsets)[0]
         empty = words.index("") if "" in words else -1
@@ -76,12 +88,7 @@ class Vocabulary:
             real = position != empty
             before = np.concatenate([[0], np.cumsum(real)])
             position, offsets = position[real], before[offsets]
-        return coded.dictionary, rank, symbol, position, offsets
-
-
-def bucket_of(word: str, buckets: int) -> int:
-    """Words with one ending share a bucket: endings tell languages and kinds of text apart."""
-    return zlib.crc32(word[-3:].encode()) % buckets
+        return coded.dictionary, rank, position, offsets
 
 
 @dataclass
@@ -90,15 +97,6 @@ class Model:
     move: np.ndarray
     emit: np.ndarray
 
-    @classmethod
-    def random(cls, states: int, frequency: np.ndarray, seed: int = 7) -> Model:
-        """Sticky states whose emissions are the overall frequencies, disturbed."""
-        rng = np.random.default_rng(seed)
-        emit = (frequency + 0.5) * rng.uniform(0.2, 1.8, (states, len(frequency)))
-        move = np.full((states, states), 0.1 / max(1, states - 1))
-        np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
-        return cls(np.full(states, 1 / states), move, emit / emit.sum(axis=1, keepdims=True))
-
     @classmethod
     def from_counts(cls, start: np.ndarray, move: np.ndarray, emit: np.ndarray, frequency: np.ndarray) -> Model:
         """Expected counts as probabilities; every symbol keeps a share of its smoothed overall frequency."""
@@ -117,14 +115,17 @@ def _ordered(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, lengths[order]
 
 
-def expected_counts(model: Model, symbols: np.ndarray, offsets: np.ndarray, window: int = TRAIN_WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch counts ``(start, move, emit)`` of sequences, ``symbols[offsets[i]:offsets[i + 1]]`` each.
+def posteriors(
+    model: Model, symbols: np.ndarray, offsets: np.ndarray, window: int = TRAIN_WINDOW
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float]:
+    """``(places, gammas, start, move, log)``: what Baum-Welch expects of sequences, ``symbols[offsets[i]:offsets[i + 1]]`` each.
 
-    Sequences are cut into windows; all windows of one number of steps to go are processed together. The states
-    before a window and the message from what follows it are carried over the cut by transfer matrices, so the
-    counts are those of whole sequences.
+    ``gammas[j]`` are the probabilities of the states at ``symbols[places[j]]``; ``start`` and ``move`` expected counts,
+    ``log`` the log likelihood. Sequences are cut into windows; all windows of one number of steps to go are processed
+    together. The states before a window and the message from what follows it are carried over the cut by
+    transfer matrices, so the counts are those of whole sequences.
     """
-    states, size = model.emit.shape
+    states = len(model.start)
     cuts = np.concatenate([np.arange(a, b, window) for a, b in zip(offsets, offsets[1:])] + [offsets[-1:]]).astype(np.int64)
     first = np.isin(cuts[:-1], offsets[:-1])
     before, after = _carried(model, symbols, offsets, cuts, window)
@@ -136,12 +137,12 @@ def expected_counts(model: Model, symbols: np.ndarray, offsets: np.ndarray, wind
     total = np.concatenate([[0], np.cumsum(active)])
     alphas = np.empty((int(total[-1]), states))
     scales = np.empty(int(total[-1]))
-    seen = np.empty(int(total[-1]), dtype=np.int64)
+    places = np.empty(int(total[-1]), dtype=np.int64)
     alpha = np.where(first[:, None], model.start, before @ model.move)
     for t in range(steps):
         n, here = active[t], slice(total[t], total[t + 1])
-        seen[here] = symbols[begins[:n] + t]
-        alpha = (alpha[:n] if t == 0 else alpha[:n] @ model.move) * emit[seen[here]]
+        places[here] = begins[:n] + t
+        alpha = (alpha[:n] if t == 0 else alpha[:n] @ model.move) * emit[symbols[places[here]]]
         scale = alpha.sum(axis=1)
         alpha /= scale[:, None]
         alphas[here], scales[here] = alpha, scale
@@ -152,14 +153,23 @@ def expected_counts(model: Model, symbols: np.ndarray, offsets: np.ndarray, wind
         n, here = active[t], slice(total[t], total[t + 1])
         beta = np.concatenate([beta, after[len(beta) : n]])
         gammas[here] *= beta
-        weighted = beta * emit[seen[here]] / scales[here][:, None]
+        weighted = beta * emit[symbols[places[here]]] / scales[here][:, None]
         earlier = alphas[total[t - 1] : total[t - 1] + n] if t else np.where(first[:, None], 0.0, before)
         move += earlier.T @ weighted
         beta = weighted @ model.move.T
     move *= model.move
-    counts = np.stack([np.bincount(seen, weights=gammas[:, k], minlength=size) for k in range(states)])
     start = gammas[: active[0]][first].sum(axis=0) if steps else np.zeros(states)
-    return start, move, counts
+    return places, gammas, start, move, float(np.log(scales).sum())
+
+
+def expected_counts(
+    model: Model, symbols: np.ndarray, offsets: np.ndarray, window: int = TRAIN_WINDOW
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Baum-Welch counts ``(start, move, emit)`` and the log likelihood, see :func:`posteriors`."""
+    states, size = model.emit.shape
+    places, gammas, start, move, log = posteriors(model, symbols, offsets, window)
+    seen = symbols[places]
+    return start, move, np.stack([np.bincount(seen, weights=gammas[:, k], minlength=size) for k in range(states)]), log
 
 
 def _carried(model: Model, symbols: np.ndarray, offsets: np.ndarray, cuts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -188,9 +198,13 @@ def _carried(model: Model, symbols: np.ndarray, offsets: np.ndarray, cuts: np.nd
     return before, after
 
 
-def _transfers(model: Model, symbols: np.ndarray, spans: list[tuple[int, int]], window: int) -> tuple[np.ndarray, ...]:
+def _transfers(
+    model: Model, symbols: np.ndarray, spans: list[tuple[int, int]], window: int, given: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, ...]:
     """The parts of the sequences ``spans``: ``(owner, begins, later, place, ends, logs)``.
 
+    With ``given = (which, factors)`` the emission of the token at ``i`` is multiplied by ``factors[which[i]]``.
+
     ``ends[place[j]]`` are the scaled states after part ``j`` and ``logs`` the logarithm of their scale: one row
     from the start for a sequence's first part, one from every state before it for a later one.
     """
@@ -224,6 +238,8 @@ def _transfers(model: Model, symbols: np.ndarray, spans: list[tuple[int, int]],
         if t:
             alpha = alpha @ model.move
         alpha = alpha * emit[symbols[at[:n] + t]]
+        if given is not None:
+            alpha *= given[1][given[0][at[:n] + t]]
         scale = alpha.sum(axis=1)
         alpha /= scale[:, None]
         logs[:n] += np.log(scale)
@@ -235,7 +251,13 @@ def _transfers(model: Model, symbols: np.ndarray, spans: list[tuple[int, int]],
     return owner, begins, later, place, ends, logs
 
 
-def log_likelihood(model: Model, symbols: np.ndarray, offsets: np.ndarray, window: int = SCORE_WINDOW) -> np.ndarray:
+def log_likelihood(
+    model: Model,
+    symbols: np.ndarray,
+    offsets: np.ndarray,
+    window: int = SCORE_WINDOW,
+    given: tuple[np.ndarray, np.ndarray] | None = None,
+) -> np.ndarray:
     """Natural logarithm of every sequence's exact probability, by the scaled forward recursion.
 
     Long sequences are cut into parts. The first part runs from the start states; for each other part
@@ -244,7 +266,7 @@ def log_likelihood(model: Model, symbols: np.ndarray, offsets: np.ndarray, windo
     """
     states = len(model.start)
     count = len(offsets) - 1
-    owner, _, later, place, ends, logs = _transfers(model, symbols, list(zip(offsets.tolist(), offsets[1:].tolist())), window)
+    owner, _, later, place, ends, logs = _transfers(model, symbols, list(zip(offsets.tolist(), offsets[1:].tolist())), window, given)
     result = np.zeros(count)
     vector: dict[int, np.ndarray] = {}
     for j, i in enumerate(owner):
@@ -274,185 +296,335 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted_.groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def vocabulary(counts: DataFrame, known: int = KNOWN_WORDS, own: int = OWN_SYMBOLS, buckets: int = BUCKETS) -> Vocabulary:
-    """The most frequent words, ties in code point order, and what the buckets hold of the rest.
+def most_frequent(counts: DataFrame, limit: int) -> Column:
+    """A condition on ``(word, c)`` that about the ``limit`` most frequent words fulfil, and no more; of equal counts a hashed choice.
 
-    The driver gets ``known`` words at most and one row per bucket.
+    Found by counting words per range of counts, and per hash in the range that is cut: a bounded number of rows.
     """
-    top = counts.orderBy(F.desc("c"), "word").limit(known).collect()
-    words = {row["word"]: i for i, row in enumerate(top)}
-    own = min(own, len(top))
-    own_words = {w for w, i in words.items() if i < own}
-
-    def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, tokens = np.zeros(buckets, dtype=np.int64), np.zeros(buckets, dtype=np.int64)
-        for batch in batches:
-            for word, c in zip(batch["word"].to_numpy(zero_copy_only=False).tolist(), batch["c"].to_pylist()):
-                if word not in own_words:
-                    b = bucket_of(word, buckets)
-                    held[b] += 1
-                    tokens[b] += c
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), pa.array(held), pa.array(tokens)], ["b", "v", "c"])
-
-    sums = counts.select("word", "c").mapInArrow(bucketed, "b bigint, v bigint, c bigint")
+    band = F.when(F.col("c") < 1024, F.col("c")).otherwise(384 + F.floor(64 * F.log2(F.col("c").cast("double"))))
+    left, cut = limit, None
+    for row in sorted(counts.groupBy(band.alias("band")).count().collect(), reverse=True):
+        if row["count"] > left:
+            cut = row["band"]
+            break
+        left -= row["count"]
+    if cut is None:
+        return F.lit(True)
+    place = F.pmod(F.xxhash64("word"), F.lit(4096))
+    below = 0
+    for row in sorted(counts.filter(band == cut).groupBy(place.alias("place")).count().collect()):
+        if row["count"] > left:
+            break
+        left -= row["count"]
+        below = row["place"] + 1
+    return (band > cut) | ((band == cut) & (place < below))
+
+
+def vocabulary(counts: DataFrame, frequent: int = FREQUENT, buckets: int = BUCKETS) -> Vocabulary:
+    """The most frequent words and what the buckets hold of the rest; the driver gets ``frequent + buckets`` rows at most."""
+    own = most_frequent(counts, frequent)
+    top = sorted(counts.filter(own).collect(), key=lambda r: (-r["c"], r["word"]))
+    held = counts.filter(~own).groupBy(bucket_column(F.col("word"), buckets).alias("b"))
     bucket_words, bucket_tokens = np.zeros(buckets), np.zeros(buckets)
-    for row in sums.groupBy("b").agg(F.sum("v").alias("v"), F.sum("c").alias("c")).collect():
+    for row in held.agg(F.count("*").alias("v"), F.sum("c").alias("c")).collect():
         bucket_words[row["b"]], bucket_tokens[row["b"]] = row["v"], row["c"]
-    return Vocabulary(words, np.array([r["c"] for r in top], dtype=np.int64), own, buckets, bucket_words, bucket_tokens)
+    return Vocabulary({r["word"]: i for i, r in enumerate(top)}, np.array([r["c"] for r in top], dtype=np.int64), bucket_words, bucket_tokens)
 
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Per row of ``docs (row, text, …)`` its symbols and what the known words give; further columns stay.
+    """Per row of ``docs (row, text, …)`` its tokens; further columns stay.
 
-    Adds ``symbols`` (two bytes each), ``n_tokens``, ``n_known``, ``base`` and ``inside``: sums of natural
-    logarithms over known words, ``base`` under smoothed word frequencies and ``inside`` of words in
-    buckets. ``rare`` lists the distinct words that are not known with their frequency in the text.
+    ``tokens`` (four bytes each) are ranks of frequent words, then the number of those for the end of the text, then places
+    in ``rare``, the distinct other words of the text, whose ``buckets`` (two bytes each) are listed too.
     """
     names = [c for c in docs.columns if c != "text"]
     schema = ", ".join(f"{c} {kind}" for c, kind in docs.dtypes if c != "text")
+    own, buckets = vocabulary.own, len(vocabulary.bucket_words)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocabulary
         for batch in pieces_of(batches, "text"):
-            words, rank, symbol, position, offsets = v.encode(batch["text"])
-            known = rank >= 0
-            count = np.where(known, v.counts[np.maximum(rank, 0)] if len(v.counts) else 0, 0)
-            base = np.log(count + 1.0)
-            in_bucket = symbol >= v.own
-            bucket = np.where(in_bucket, symbol - v.own, 0)
-            inside = np.where(
-                in_bucket, np.where(known, base, 0.0) - np.log(v.bucket_tokens[bucket] + v.bucket_words[bucket] + 1.0), 0.0
-            )
-            per_token = np.stack([np.where(known, base, 0.0), inside, known.astype(float)], axis=1)[position]
-            sums = np.concatenate([np.zeros((1, 3)), np.cumsum(per_token, axis=0)])
-            by_text = sums[offsets[1:]] - sums[offsets[:-1]]
-            rows = batch.num_rows
-            packed, rare, rare_n = [], [], []
+            words, rank, position, offsets = vocabulary.encode(batch["text"])
             values = words.to_numpy(zero_copy_only=False).tolist()
-            for i in range(rows):
-                own = position[offsets[i] : offsets[i + 1]]
-                packed.append(np.append(symbol[own], v.symbols - 1).astype("<u2").tobytes())
-                unknown, n = np.unique(own[~known[own]], return_counts=True)
-                rare.append([values[u] for u in unknown])
-                rare_n.append(n)
+            bucket = np.fromiter((bucket_of(w, buckets) if r < 0 else 0 for w, r in zip(values, rank)), dtype="<u2", count=len(values))
+            packed, rare_at, sizes, held = [], [], [], []
+            for i in range(batch.num_rows):
+                mine = position[offsets[i] : offsets[i + 1]]
+                token = rank[mine]
+                unknown, places = np.unique(mine[token < 0], return_inverse=True)
+                token[token < 0] = places + own + 1
+                packed.append(np.append(token, own).astype("<u4").tobytes())
+                rare_at.append(unknown)
+                sizes.append(len(unknown))
+                held.append(bucket[unknown].tobytes())
+            flat = pa.array(np.concatenate(rare_at) if rare_at else [], pa.int64())
+            rare = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), words.take(flat).cast(pa.string()))
             columns = {
-                "symbols": pa.array(packed, pa.binary()),
                 "n_tokens": pa.array(np.diff(offsets).astype(np.int64) + 1),
-                "n_known": pa.array(np.rint(by_text[:, 2]).astype(np.int64)),
-                "base": pa.array(by_text[:, 0]),
-                "inside": pa.array(by_text[:, 1]),
-                "rare": pa.array(rare, pa.list_(pa.string())),
-                "rare_n": pa.array([n.tolist() for n in rare_n], pa.list_(pa.int64())),
+                "tokens": pa.array(packed, pa.binary()),
+                "rare": rare,
+                "buckets": pa.array(held, pa.binary()),
             }
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], *columns.values()], [*names, *columns])
 
-    return docs.mapInArrow(
-        of,
-        f"{schema}, symbols binary, n_tokens bigint, n_known bigint, base double, inside double, rare array<string>, rare_n array<bigint>",
-    )
+    return docs.mapInArrow(of, f"{schema}, n_tokens bigint, tokens binary, rare array<string>, buckets binary")
 
 
-def _sequences(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    packed = [s.as_py() for s in batch["symbols"]]
-    offsets = np.concatenate([[0], np.cumsum([len(p) // 2 for p in packed])]).astype(np.int64)
-    return np.frombuffer(b"".join(packed), dtype="<u2").astype(np.int64), offsets
+def _sequences(batch: pa.RecordBatch, own: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(symbols, offsets, place, bucket)``: symbols of all texts, and for words that are not frequent, by ``place`` from 1 on, their bucket."""
+    packed = batch["tokens"].to_pylist()
+    offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int64)
+    token = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int64)
+    held = batch["buckets"].to_pylist()
+    bucket = np.frombuffer(b"".join(held), dtype="<u2").astype(np.int64)
+    before = np.repeat(np.cumsum([0, *(len(h) // 2 for h in held)])[:-1], np.diff(offsets))
+    rare = token > own
+    place = np.where(rare, token - own + before, 0)
+    symbol = np.where(rare, own + bucket[np.maximum(place, 1) - 1] if len(bucket) else 0, np.where(token == own, own + buckets, token))
+    return symbol, offsets, place, bucket
 
 
-def trained(sequences: DataFrame, frequency: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch over all ``sequences (symbols)``.
+def pair_counts(documents: DataFrame, coarse: np.ndarray, own: int, buckets: int) -> np.ndarray:
+    """How often a class follows a class, over all ``documents (tokens, buckets)``; ``coarse`` is the class of each symbol."""
+    size = int(coarse.max()) + 1
 
-    The starting point is fitted on a bounded sample, the beginnings of the first sequences by hash; then
-    every round goes over all of all sequences. Tasks send expected counts per symbol, rounded to 2^-20, whose sums do not depend on
-    their order; as many rows reach the driver as there are symbols.
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(size * size, dtype=np.int64)
+        for batch in pieces_of(batches, "tokens", 4 << 20):
+            symbols, offsets, _, _ = _sequences(batch, own, buckets)
+            classes = coarse[symbols]
+            inner = np.ones(max(0, len(classes) - 1), dtype=bool)
+            inner[offsets[1:-1] - 1] = False
+            held += np.bincount((classes[:-1] * size + classes[1:])[inner], minlength=size * size)
+        used = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], ["at", "n"])
+
+    rows = documents.select("tokens", "buckets").mapInArrow(counted, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n"))
+    table = rows.toArrow()  # a row per pair of classes
+    found = np.zeros(size * size)
+    found[table["at"].to_numpy()] = table["n"].to_numpy()
+    return found.reshape(size, size)
+
+
+def guessed(pairs: np.ndarray, coarse: np.ndarray, frequency: np.ndarray, states: int, rounds: int = 200, seed: int = 7) -> Model:
+    """A model whose states explain the counts of ``pairs`` of classes, by expectation maximisation on that matrix alone."""
+    rng = np.random.default_rng(seed)
+    classes = len(pairs)
+    overall = np.bincount(coarse, weights=frequency + 0.01, minlength=classes)
+    emit = overall * rng.uniform(0.2, 1.8, (states, classes))
+    emit /= emit.sum(axis=1, keepdims=True)
+    joint = np.full((states, states), 0.1) + 0.9 * states * np.eye(states)
+    joint /= joint.sum()
+    share = (pairs + 1e-3) / (pairs + 1e-3).sum()
+    for _ in range(rounds):
+        ratio = share / (emit.T @ joint @ emit)
+        grown = emit * (joint @ emit @ ratio.T + joint.T @ emit @ ratio)
+        joint *= emit @ ratio @ emit.T
+        emit = grown / grown.sum(axis=1, keepdims=True) + 1e-12
+    within = (frequency + 0.01) / overall[coarse]
+    start = joint.sum(axis=1)
+    move = joint / np.maximum(start[:, None], 1e-300) + 1e-6
+    full = emit[:, coarse] * within
+    return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), full / full.sum(axis=1, keepdims=True))
+
+
+def trained(documents: DataFrame, vocabulary: Vocabulary, ends: int, states: int = STATES, tolerance: float = TOLERANCE) -> Model:
+    """Baum-Welch over all ``documents (tokens, buckets)``, from the guess that :func:`pair_counts` gives, until it gains little.
+
+    Every round goes over all of all sequences. Tasks send expected counts per symbol, rounded to 2^-20, whose sums do
+    not depend on their order; as many rows reach the driver as there are symbols.
     """
-    picked: list[bytes] = []
-    held = 0
-    first = sequences.orderBy(F.xxhash64("symbols")).select(F.substring("symbols", 1, 2 * SCORE_WINDOW).alias("symbols"))
-    for row in first.limit(max(1, SAMPLE_TOKENS // 100)).collect():
-        picked.append(bytes(row["symbols"]))
-        held += len(row["symbols"]) // 2
-        if held >= SAMPLE_TOKENS:
-            break
-    model = Model.random(states, frequency)
-    if picked:
-        sample = pa.RecordBatch.from_arrays([pa.array(picked, pa.binary())], ["symbols"])
-        symbols, offsets = _sequences(sample)
-        for _ in range(SAMPLE_ROUNDS):
-            model = Model.from_counts(*expected_counts(model, symbols, offsets), frequency)
+    own, buckets = vocabulary.own, len(vocabulary.bucket_words)
+    frequency = np.concatenate([vocabulary.counts, vocabulary.bucket_tokens, [ends]]).astype(float)
     size = len(frequency)
-    for _ in range(rounds):
+    words = min(own, COARSE_WORDS)
+    by_ending = [words + bucket_of(w, COARSE_BUCKETS) for w in list(vocabulary.words)[words:]]
+    coarse = np.array([*range(words), *by_ending, *(words + b % COARSE_BUCKETS for b in range(buckets)), words + COARSE_BUCKETS])
+    model = guessed(pair_counts(documents, coarse, own, buckets), coarse, frequency, states)
+    reached = -np.inf
+    while True:
         current = model
 
         def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            start, move, emit = np.zeros(states), np.zeros((states, states)), np.zeros((states, size))
-            for batch in pieces_of(batches, "symbols", 1 << 20):
-                s, m, e = expected_counts(current, *_sequences(batch))
-                start, move, emit = start + s, move + m, emit + e
-            # rows: symbols, then one row per state for the moves, then the start
-            table = np.rint(np.concatenate([emit.T, move, start[None]]) * _SCALE).astype(np.int64)
+            start, move, emit, log = np.zeros(states), np.zeros((states, states)), np.zeros((states, size)), 0.0
+            for batch in pieces_of(batches, "tokens", 3 << 20):
+                s, m, e, gained = expected_counts(current, *_sequences(batch, own, buckets)[:2])
+                start, move, emit, log = start + s, move + m, emit + e, log + gained
+            # rows: symbols, then one row per state for the moves, then the start, then the log likelihood
+            last = np.zeros((1, states))
+            last[0, 0] = log
+            table = np.rint(np.concatenate([emit.T, move, start[None], last]) * _SCALE).astype(np.int64)
             used = np.flatnonzero(table.any(axis=1))
             columns = [pa.array(used), *[pa.array(table[used, k]) for k in range(states)]]
             yield pa.RecordBatch.from_arrays(columns, ["at", *[f"k{k}" for k in range(states)]])
 
         schema = "at bigint, " + ", ".join(f"k{k} bigint" for k in range(states))
-        sums = sequences.select("symbols").mapInArrow(counted, schema).groupBy("at").agg(
+        sums = documents.select("tokens", "buckets").mapInArrow(counted, schema).groupBy("at").agg(
             *[F.sum(f"k{k}").alias(f"k{k}") for k in range(states)]
-        )
-        table = np.zeros((size + states + 1, states))
-        for row in sums.collect():
-            table[row["at"]] = row[1:]
-        table /= _SCALE
-        model = Model.from_counts(table[-1], table[size:-1], table[:size].T, frequency)
-    return model
+        ).toArrow()
+        table = np.zeros((size + states + 2, states))
+        table[sums["at"].to_numpy()] = np.stack([sums[f"k{k}"].to_numpy() for k in range(states)], axis=1) / _SCALE
+        model = Model.from_counts(table[-2], table[size:-2], table[:size].T, frequency)
+        mean = table[-1, 0] / max(1.0, frequency.sum())
+        if mean - reached <= tolerance:
+            return model
+        reached = mean
+
+
+def emission_table(documents: DataFrame, model: Model, own: int, buckets: int) -> DataFrame:
+    """``(word, c, shares)`` of all words of ``documents (tokens, rare, buckets)`` that are not frequent.
+
+    ``shares`` packs, a byte per state, the part of the word's ``c`` occurrences that each state is expected to have emitted.
+    """
+    states = len(model.start)
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index: dict[str, int] = {}
+        sums = np.zeros((1024, states + 1))
+
+        def rows() -> pa.RecordBatch:
+            n = len(index)
+            table = np.rint(sums[:n] * 1024).astype(np.int64)
+            columns = [pa.array(list(index), pa.string()), pa.array(table[:, -1] >> 10), *[pa.array(table[:, k]) for k in range(states)]]
+            index.clear()
+            sums[:n] = 0
+            return pa.RecordBatch.from_arrays(columns, ["word", "n", *[f"k{k}" for k in range(states)]])
+
+        for batch in pieces_of(batches, "tokens", 3 << 20):
+            symbols, offsets, place, _ = _sequences(batch, own, buckets)
+            places, gammas, *_ = posteriors(model, symbols, offsets)
+            at = place[places]
+            coded = batch["rare"].flatten().dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            number = np.fromiter((index.setdefault(w, len(index)) for w in words), dtype=np.int64, count=len(words))
+            if len(index) > len(sums):
+                sums = np.concatenate([sums, np.zeros((max(len(sums), len(index) - len(sums)), states + 1))])
+            code, gammas = np.asarray(coded.indices)[at[at > 0] - 1], gammas[at > 0]
+            for k in range(states):
+                sums[number, k] += np.bincount(code, weights=gammas[:, k], minlength=len(words))
+            sums[number, states] += np.bincount(code, minlength=len(words))
+            if len(index) > HELD_WORDS:
+                yield rows()
+        yield rows()
+
+    names = [f"k{k}" for k in range(states)]
+    schema = "word string, n bigint, " + ", ".join(f"{k} bigint" for k in names)
+    summed = documents.select("tokens", "rare", "buckets").mapInArrow(counted, schema).groupBy("word").agg(
+        F.sum("n").alias("c"), *[F.sum(k).alias(k) for k in names]
+    )
+    whole = sum((F.col(k) for k in names[1:]), F.col(names[0]))
+    shares = [F.shiftleft(F.round(255 * F.col(k) / whole).cast("long"), 8 * i) for i, k in enumerate(names)]
+    return summed.select("word", "c", sum(shares[1:], shares[0]).alias("shares"))
+
+
+def unpacked(shares: np.ndarray, states: int) -> np.ndarray:
+    """The states' parts as rows that sum to 1."""
+    parts = shares.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :states].astype(float)
+    return parts / np.maximum(parts.sum(axis=1, keepdims=True), 1e-300)
 
-def scored(docs: DataFrame, training: Column, states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
+
+@dataclass
+class Emissions:
+    """How the words of a bucket share what a state emits from it."""
+
+    vocabulary: Vocabulary
+    state_tokens: np.ndarray  # (buckets, K): occurrences by bucket and state
+    states: int
+
+    def frequencies(self, c: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """Of words found ``c`` times: their smoothed part of the bucket, whatever the state."""
+        return (c + 1.0) / (self.vocabulary.bucket_tokens[bucket] + self.vocabulary.bucket_words[bucket] + 1.0)
+
+    def factors(self, c: np.ndarray, parts: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """What a state's own counts change of :meth:`frequencies`, per word and state; ``parts`` as from :func:`unpacked`."""
+        held = self.state_tokens[bucket]
+        kinds = self.vocabulary.bucket_words[bucket][:, None]
+        mixed = np.where(held > 0, kinds / np.maximum(held + kinds, 1e-300), 1.0)
+        own = c[:, None] * parts / np.maximum(held, 1e-300) / self.frequencies(c, bucket)[:, None]
+        return np.where(held > 0, (1 - mixed) * own, 0.0) + mixed
+
+
+def emissions(table: DataFrame, vocabulary: Vocabulary, states: int) -> Emissions:
+    """Sums of the emission table by bucket: a row per bucket reaches the driver."""
+    buckets = len(vocabulary.bucket_words)
+    parts = [F.shiftrightunsigned("shares", 8 * k).bitwiseAND(F.lit(255)) for k in range(states)]
+    whole = sum(parts[1:], parts[0])
+    sums = table.groupBy(bucket_column(F.col("word"), buckets).alias("b")).agg(
+        *[F.sum(F.col("c") * p / whole).alias(f"k{k}") for k, p in enumerate(parts)]
+    )
+    found = np.zeros((buckets, states))
+    for row in sums.collect():
+        found[row["b"]] = row[1:]
+    return Emissions(vocabulary, found, states)
+
+
+def scored(docs: DataFrame, training: Column, states: int = STATES, tolerance: float = TOLERANCE) -> DataFrame:
     """``(doc_id, training, n_tokens, n_known, train_tokens, base_score, score)`` per row of ``docs (doc_id, text, …)``.
 
     Learns from the rows where ``training`` holds. Tokens are the words of the whole text, A-Z in lower
     case, then one end; null and empty texts are the end alone. Scores are log10 probabilities:
     ``base_score`` under word frequencies with one added to each count and one word for all unseen ones,
     ``score`` under the hidden Markov model. Without training rows both give every token the same. Equal
-    rows get equal scores; a null ``doc_id`` is scored like any other.
+    rows get equal scores; a null ``doc_id`` is scored like any other. At most eight states.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), training.alias("training"), "text")
     counts = stage(word_counts(rows.filter("training")), "hmm-counts")
     n_train = rows.filter("training").count()
     words, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     total, distinct = tokens + n_train, words + (n_train > 0)
-    own = vocabulary(counts)
+    vocab = vocabulary(counts)
+    own, buckets = vocab.own, len(vocab.bucket_words)
 
     keyed = rows.select("doc_id", "training", F.monotonically_increasing_id().alias("row"), "text")
-    documents = stage(encoded(keyed, own), "hmm-documents", compression="zstd")
-    frequency = np.concatenate([own.counts[: own.own], own.bucket_tokens, [n_train]]).astype(float)
-    model = trained(documents.filter("training").select("symbols"), frequency, states, rounds)
-
-    rare = documents.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select(
-        "row", F.col("r.rare").alias("word"), F.col("r.rare_n").alias("n")
-    )
-    from_rare = rare.join(counts, "word").groupBy("row").agg(
-        F.sum(F.col("n") * F.log(F.col("c") + 1.0)).alias("rare_log"), F.sum("n").alias("rare_known")
+    documents = stage(encoded(keyed, vocab), "hmm-documents", compression="zstd")
+    learnt = documents.filter("training")
+    model = trained(learnt, vocab, n_train, states, tolerance)
+    table = stage(emission_table(learnt, model, own, buckets), "hmm-emissions")
+    shared = emissions(table, vocab, states)
+
+    common = most_frequent(table, KNOWN_WORDS)
+    held = table.filter(common).toArrow()  # KNOWN_WORDS rows at most
+    known = {w: i for i, w in enumerate(held["word"].to_pylist())}
+    known_c, known_shares = held["c"].to_numpy(), held["shares"].to_numpy()
+    # rows of the table for all other words, brought to the documents that hold them
+    places = documents.select("row", F.posexplode("rare").alias("place", "word"))
+    others = places.join(F.broadcast(table.filter(common).select("word")), "word", "left_anti").join(table.filter(~common), "word")
+    found = others.groupBy("row").agg(F.collect_list(F.struct("place", "c", "shares")).alias("found"))
+    joined = documents.join(found, "row", "left").select(
+        "doc_id", "training", "n_tokens", "tokens", "buckets", "rare", "found.place", "found.c", "found.shares"
     )
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_of(batches, "symbols", 2 << 20):
-            found = log_likelihood(model, *_sequences(batch))
-            kept = [c for c in batch.schema.names if c != "symbols"]
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], pa.array(found)], [*kept, "hidden"])
-
-    columns = ["row", "doc_id", "training", "n_tokens", "n_known", "base", "inside"]
-    types = "row bigint, doc_id bigint, training boolean, n_tokens bigint, n_known bigint, base double, inside double, hidden double"
-    run = documents.select(*columns, "symbols").mapInArrow(forward, types)
-    joined = run.join(from_rare, "row", "left")
-    more = F.coalesce("rare_log", F.lit(0.0))
-    end = float(np.log(n_train + 1.0))
+        own_log = np.log(np.append(vocab.counts, [n_train, 0]) + 1.0)
+        for batch in pieces_of(batches, "tokens", 3 << 20):
+            symbols, offsets, place, bucket = _sequences(batch, own, buckets)
+            at = np.fromiter((known.get(w, -1) for w in batch["rare"].flatten().to_pylist()), dtype=np.int64, count=len(bucket))
+            c, shares = np.zeros(len(bucket), dtype=np.int64), np.zeros(len(bucket), dtype=np.int64)
+            c[at >= 0], shares[at >= 0] = known_c[at[at >= 0]], known_shares[at[at >= 0]]
+            first = np.asarray(batch["rare"].offsets)[:-1] - np.asarray(batch["rare"].offsets)[0]
+            given = np.repeat(first, np.asarray(pc.fill_null(pc.list_value_length(batch["place"]), 0)))
+            given += batch["place"].flatten().to_numpy(zero_copy_only=False)
+            c[given] = batch["c"].flatten().to_numpy(zero_copy_only=False)
+            shares[given] = batch["shares"].flatten().to_numpy(zero_copy_only=False)
+            factors = np.concatenate([np.ones((1, states)), shared.factors(c, unpacked(shares, states), bucket)])
+            hidden = log_likelihood(model, symbols, offsets, given=(place, factors))
+            inside = np.concatenate([[0.0], np.log(shared.frequencies(c, bucket))])[place]
+            frequent = np.where(symbols < own, symbols, np.where(symbols == own + buckets, own, own + 1))
+            base = own_log[frequent] + np.concatenate([[0.0], np.log(c + 1.0)])[place]
+            is_known = np.where(place > 0, np.concatenate([[0], c > 0])[place], (symbols < own) | (n_train > 0))
+            sums = np.concatenate([np.zeros((1, 3)), np.cumsum(np.stack([inside, base, is_known], axis=1), axis=0)])
+            by_text = sums[offsets[1:]] - sums[offsets[:-1]]
+            kept = ["doc_id", "training", "n_tokens"]
+            more = [pa.array(np.rint(by_text[:, 2]).astype(np.int64)), pa.array(by_text[:, 1]), pa.array(hidden + by_text[:, 0])]
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], *more], [*kept, "n_known", "base", "hidden"])
+
+    run = joined.mapInArrow(forward, "doc_id bigint, training boolean, n_tokens bigint, n_known bigint, base double, hidden double")
     each = float(np.log(total + distinct + 1.0))
-    return joined.select(
+    return run.select(
         "doc_id",
         "training",
         "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0)) + int(n_train > 0)).alias("n_known"),
+        "n_known",
         F.lit(total).cast("bigint").alias("train_tokens"),
-        ((F.col("base") + more + end - F.col("n_tokens") * each) / _LOG10).alias("base_score"),
-        ((F.col("hidden") + F.col("inside") + more) / _LOG10).alias("score"),
+        ((F.col("base") - F.col("n_tokens") * each) / _LOG10).alias("base_score"),
+        (F.col("hidden") / _LOG10).alias("score"),
     )
