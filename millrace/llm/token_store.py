@@ -14,6 +14,8 @@ repeated after a lost executor replaces its output as a whole.
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -38,7 +40,11 @@ REMEMBERED = 400_000
 PIECE = 4 << 20
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-_encoders: dict[str, WordEncoder] = {}
+
+def _kept_encoders() -> dict[str, WordEncoder]:
+    """What the worker process keeps from task to task: functions travel by value, so a task's copy of this module goes with it."""
+    kept = sys.modules.setdefault("_millrace_kept", types.ModuleType("_millrace_kept"))
+    return kept.__dict__.setdefault("encoders", {})
 
 
 class WordEncoder:
@@ -68,9 +74,10 @@ class WordEncoder:
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
-        if path not in _encoders:
-            _encoders[path] = cls(path)
-        return _encoders[path]
+        encoders = _kept_encoders()
+        if path not in encoders:
+            encoders[path] = cls(path)
+        return encoders[path]
 
     def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
         """The tokenizer's own steps one by one, several times as fast as a call per word that does them all."""
@@ -121,7 +128,7 @@ class WordEncoder:
         split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
         coded = split.flatten().dictionary_encode()
         # an added token lies within a word, and distinct words are few
-        if any(pc.any(pc.match_substring(coded.dictionary, c)).as_py() for c in self.lowered):
+        if pc.any(pc.match_substring_regex(coded.dictionary, "|".join(map(re.escape, self.lowered)))).as_py():
             return self._around_added(texts)
         return self._of_words(split, coded)
 
