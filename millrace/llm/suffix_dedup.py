@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import pieces_of, stage
@@ -212,8 +212,19 @@ def repeats_in_group(pieces: list[tuple[bytes, int, int]], least: int) -> list[l
     return found
 
 
+def covered(repeats: list[tuple[int, int, int]]) -> list[int]:
+    """What the repeats of a piece cover together: beginnings and ends in turn."""
+    spans: list[int] = []
+    for start, end in sorted((p, p + n) for _, n, p in repeats):
+        if spans and start <= spans[-1]:
+            spans[-1] = max(spans[-1], end)
+        else:
+            spans += [start, end]
+    return spans
+
+
 def _sorted_groups(pieces: DataFrame, least: int) -> DataFrame:
-    """``(group, sub, repeats)`` of ``pieces (group, sub, n, windows, text)``, a bounded number of them per group."""
+    """``(group, sub, repeats, spans)`` of ``pieces (group, sub, n, windows, text)``, a bounded number of them per group."""
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -226,7 +237,7 @@ def _sorted_groups(pieces: DataFrame, least: int) -> DataFrame:
                 for name, own in zip(names, repeats_in_group(held, least)):
                     if own:
                         out.append(
-                            {"group": name[0], "sub": name[1], "repeats": [
+                            {"group": name[0], "sub": name[1], "spans": covered(own), "repeats": [
                                 {"repeat": xxhash.xxh64_intdigest(group, number) - (1 << 63), "length": length, "start": start}
                                 for number, length, start in own]}
                         )
@@ -251,9 +262,9 @@ def _sorted_groups(pieces: DataFrame, least: int) -> DataFrame:
         yield rows()
 
     repeat = pa.struct([("repeat", pa.int64()), ("length", pa.int32()), ("start", pa.int32())])
-    schema = pa.schema([("group", pa.binary()), ("sub", pa.binary()), ("repeats", pa.list_(repeat))])
+    schema = pa.schema([("group", pa.binary()), ("sub", pa.binary()), ("repeats", pa.list_(repeat)), ("spans", pa.list_(pa.int32()))])
     dealt = pieces.select("group", "sub", "n", "windows", "text").repartition("group").sortWithinPartitions("group", "sub")
-    return dealt.mapInArrow(scanned, f"group binary, sub binary, repeats {_REPEATS}")
+    return dealt.mapInArrow(scanned, f"group binary, sub binary, repeats {_REPEATS}, spans array<int>")
 
 
 def _split(pieces: DataFrame, width: int, length: int) -> DataFrame:
@@ -287,8 +298,15 @@ def _split(pieces: DataFrame, width: int, length: int) -> DataFrame:
     return pieces.mapInArrow(cut, schema)
 
 
+def _moved(by: str) -> Column:
+    def moved(r: Column) -> Column:
+        return F.struct(r["repeat"].alias("repeat"), r["length"].alias("length"), (r["start"] + F.col(by)).alias("start"))
+
+    return F.transform("repeats", moved)
+
+
 def repeats_of(pieces: DataFrame, length: int = LENGTH, group: int = GROUP, ranges: tuple[int, ...] = RANGES) -> DataFrame:
-    """``(group, sub, repeats)``: the maximal repeats of distinct ``pieces (group, sub, n, windows, head, text)``, group by group.
+    """``(group, sub, repeats, spans)``: the maximal repeats of distinct ``pieces (group, sub, n, windows, head, text)``, group by group.
 
     Groups of more than ``group`` pieces are split; what is found in the parts is handed back to the pieces.
     """
@@ -303,12 +321,11 @@ def repeats_of(pieces: DataFrame, length: int = LENGTH, group: int = GROUP, rang
         F.sum("n").alias("n"), *[F.first(c).alias(c) for c in ("windows", "head", "text")]
     )
     inner = repeats_of(stage(parts, "suffix-parts"), length, group, ranges[1:])
-    moved = F.transform(
-        "repeats", lambda r: F.struct(r["repeat"].alias("repeat"), r["length"].alias("length"), (r["start"] + F.col("shift")).alias("start"))
-    )
     back = inner.join(cells.select("group", "sub", "owner_group", "owner_sub", "shift"), ["group", "sub"])
     back = back.groupBy(F.col("owner_group").alias("group"), F.col("owner_sub").alias("sub")).agg(
-        F.flatten(F.collect_list(moved)).alias("repeats")  # a piece has at most length / 2 + 1 parts
+        # a piece has at most length / 2 + 1 parts
+        F.flatten(F.collect_list(_moved("shift"))).alias("repeats"),
+        F.flatten(F.collect_list(F.transform("spans", lambda p: p + F.col("shift")))).alias("spans"),
     )
     return found.unionByName(back)
 
@@ -328,7 +345,7 @@ def _pieces(texts: DataFrame, length: int) -> DataFrame:
             out = []
             for id, key, text, own in zip(*(batch[c].to_pylist() for c in ("id", "key", "text", "anchors"))):
                 for a in own:
-                    first, windows, head = a["first"], a["windows"], a["head"]
+                    first, windows, head = a["at"] >> 32, a["at"] >> 16 & 0xFFFF, a["at"] & 0xFFFF
                     sub = xxhash.xxh3_128_digest(text[first : first + windows + length - 1], head)
                     out.append((a["gram"].to_bytes(8, "little", signed=True), sub, id, key, first, windows, head))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 7, types)], names)
@@ -362,19 +379,28 @@ def _texts_of_pieces(texts: DataFrame, wanted: DataFrame, length: int) -> DataFr
 
 def repeats_by_document(
     docs: DataFrame, length: int = LENGTH, group: int = GROUP, digest: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``docs`` and the repeats in them.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of ``docs``, the pieces of text that may hold repeats, and what was found in them.
 
-    ``(doc_id, id, key, n_bytes, whole, text)``, the text as binary; and ``(id, key, repeats)`` with the places of
-    the repeats from the text's beginning. With ``digest``, ``text`` is null where no repeat is possible and ``whole``
-    is the digest of the whole text there.
+    ``(doc_id, id, key, n_bytes, whole, text)``, the text as binary; ``(group, sub, id, key, first)``, where each piece
+    begins in which text; and ``(group, sub, repeats, spans)``, counted from the piece's beginning. With ``digest``, ``text`` is
+    null where no repeat is possible and ``whole`` is the digest of the whole text there.
     """
     texts = _identified(docs)
     anchors = stage(with_anchors(texts, length), "suffix-anchors")
-    single = anchors.select("id", "key", F.explode("anchors").alias("a")).select("id", "key", "a.*")
+    # first, windows and head in one number: rows of this table are moved by gram
+    packed = F.transform(
+        "anchors",
+        lambda a: F.struct(
+            a["gram"].alias("gram"),
+            (F.shiftleft(a["first"].cast("long"), 32) + F.shiftleft(a["windows"].cast("long"), 16) + a["head"]).alias("at"),
+        ),
+    )
+    single = anchors.select("id", "key", F.explode(packed).alias("a")).select("id", "key", "a.*")
     twice = single.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
-    possible = single.join(twice, "gram").groupBy("id", "key").agg(
-        F.collect_set(F.struct("gram", "first", "windows", "head")).alias("anchors")  # a document's own anchors
+    # a table of its own, so that a gram of very many texts is split in the join
+    possible = single.join(stage(twice, "suffix-grams"), "gram").groupBy("id", "key").agg(
+        F.collect_set(F.struct("gram", "at")).alias("anchors")  # a document's own anchors
     )
     rows = texts.join(possible, ["id", "key"], "left").select(
         "doc_id", "id", "key", F.octet_length("text").cast("long").alias("n_bytes"),
@@ -393,12 +419,7 @@ def repeats_by_document(
     )
     pieces = stage(_texts_of_pieces(held.select("id", "key", "text"), wanted, length), "suffix-pieces")
     found = stage(repeats_of(pieces, length, group), "suffix-repeats")
-    moved = F.transform(
-        "repeats", lambda r: F.struct(r["repeat"].alias("repeat"), r["length"].alias("length"), (r["start"] + F.col("first")).alias("start"))
-    )
-    by_row = places.select("group", "sub", "id", "key", "first").join(found, ["group", "sub"])
-    by_row = by_row.groupBy("id", "key").agg(F.flatten(F.collect_set(moved)).alias("repeats"))
-    return rows.drop("anchors"), by_row
+    return rows.drop("anchors"), places.select("group", "sub", "id", "key", "first"), found
 
 
 def maximal_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
@@ -408,10 +429,10 @@ def maximal_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) -
     one and a half times ``length`` bytes); a longer repeated passage is reported as overlapping ones. Rows of one
     ``doc_id`` and text are one document here; a null id is one.
     """
-    rows, found = repeats_by_document(docs, length, group)
+    rows, places, found = repeats_by_document(docs, length, group)
     ids = rows.select("doc_id", "id", "key").distinct()
-    exploded = found.join(ids, ["id", "key"]).select("doc_id", F.explode("repeats").alias("r"))
-    return exploded.select("r.repeat", "r.length", "doc_id", "r.start").distinct()
+    at = places.join(found, ["group", "sub"]).select("id", "key", F.explode(_moved("first")).alias("r"))
+    return at.join(ids, ["id", "key"]).select("r.repeat", "r.length", "doc_id", "r.start").distinct()
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, digest: bool = False) -> DataFrame:
@@ -423,8 +444,11 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, d
     it is long enough. ``kept`` is binary, since a cut may fall inside a character; with ``digest`` it is
     ``kept_sha256`` instead and the text stays in the task. An empty table has no rows.
     """
-    rows, found = repeats_by_document(docs, length, group, digest)
-    spans = found.select("id", "key", F.transform("repeats", lambda r: F.struct(r["start"], r["start"] + r["length"])).alias("spans"))
+    rows, places, found = repeats_by_document(docs, length, group, digest)
+    moved = F.transform("spans", lambda p: p + F.col("first"))
+    spans = places.join(found.select("group", "sub", "spans"), ["group", "sub"]).groupBy("id", "key").agg(
+        F.flatten(F.collect_set(moved)).alias("spans")  # a document's own pieces
+    )
     last, kind = ("kept_sha256", "string") if digest else ("kept", "binary")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -434,7 +458,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, d
             kept: list = []
             for text, own in zip(batch["text"].to_pylist(), batch["spans"].to_pylist()):
                 left, at, n = [], 0, 0
-                for begin, end in sorted(tuple(s.values()) for s in own or ()):
+                for begin, end in sorted(zip(own[::2], own[1::2])) if own else ():
                     if begin > at or not n:
                         left.append(text[at:begin])
                         n += 1
