@@ -45,6 +45,71 @@ def seeds(words: Column, masks: list[str]) -> Column:
     return F.concat(*[of(no, mask) for no, mask in enumerate(masks)])
 
 
+def runs(found: Column) -> Column:
+    """Seeds ``(p, h)`` of one text as runs ``(h, p, count, step)``: places of one hash that follow each other at one distance.
+
+    A text that repeats words holds a seed at very many places; the runs are few. Most texts hold every seed
+    once, and each is a run by itself.
+    """
+
+    def single(x: Column) -> Column:
+        return F.struct(x["h"].alias("h"), x["p"].alias("p"), F.lit(1).alias("count"), F.lit(0).alias("step"))
+
+    def ordered(a: Column) -> Column:
+        def gap(i: Column) -> Column:
+            """The distance to the place before, null for a hash's first place."""
+            return F.when((i > 0) & (F.get(a, i - 1)["h"] == F.get(a, i)["h"]), F.get(a, i)["p"] - F.get(a, i - 1)["p"])
+
+        def first(i: Column) -> Column:
+            return F.coalesce(gap(i) != gap(i - 1), F.lit(True))
+
+        def run(firsts: Column) -> Column:
+            def of(i: Column, k: Column) -> Column:
+                count = F.coalesce(F.get(firsts, k + 1), F.size(a)) - i
+                step = F.when(count > 1, gap(i + 1)).otherwise(0)
+                return F.struct(F.get(a, i)["h"].alias("h"), F.get(a, i)["p"].alias("p"), count.alias("count"), step.alias("step"))
+
+            return F.transform(firsts, of)
+
+        return let(F.filter(F.sequence(F.lit(0), F.size(a) - 1), first), run)
+
+    def of(all_: Column) -> Column:
+        alike = F.size(F.array_distinct(F.transform(all_, lambda x: x["h"]))) == F.size(all_)
+        by_hash = F.sort_array(F.transform(all_, lambda x: F.struct(x["h"].alias("h"), x["p"].alias("p"))))
+        return F.when(alike, F.transform(all_, single)).otherwise(let(by_hash, ordered))
+
+    return let(found, of)
+
+
+def _shifts(doc: dict[str, Column], item: dict[str, Column]) -> Column:
+    """By how much a run of a text and a run of an item can lie apart: the differences of their places."""
+    lowest = doc["p"] - item["p"] - (item["count"] - 1) * item["step"]
+    step = F.greatest(doc["step"], item["step"])
+    regular = (doc["count"] == 1) | (item["count"] == 1) | (doc["step"] == item["step"])
+    along = F.sequence(F.lit(0), doc["count"] + item["count"] - 2)
+    pairs = F.transform(
+        F.sequence(F.lit(0), item["count"] - 1),
+        lambda k: F.transform(
+            F.sequence(F.lit(0), doc["count"] - 1),
+            lambda n: doc["p"] + n * doc["step"] - item["p"] - k * item["step"],
+        ),
+    )
+    return F.when(regular, F.transform(along, lambda k: lowest + k * step)).otherwise(F.flatten(pairs))
+
+
+def _different(shifts: Column, item: Column, doc: Column) -> Column:
+    """One of all shifts that lay the item over equal words: those of a text that repeats itself are mostly alike."""
+
+    def over(s: Column) -> Column:
+        below = F.greatest(F.lit(0), F.least(F.size(item) + F.least(s, F.lit(0)), F.size(doc) - F.greatest(s, F.lit(0))))
+        return F.struct(F.xxhash64(F.least(s, F.lit(0)), F.slice(doc, F.greatest(s, F.lit(0)) + 1, below)).alias("key"), s.alias("s"))
+
+    def one(a: Column) -> Column:
+        return F.filter(a, lambda x, i: F.coalesce(F.get(a, i - 1)["key"] != x["key"], F.lit(True)))
+
+    return F.transform(let(F.sort_array(F.transform(shifts, over)), one), lambda x: x["s"])
+
+
 def _best(item: Column, doc: Column, shift: Column, window: int) -> Column:
     """``(matched, hits)``: most equal words in any window of the item laid over the document at ``shift``, and equal words in all."""
     size = F.size(item)
@@ -52,9 +117,13 @@ def _best(item: Column, doc: Column, shift: Column, window: int) -> Column:
 
     def summed(e: Column) -> Column:
         width = F.least(size, F.lit(window))
-        starts = F.sequence(F.lit(1), size - width + 1)
-        sums = F.transform(starts, lambda s: F.aggregate(F.slice(e, s, width), F.lit(0), lambda a, x: a + x))
-        return F.struct(F.array_max(sums).alias("matched"), F.aggregate(e, F.lit(0), lambda a, x: a + x).alias("hits"))
+
+        def step(a: Column, i: Column) -> Column:
+            now = a["now"] + F.get(e, i) - F.coalesce(F.get(e, F.when(i >= width, i - width)), F.lit(0))
+            return F.struct(now.alias("now"), F.greatest(a["matched"], now).alias("matched"), (a["hits"] + F.get(e, i)).alias("hits"))
+
+        zero = F.struct(*[F.lit(0).alias(c) for c in ("now", "matched", "hits")])
+        return F.aggregate(F.sequence(F.lit(0), size - 1), zero, step)
 
     return let(equal, summed)
 
@@ -85,17 +154,18 @@ def benchmark_overlaps(
     longest = max(map(len, masks))
     short = [r[0] for r in items.filter(F.size("item") < longest).select(F.size("item")).distinct().orderBy(F.size("item")).collect()]
     all_masks = [*masks, *("1" * n for n in short)]
-    planted = items.select("item_id", "item", F.explode(seeds(F.col("item"), all_masks)).alias("s"))
-    planted = stage(planted.select("item_id", "item", F.col("s.p").alias("ip"), F.col("s.h").alias("h")).distinct(), "seeds-items")
-    lookup = planted.select(F.xxhash64("item_id", "item").alias("row"), "ip", "h")
+    planted = items.select(F.xxhash64("item_id", "item").alias("row"), F.explode(runs(seeds(F.col("item"), all_masks))).alias("i"))
+    lookup = stage(planted.select("row", "i", F.col("i.h").alias("h")), "seeds-items")
     if lookup.count() <= BROADCAST_SEEDS:
         lookup = F.broadcast(lookup)
 
     hashed = docs.select(text_key(F.col("text")).alias("text_key"), word_hashes(F.col("text")).alias("words"))
-    placed = hashed.filter("size(words) > 0").select("text_key", F.explode(seeds(F.col("words"), all_masks)).alias("s"))
-    met = placed.select("text_key", F.col("s.p").alias("p"), F.col("s.h").alias("h")).join(lookup, "h")
-    places = met.select("text_key", "row", (F.col("p") - F.col("ip")).alias("shift")).distinct()
-    by_text = places.groupBy("text_key", "row").agg(F.collect_set("shift").alias("shifts"))
+    placed = hashed.filter("size(words) > 0").select("text_key", F.explode(runs(seeds(F.col("words"), all_masks))).alias("d"))
+    met = placed.select("text_key", "d", F.col("d.h").alias("h")).join(lookup, "h")
+    parts = ("p", "count", "step")
+    apart = _shifts({c: F.col(f"d.{c}") for c in parts}, {c: F.col(f"i.{c}") for c in parts})
+    # no more shifts than the text and the item have words
+    by_text = met.groupBy("text_key", "row").agg(F.array_distinct(F.flatten(F.collect_set(apart))).alias("shifts"))
     by_text = stage(by_text, "seeds-places")
 
     rows = items.select("item_id", "item", F.xxhash64("item_id", "item").alias("row"))
@@ -104,7 +174,9 @@ def benchmark_overlaps(
         "text_key",
         "item_id",
         F.size("item").alias("item_words"),
-        F.explode(F.transform("shifts", lambda s: _best(F.col("item"), F.col("words"), s, window))).alias("b"),
+        F.explode(
+            F.transform(_different(F.col("shifts"), F.col("item"), F.col("words")), lambda s: _best(F.col("item"), F.col("words"), s, window))
+        ).alias("b"),
     )
     needed = F.when(F.col("item_words") >= window, F.lit(window - substitutions)).otherwise(F.col("item_words"))
     found = found.filter(F.col("b.matched") >= needed)
@@ -129,6 +201,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose text holds no passage of a benchmark item, with their columns as they are."""
+    """The rows of ``docs (text, …)`` whose text holds no passage of a benchmark item, with their columns as they are.
+
+    Null and empty texts hold nothing and stay, as do all rows where there are no items; equal rows stay or go together, and
+    no text is too long to be searched whole.
+    """
     found = stage(benchmark_overlaps(docs, benchmark, **options).select("text_key").distinct(), "seeds-found")
     return docs.join(found, text_key(F.col("text")) == found["text_key"], "left_anti")
