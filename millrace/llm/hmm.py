@@ -25,13 +25,13 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import pieces_of, stage
 
-STATES = 8
+STATES = 6
 # Words that have emissions of their own while the states are formed, and the buckets of endings that the others share then.
 FREQUENT = 8192
 BUCKETS = 1024
 # Classes for the first guess: so many words, and so many buckets (a divisor of BUCKETS).
 COARSE_WORDS, COARSE_BUCKETS = 255, 256
-# Words whose rows of the emission table are sent to every task, about 30 bytes each; the rows of all others are joined.
+# Words that every task knows by number, about 30 bytes each with their row of the emission table; those of all others are joined.
 KNOWN_WORDS = 1 << 18
 # Rounds go on while a token's mean log probability gains more than this, in nats.
 TOLERANCE = 0.01
@@ -55,25 +55,29 @@ def bucket_column(word: Column, buckets: int) -> Column:
 
 @dataclass
 class Vocabulary:
-    """The frequent words, most frequent first, with their counts, and the sizes of the buckets of all others."""
+    """The words known by number, most frequent first, with their counts, and the sizes of the buckets of those not frequent."""
 
     words: dict[str, int]
     counts: np.ndarray
+    own: int  # so many are frequent
     bucket_words: np.ndarray
     bucket_tokens: np.ndarray
 
+    def __post_init__(self) -> None:
+        self.bucket = np.array([bucket_of(w, self.buckets) for w in list(self.words)[self.own :]], dtype=np.int64)
+
     @property
-    def own(self) -> int:
-        return len(self.words)
+    def buckets(self) -> int:
+        return len(self.bucket_words)
 
     @property
-    def symbols(self) -> int:
-        return self.own + len(self.bucket_words) + 1
+    def known(self) -> int:
+        return len(self.words)
 
     def encode(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
         """``(words, rank, position, offsets)`` of a batch of texts.
 
-        ``words`` are the distinct ones, ``rank`` their places among the frequent words or -1. Text ``i`` is
+        ``words`` are the distinct ones, ``rank`` their places among the known words or -1. Text ``i`` is
         ``position[offsets[i]:offsets[i + 1]]``, places in ``words``.
         """
         split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
@@ -131,35 +135,42 @@ def posteriors(
     before, after = _carried(model, symbols, offsets, cuts, window)
     order, lengths = _ordered(cuts)
     begins, first, before, after = cuts[:-1][order], first[order], before[order], after[order]
-    emit = np.ascontiguousarray(model.emit.T)
     steps = int(lengths[0]) if len(lengths) else 0
     active = np.searchsorted(-lengths, -np.arange(steps), side="left")  # windows longer than t
     total = np.concatenate([[0], np.cumsum(active)])
-    alphas = np.empty((int(total[-1]), states))
-    scales = np.empty(int(total[-1]))
-    places = np.empty(int(total[-1]), dtype=np.int64)
-    alpha = np.where(first[:, None], model.start, before @ model.move)
+    step = np.repeat(np.arange(steps), active)
+    places = begins[np.arange(int(total[-1])) - total[step]] + step
+    # counts need no more than single precision; emissions of a token are scaled to a maximum of 1
+    likely = np.ascontiguousarray(model.emit.T)
+    top = likely.max(axis=1)
+    emit = (likely / top[:, None]).astype(np.float32)[symbols[places]]
+    move_by, before, after = model.move.astype(np.float32), before.astype(np.float32), after.astype(np.float32)
+    alphas = np.empty((int(total[-1]), states), dtype=np.float32)
+    scales = np.empty((int(total[-1]), 1), dtype=np.float32)
+    alpha = np.where(first[:, None], model.start.astype(np.float32), before @ move_by)
     for t in range(steps):
         n, here = active[t], slice(total[t], total[t + 1])
-        places[here] = begins[:n] + t
-        alpha = (alpha[:n] if t == 0 else alpha[:n] @ model.move) * emit[symbols[places[here]]]
-        scale = alpha.sum(axis=1)
-        alpha /= scale[:, None]
+        alpha = (alpha[:n] if t == 0 else alpha[:n] @ move_by) * emit[here]
+        scale = alpha.sum(axis=1, keepdims=True)
+        alpha /= scale
         alphas[here], scales[here] = alpha, scale
     move = np.zeros((states, states))
     gammas = alphas.copy()
-    beta = np.ones((0, states))
+    emit /= scales
+    back = np.ascontiguousarray(move_by.T)
+    beta = np.ones((0, states), dtype=np.float32)
     for t in range(steps - 1, -1, -1):
         n, here = active[t], slice(total[t], total[t + 1])
-        beta = np.concatenate([beta, after[len(beta) : n]])
+        beta = np.concatenate([beta, after[len(beta) : n]]) if n > len(beta) else beta
         gammas[here] *= beta
-        weighted = beta * emit[symbols[places[here]]] / scales[here][:, None]
-        earlier = alphas[total[t - 1] : total[t - 1] + n] if t else np.where(first[:, None], 0.0, before)
+        weighted = beta * emit[here]
+        earlier = alphas[total[t - 1] : total[t - 1] + n] if t else np.where(first[:, None], np.float32(0), before)
         move += earlier.T @ weighted
-        beta = weighted @ model.move.T
+        beta = weighted @ back
     move *= model.move
-    start = gammas[: active[0]][first].sum(axis=0) if steps else np.zeros(states)
-    return places, gammas, start, move, float(np.log(scales).sum())
+    start = gammas[: active[0]][first].sum(axis=0, dtype=float) if steps else np.zeros(states)
+    log = np.log(scales, dtype=float).sum() + np.log(top)[symbols[places]].sum()
+    return places, gammas, start, move, float(log)
 
 
 def expected_counts(
@@ -320,38 +331,47 @@ def most_frequent(counts: DataFrame, limit: int) -> Column:
     return (band > cut) | ((band == cut) & (place < below))
 
 
-def vocabulary(counts: DataFrame, frequent: int = FREQUENT, buckets: int = BUCKETS) -> Vocabulary:
-    """The most frequent words and what the buckets hold of the rest; the driver gets ``frequent + buckets`` rows at most."""
-    own = most_frequent(counts, frequent)
-    top = sorted(counts.filter(own).collect(), key=lambda r: (-r["c"], r["word"]))
-    held = counts.filter(~own).groupBy(bucket_column(F.col("word"), buckets).alias("b"))
-    bucket_words, bucket_tokens = np.zeros(buckets), np.zeros(buckets)
+def vocabulary(counts: DataFrame, frequent: int = FREQUENT, buckets: int = BUCKETS, known: int = KNOWN_WORDS) -> Vocabulary:
+    """The most frequent words and what the buckets hold of those not frequent; the driver gets ``known + buckets`` rows at most."""
+    chosen = most_frequent(counts, known)
+    top = counts.filter(chosen).toArrow().sort_by([("c", "descending"), ("word", "ascending")])
+    words, c = top["word"].to_pylist(), top["c"].to_numpy()
+    own = min(frequent, len(words))
+    rare = np.array([bucket_of(w, buckets) for w in words[own:]], dtype=np.int64)
+    bucket_words = np.bincount(rare, minlength=buckets).astype(float)
+    bucket_tokens = np.bincount(rare, weights=c[own:], minlength=buckets)
+    held = counts.filter(~chosen).groupBy(bucket_column(F.col("word"), buckets).alias("b"))
     for row in held.agg(F.count("*").alias("v"), F.sum("c").alias("c")).collect():
-        bucket_words[row["b"]], bucket_tokens[row["b"]] = row["v"], row["c"]
-    return Vocabulary({r["word"]: i for i, r in enumerate(top)}, np.array([r["c"] for r in top], dtype=np.int64), bucket_words, bucket_tokens)
+        bucket_words[row["b"]] += row["v"]
+        bucket_tokens[row["b"]] += row["c"]
+    return Vocabulary({w: i for i, w in enumerate(words)}, c, own, bucket_words, bucket_tokens)
 
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Per row of ``docs (row, text, …)`` its tokens; further columns stay.
 
-    ``tokens`` (four bytes each) are ranks of frequent words, then the number of those for the end of the text, then places
-    in ``rare``, the distinct other words of the text, whose ``buckets`` (two bytes each) are listed too.
+    ``tokens`` (four bytes each) are ranks of frequent words, then the number of those for the end of the text, then one more than
+    the ranks of other known words, then places in ``rare``, the text's distinct words that are not known, whose ``buckets``
+    (two bytes each) are listed too.
     """
     names = [c for c in docs.columns if c != "text"]
     schema = ", ".join(f"{c} {kind}" for c, kind in docs.dtypes if c != "text")
-    own, buckets = vocabulary.own, len(vocabulary.bucket_words)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, known = vocabulary.own, vocabulary.known
         for batch in pieces_of(batches, "text"):
             words, rank, position, offsets = vocabulary.encode(batch["text"])
             values = words.to_numpy(zero_copy_only=False).tolist()
-            bucket = np.fromiter((bucket_of(w, buckets) if r < 0 else 0 for w, r in zip(values, rank)), dtype="<u2", count=len(values))
+            bucket = np.fromiter(
+                (bucket_of(w, vocabulary.buckets) if r < 0 else 0 for w, r in zip(values, rank.tolist())), dtype="<u2", count=len(values)
+            )
+            code = np.where(rank >= own, rank + 1, rank)
             packed, rare_at, sizes, held = [], [], [], []
             for i in range(batch.num_rows):
                 mine = position[offsets[i] : offsets[i + 1]]
-                token = rank[mine]
+                token = code[mine]
                 unknown, places = np.unique(mine[token < 0], return_inverse=True)
-                token[token < 0] = places + own + 1
+                token[token < 0] = places + known + 1
                 packed.append(np.append(token, own).astype("<u4").tobytes())
                 rare_at.append(unknown)
                 sizes.append(len(unknown))
@@ -369,28 +389,34 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return docs.mapInArrow(of, f"{schema}, n_tokens bigint, tokens binary, rare array<string>, buckets binary")
 
 
-def _sequences(batch: pa.RecordBatch, own: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(symbols, offsets, place, bucket)``: symbols of all texts, and for words that are not frequent, by ``place`` from 1 on, their bucket."""
+def _sequences(batch: pa.RecordBatch, v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(symbols, offsets, number, bucket)`` of all texts of a batch.
+
+    ``number`` is 0 for frequent words and the end, then counts the known words that are not frequent, then the batch's
+    unknown words, row after row; ``bucket[number - 1]`` is the bucket of such a word.
+    """
     packed = batch["tokens"].to_pylist()
     offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int64)
     token = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int64)
     held = batch["buckets"].to_pylist()
-    bucket = np.frombuffer(b"".join(held), dtype="<u2").astype(np.int64)
+    bucket = np.concatenate([v.bucket, np.frombuffer(b"".join(held), dtype="<u2").astype(np.int64)])
     before = np.repeat(np.cumsum([0, *(len(h) // 2 for h in held)])[:-1], np.diff(offsets))
-    rare = token > own
-    place = np.where(rare, token - own + before, 0)
-    symbol = np.where(rare, own + bucket[np.maximum(place, 1) - 1] if len(bucket) else 0, np.where(token == own, own + buckets, token))
-    return symbol, offsets, place, bucket
+    number = np.where(token > v.known, token + before, token) - v.own
+    number[token <= v.own] = 0
+    symbol = np.where(token == v.own, v.own + v.buckets, token)
+    rare = number > 0
+    symbol[rare] = v.own + bucket[number[rare] - 1]
+    return symbol, offsets, number, bucket
 
 
-def pair_counts(documents: DataFrame, coarse: np.ndarray, own: int, buckets: int) -> np.ndarray:
+def pair_counts(documents: DataFrame, coarse: np.ndarray, v: Vocabulary) -> np.ndarray:
     """How often a class follows a class, over all ``documents (tokens, buckets)``; ``coarse`` is the class of each symbol."""
     size = int(coarse.max()) + 1
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(size * size, dtype=np.int64)
         for batch in pieces_of(batches, "tokens", 4 << 20):
-            symbols, offsets, _, _ = _sequences(batch, own, buckets)
+            symbols, offsets, _, _ = _sequences(batch, v)
             classes = coarse[symbols]
             inner = np.ones(max(0, len(classes) - 1), dtype=bool)
             inner[offsets[1:-1] - 1] = False
@@ -433,13 +459,13 @@ def trained(documents: DataFrame, vocabulary: Vocabulary, ends: int, states: int
     Every round goes over all of all sequences. Tasks send expected counts per symbol, rounded to 2^-20, whose sums do
     not depend on their order; as many rows reach the driver as there are symbols.
     """
-    own, buckets = vocabulary.own, len(vocabulary.bucket_words)
-    frequency = np.concatenate([vocabulary.counts, vocabulary.bucket_tokens, [ends]]).astype(float)
+    own, buckets = vocabulary.own, vocabulary.buckets
+    frequency = np.concatenate([vocabulary.counts[:own], vocabulary.bucket_tokens, [ends]]).astype(float)
     size = len(frequency)
     words = min(own, COARSE_WORDS)
-    by_ending = [words + bucket_of(w, COARSE_BUCKETS) for w in list(vocabulary.words)[words:]]
+    by_ending = [words + bucket_of(w, COARSE_BUCKETS) for w in list(vocabulary.words)[words:own]]
     coarse = np.array([*range(words), *by_ending, *(words + b % COARSE_BUCKETS for b in range(buckets)), words + COARSE_BUCKETS])
-    model = guessed(pair_counts(documents, coarse, own, buckets), coarse, frequency, states)
+    model = guessed(pair_counts(documents, coarse, vocabulary), coarse, frequency, states)
     reached = -np.inf
     while True:
         current = model
@@ -447,7 +473,7 @@ def trained(documents: DataFrame, vocabulary: Vocabulary, ends: int, states: int
         def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start, move, emit, log = np.zeros(states), np.zeros((states, states)), np.zeros((states, size)), 0.0
             for batch in pieces_of(batches, "tokens", 3 << 20):
-                s, m, e, gained = expected_counts(current, *_sequences(batch, own, buckets)[:2])
+                s, m, e, gained = expected_counts(current, *_sequences(batch, vocabulary)[:2])
                 start, move, emit, log = start + s, move + m, emit + e, log + gained
             # rows: symbols, then one row per state for the moves, then the start, then the log likelihood
             last = np.zeros((1, states))
@@ -470,50 +496,59 @@ def trained(documents: DataFrame, vocabulary: Vocabulary, ends: int, states: int
         reached = mean
 
 
-def emission_table(documents: DataFrame, model: Model, own: int, buckets: int) -> DataFrame:
-    """``(word, c, shares)`` of all words of ``documents (tokens, rare, buckets)`` that are not frequent.
+def emission_table(documents: DataFrame, model: Model, v: Vocabulary) -> DataFrame:
+    """``(number, word, c, shares)`` of all words of ``documents (tokens, rare, buckets)`` that are not frequent.
 
-    ``shares`` packs, a byte per state, the part of the word's ``c`` occurrences that each state is expected to have emitted.
+    Known words have a number, from 0 on, the others their text. ``shares`` packs, a byte per state, the part of the
+    word's ``c`` occurrences that each state is expected to have emitted.
     """
     states = len(model.start)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = len(v.bucket)
+        numbered = np.zeros((known, states + 1))
         index: dict[str, int] = {}
         sums = np.zeros((1024, states + 1))
 
-        def rows() -> pa.RecordBatch:
-            n = len(index)
-            table = np.rint(sums[:n] * 1024).astype(np.int64)
-            columns = [pa.array(list(index), pa.string()), pa.array(table[:, -1] >> 10), *[pa.array(table[:, k]) for k in range(states)]]
-            index.clear()
-            sums[:n] = 0
-            return pa.RecordBatch.from_arrays(columns, ["word", "n", *[f"k{k}" for k in range(states)]])
+        def rows(number: list | np.ndarray, words: list, held: np.ndarray) -> pa.RecordBatch:
+            table = np.rint(held * 1024).astype(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(number, pa.int64()), pa.array(words, pa.string()), pa.array(table[:, -1] >> 10), *[pa.array(table[:, k]) for k in range(states)]],
+                ["number", "word", "n", *names],
+            )
 
         for batch in pieces_of(batches, "tokens", 3 << 20):
-            symbols, offsets, place, _ = _sequences(batch, own, buckets)
+            symbols, offsets, number, _ = _sequences(batch, v)
             places, gammas, *_ = posteriors(model, symbols, offsets)
-            at = place[places]
+            at = number[places]
+            gammas = np.concatenate([gammas, np.ones((len(gammas), 1))], axis=1)
+            mine = (at > 0) & (at <= known)
             coded = batch["rare"].flatten().dictionary_encode()
             words = coded.dictionary.to_pylist()
-            number = np.fromiter((index.setdefault(w, len(index)) for w in words), dtype=np.int64, count=len(words))
+            to = np.fromiter((index.setdefault(w, len(index)) for w in words), dtype=np.int64, count=len(words))
             if len(index) > len(sums):
                 sums = np.concatenate([sums, np.zeros((max(len(sums), len(index) - len(sums)), states + 1))])
-            code, gammas = np.asarray(coded.indices)[at[at > 0] - 1], gammas[at > 0]
-            for k in range(states):
-                sums[number, k] += np.bincount(code, weights=gammas[:, k], minlength=len(words))
-            sums[number, states] += np.bincount(code, minlength=len(words))
+            other = at > known
+            code = np.asarray(coded.indices)[at[other] - known - 1]
+            for k in range(states + 1):
+                numbered[:, k] += np.bincount(at[mine] - 1, weights=gammas[mine, k], minlength=known)
+                sums[to, k] += np.bincount(code, weights=gammas[other, k], minlength=len(words))
             if len(index) > HELD_WORDS:
-                yield rows()
-        yield rows()
+                yield rows([None] * len(index), list(index), sums[: len(index)])
+                sums[: len(index)] = 0
+                index.clear()
+        used = np.flatnonzero(numbered[:, -1])
+        yield rows(used, [None] * len(used), numbered[used])
+        yield rows([None] * len(index), list(index), sums[: len(index)])
 
     names = [f"k{k}" for k in range(states)]
-    schema = "word string, n bigint, " + ", ".join(f"{k} bigint" for k in names)
-    summed = documents.select("tokens", "rare", "buckets").mapInArrow(counted, schema).groupBy("word").agg(
+    schema = "number bigint, word string, n bigint, " + ", ".join(f"{k} bigint" for k in names)
+    summed = documents.select("tokens", "rare", "buckets").mapInArrow(counted, schema).groupBy("number", "word").agg(
         F.sum("n").alias("c"), *[F.sum(k).alias(k) for k in names]
     )
     whole = sum((F.col(k) for k in names[1:]), F.col(names[0]))
     shares = [F.shiftleft(F.round(255 * F.col(k) / whole).cast("long"), 8 * i) for i, k in enumerate(names)]
-    return summed.select("word", "c", sum(shares[1:], shares[0]).alias("shares"))
+    return summed.select("number", "word", "c", sum(shares[1:], shares[0]).alias("shares"))
 
 
 def unpacked(shares: np.ndarray, states: int) -> np.ndarray:
@@ -543,18 +578,21 @@ class Emissions:
         return np.where(held > 0, (1 - mixed) * own, 0.0) + mixed
 
 
-def emissions(table: DataFrame, vocabulary: Vocabulary, states: int) -> Emissions:
-    """Sums of the emission table by bucket: a row per bucket reaches the driver."""
-    buckets = len(vocabulary.bucket_words)
-    parts = [F.shiftrightunsigned("shares", 8 * k).bitwiseAND(F.lit(255)) for k in range(states)]
-    whole = sum(parts[1:], parts[0])
-    sums = table.groupBy(bucket_column(F.col("word"), buckets).alias("b")).agg(
-        *[F.sum(F.col("c") * p / whole).alias(f"k{k}") for k, p in enumerate(parts)]
+def emissions(table: DataFrame, vocabulary: Vocabulary, states: int) -> tuple[Emissions, np.ndarray]:
+    """Sums of the emission table by bucket, and the shares of the known words by number; bounded numbers of rows reach the driver."""
+    numbered = table.filter("number is not null").select("number", "shares").toArrow()
+    shares = np.zeros(len(vocabulary.bucket), dtype=np.int64)
+    shares[numbered["number"].to_numpy()] = numbered["shares"].to_numpy()
+    parts = unpacked(shares, states) * vocabulary.counts[vocabulary.own :, None]
+    found = np.stack([np.bincount(vocabulary.bucket, weights=parts[:, k], minlength=vocabulary.buckets) for k in range(states)], axis=1)
+    own = [F.shiftrightunsigned("shares", 8 * k).bitwiseAND(F.lit(255)) for k in range(states)]
+    whole = sum(own[1:], own[0])
+    sums = table.filter("number is null").groupBy(bucket_column(F.col("word"), vocabulary.buckets).alias("b")).agg(
+        *[F.sum(F.col("c") * p / whole).alias(f"k{k}") for k, p in enumerate(own)]
     )
-    found = np.zeros((buckets, states))
     for row in sums.collect():
-        found[row["b"]] = row[1:]
-    return Emissions(vocabulary, found, states)
+        found[row["b"]] += row[1:]
+    return Emissions(vocabulary, found, states), shares
 
 
 def scored(docs: DataFrame, training: Column, states: int = STATES, tolerance: float = TOLERANCE) -> DataFrame:
@@ -572,45 +610,43 @@ def scored(docs: DataFrame, training: Column, states: int = STATES, tolerance: f
     words, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     total, distinct = tokens + n_train, words + (n_train > 0)
     vocab = vocabulary(counts)
-    own, buckets = vocab.own, len(vocab.bucket_words)
 
     keyed = rows.select("doc_id", "training", F.monotonically_increasing_id().alias("row"), "text")
     documents = stage(encoded(keyed, vocab), "hmm-documents", compression="zstd")
     learnt = documents.filter("training")
     model = trained(learnt, vocab, n_train, states, tolerance)
-    table = stage(emission_table(learnt, model, own, buckets), "hmm-emissions")
-    shared = emissions(table, vocab, states)
-
-    common = most_frequent(table, KNOWN_WORDS)
-    held = table.filter(common).toArrow()  # KNOWN_WORDS rows at most
-    known = {w: i for i, w in enumerate(held["word"].to_pylist())}
-    known_c, known_shares = held["c"].to_numpy(), held["shares"].to_numpy()
-    # rows of the table for all other words, brought to the documents that hold them
+    table = stage(emission_table(learnt, model, vocab), "hmm-emissions")
+    shared, known_shares = emissions(table, vocab, states)
+
+    # rows of the table for words that are not known, brought to the documents that hold them
     places = documents.select("row", F.posexplode("rare").alias("place", "word"))
-    others = places.join(F.broadcast(table.filter(common).select("word")), "word", "left_anti").join(table.filter(~common), "word")
+    others = places.join(table.filter("number is null").drop("number"), "word")
     found = others.groupBy("row").agg(F.collect_list(F.struct("place", "c", "shares")).alias("found"))
-    joined = documents.join(found, "row", "left").select(
-        "doc_id", "training", "n_tokens", "tokens", "buckets", "rare", "found.place", "found.c", "found.shares"
+    joined = documents.drop("rare").join(found, "row", "left").select(
+        "doc_id", "training", "n_tokens", "tokens", "buckets", "found.place", "found.c", "found.shares"
     )
 
     def forward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_log = np.log(np.append(vocab.counts, [n_train, 0]) + 1.0)
+        own, known = vocab.own, len(vocab.bucket)
+        own_log = np.log(np.append(vocab.counts[:own], [n_train, 0]) + 1.0)
+        known_c = vocab.counts[own:]
+        known_factors = shared.factors(known_c, unpacked(known_shares, states), vocab.bucket)
+        known_inside = np.log(shared.frequencies(known_c, vocab.bucket))
         for batch in pieces_of(batches, "tokens", 3 << 20):
-            symbols, offsets, place, bucket = _sequences(batch, own, buckets)
-            at = np.fromiter((known.get(w, -1) for w in batch["rare"].flatten().to_pylist()), dtype=np.int64, count=len(bucket))
+            symbols, offsets, number, bucket = _sequences(batch, vocab)
+            bucket = bucket[known:]
             c, shares = np.zeros(len(bucket), dtype=np.int64), np.zeros(len(bucket), dtype=np.int64)
-            c[at >= 0], shares[at >= 0] = known_c[at[at >= 0]], known_shares[at[at >= 0]]
-            first = np.asarray(batch["rare"].offsets)[:-1] - np.asarray(batch["rare"].offsets)[0]
-            given = np.repeat(first, np.asarray(pc.fill_null(pc.list_value_length(batch["place"]), 0)))
-            given += batch["place"].flatten().to_numpy(zero_copy_only=False)
-            c[given] = batch["c"].flatten().to_numpy(zero_copy_only=False)
-            shares[given] = batch["shares"].flatten().to_numpy(zero_copy_only=False)
-            factors = np.concatenate([np.ones((1, states)), shared.factors(c, unpacked(shares, states), bucket)])
-            hidden = log_likelihood(model, symbols, offsets, given=(place, factors))
-            inside = np.concatenate([[0.0], np.log(shared.frequencies(c, bucket))])[place]
-            frequent = np.where(symbols < own, symbols, np.where(symbols == own + buckets, own, own + 1))
-            base = own_log[frequent] + np.concatenate([[0.0], np.log(c + 1.0)])[place]
-            is_known = np.where(place > 0, np.concatenate([[0], c > 0])[place], (symbols < own) | (n_train > 0))
+            sizes = np.array([len(b) // 2 for b in batch["buckets"].to_pylist()], dtype=np.int64)
+            at = np.repeat(np.cumsum(sizes) - sizes, np.asarray(pc.fill_null(pc.list_value_length(batch["place"]), 0)))
+            at = at + batch["place"].flatten().to_numpy(zero_copy_only=False)
+            c[at] = batch["c"].flatten().to_numpy(zero_copy_only=False)
+            shares[at] = batch["shares"].flatten().to_numpy(zero_copy_only=False)
+            factors = np.concatenate([np.ones((1, states)), known_factors, shared.factors(c, unpacked(shares, states), bucket)])
+            hidden = log_likelihood(model, symbols, offsets, given=(number, factors))
+            inside = np.concatenate([[0.0], known_inside, np.log(shared.frequencies(c, bucket))])[number]
+            frequent = np.where(symbols < own, symbols, np.where(symbols == own + vocab.buckets, own, own + 1))
+            base = own_log[frequent] + np.concatenate([[0.0], np.log(known_c + 1.0), np.log(c + 1.0)])[number]
+            is_known = np.where(number > known, np.concatenate([[0], c > 0])[np.maximum(number - known, 0)], (frequent != own) | (n_train > 0))
             sums = np.concatenate([np.zeros((1, 3)), np.cumsum(np.stack([inside, base, is_known], axis=1), axis=0)])
             by_text = sums[offsets[1:]] - sums[offsets[:-1]]
             kept = ["doc_id", "training", "n_tokens"]
