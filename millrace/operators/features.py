@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.workspace import fresh_dir
+
 
 def row_bucket(*keys: Column, buckets: int = 100) -> Column:
     """A number below ``buckets`` that depends on the keys only.
@@ -94,3 +96,46 @@ class OneHot:
         position = F.array_position(encoded, F.array_max(encoded)).cast("int")
         labels = F.array(*(F.lit(c) for c in self.categories))
         return F.when(F.array_max(encoded) > 0, F.element_at(labels, position))
+
+
+def category_table(df: DataFrame, column: str) -> DataFrame:
+    """``(category, index)``: the sorted categories of a column, any number of them, numbered from 0; written and read back.
+
+    Sorted by ranges over all tasks: a category's number is its place in its part plus what the parts before it hold.
+    """
+    spark, ordered, path = df.sparkSession, fresh_dir(df.sparkSession, "categories-sorted"), fresh_dir(df.sparkSession, "categories")
+    values = df.select(F.col(column).alias("category")).filter(F.col("category").isNotNull()).distinct()
+    values = values.repartitionByRange("category").sortWithinPartitions("category")
+    values.withColumn("at", F.monotonically_increasing_id()).write.parquet(ordered)
+    stored = spark.read.parquet(ordered).withColumn("part", F.shiftright("at", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
+    parts = stored.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    parts = parts.select("part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    numbered = stored.join(parts, "part").select("category", (F.col("at") - F.col("first") + F.col("earlier")).alias("index"))
+    numbered.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def sparse_one_hot(df: DataFrame, column: str, categories: DataFrame, output: str) -> DataFrame:
+    """``df`` with ``output``, a sparse 0/1 vector ``(size, indices, values)`` by the category's number.
+
+    Rows meet the category table in a join, so neither the number of categories nor a category that fills a third of the rows
+    matters; the planner sends a small table to all tasks. A null or unknown category has no entry.
+    """
+    size = categories.count()
+    known = categories.select(F.col("category").alias("_category"), F.col("index").alias("_index"))
+    joined = df.join(known, F.col(column) == F.col("_category"), "left")
+    found = F.col("_index").isNotNull()
+    vector = F.struct(
+        F.lit(size).cast("bigint").alias("size"),
+        F.when(found, F.array("_index")).otherwise(F.array().cast("array<bigint>")).alias("indices"),
+        F.when(found, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"),
+    )
+    return joined.withColumn(output, vector).drop("_category", "_index")
+
+
+def decode_one_hot(df: DataFrame, vector: str, categories: DataFrame, output: str) -> DataFrame:
+    """``df`` with the category of the first entry of a vector as ``output``; null for a vector without entries."""
+    known = categories.select(F.col("category").alias(output), F.col("index").alias("_index"))
+    place = F.get(F.col(f"{vector}.indices"), 0)
+    return df.withColumn("_place", place).join(known, F.col("_place") == F.col("_index"), "left").drop("_place", "_index")

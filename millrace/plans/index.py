@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.changes import snapshot_changes
+from millrace.operators.changes import snapshot_changes, store_snapshot, stored_snapshot_changes
 from millrace.sources.tables import fixture
 from millrace.streaming.index_sync import compact_index, current_index, publish_changes, run_index_sync, sync_index
 from millrace.workspace import fresh_dir
@@ -24,6 +24,18 @@ def snapshot_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_changes(before, after, "o_orderkey")
 
 
+def stored_snapshot_change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes between stored snapshots: a few orders cost more or are gone, so only the buckets of their keys are read."""
+    columns = ["o_orderkey", "o_custkey", "o_totalprice"]
+    orders = fixture(spark, sf_dir, "orders").select(*columns)
+    touched = F.col("o_orderkey") % 1000 == 1
+    raised = orders.withColumn("o_totalprice", F.when(touched, F.col("o_totalprice") + 100).otherwise(F.col("o_totalprice")))
+    before, after = fresh_dir(spark, "snapshot-before"), fresh_dir(spark, "snapshot-after")
+    store_snapshot(orders, before, "o_orderkey", buckets=32)
+    store_snapshot(raised.filter(F.col("o_orderkey") % 1000 != 3), after, "o_orderkey", buckets=32)
+    return stored_snapshot_changes(spark, before, after, "o_orderkey")
+
+
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """English documents get a longer text, Spanish ones are new, German ones are gone."""
     documents = fixture(spark, sf_dir, "documents").select(
@@ -73,6 +85,7 @@ def index_sync_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "snapshot_change_rows": snapshot_change_rows,
+    "stored_snapshot_change_rows": stored_snapshot_change_rows,
     "index_sync_upsert": index_sync_upsert,
     "index_sync_stream": index_sync_stream,
 }
@@ -88,6 +101,11 @@ _INDEX = """
 """
 
 ORACLES = {
+    "stored_snapshot_change_rows": """
+        SELECT 'delete' AS change_type, o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 1000 = 3
+        UNION ALL SELECT 'update_preimage', o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 1000 = 1
+        UNION ALL SELECT 'update_postimage', o_orderkey, o_custkey, o_totalprice + 100 FROM orders WHERE o_orderkey % 1000 = 1
+    """,
     "snapshot_change_rows": """
         WITH o AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders),
         b AS (SELECT *, CAST(NULL AS VARCHAR) AS rush FROM o WHERE o_orderpriority <> '5-LOW'),

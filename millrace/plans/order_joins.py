@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +18,11 @@ from millrace.operators.joins import (
     semi_join_pruned,
 )
 from millrace.operators.statistics import analyze_table
-from millrace.operators.tables import files_for, replace_catalog_table, replace_table
+from millrace.operators.tables import files_for, replace_catalog_table, replace_table, write_with_bloom_filters
 from millrace.plans.common import built_once, stored_path
 from millrace.session import session_with
 from millrace.sources.tables import fixture
+from millrace.workspace import fresh_dir
 
 # How often the tables are replicated and how far apart the copies' keys are.
 COPIES = 10
@@ -162,11 +166,22 @@ def join_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_output_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result stored as a table, made twice: the second time it replaces what is there."""
-    name = "point_join_result"
-    for _ in range(2):
-        replace_catalog_table(spark.sql(_point_join_text(spark, sf_dir)), name)
-    return spark.table(name)
+    """The result stored as a table in place of other rows: first all line items of large orders are there, under more columns."""
+    name, path = f"point_join_result_{uuid.uuid4().hex[:12]}", fresh_dir(spark, "join-result")
+    earlier = stored_lineitem(spark, sf_dir).filter("l_quantity > 45").withColumn("note", F.lit("earlier"))
+    replace_catalog_table(earlier, name, path)
+    replaced = spark.table(name).agg(F.count(F.lit(1)).alias("rows_before"))
+    before = replaced.first()["rows_before"]
+    replace_catalog_table(spark.sql(_point_join_text(spark, sf_dir)), name, path)
+    spark.catalog.refreshTable(name)
+    return spark.table(name).withColumn("rows_before", F.lit(before).cast("bigint"))
+
+
+def bloom_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A point lookup by part, by which the line items are not laid out: row groups without the part are skipped by their filters."""
+    lines = fixture(spark, sf_dir, "lineitem").repartition(16, F.xxhash64("l_orderkey", "l_linenumber"))
+    stored = write_with_bloom_filters(lines, fresh_dir(spark, "bloom"), {"l_partkey": 50_000})
+    return stored.filter(F.col("l_partkey") == 7).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 
 def _analyzed(spark: SparkSession, sf_dir: str, label: str, name: str, table: DataFrame, columns: list[str]) -> str:
@@ -186,7 +201,7 @@ def join_with_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     session = session_with(spark, {"spark.sql.cbo.enabled": "true"})
     lines, orders = stored_lineitem(spark, sf_dir), stored_orders(spark, sf_dir)
     # a name per folder: the statistics belong to its files
-    suffix = "".join(c if c.isalnum() else "_" for c in sf_dir.rstrip("/").split("/")[-1])
+    suffix = hashlib.md5(sf_dir.rstrip("/").encode(), usedforsecurity=False).hexdigest()[:12]
     line_table = _analyzed(spark, sf_dir, "lineitem-orig", f"lines_analyzed_{suffix}", lines, [KEY])
     order_table = _analyzed(spark, sf_dir, "orders-orig", f"orders_analyzed_{suffix}", orders, [KEY, "filter_pre"])
     return join_left_columns(session.table(line_table), _point(session.table(order_table)), KEY)
@@ -273,6 +288,7 @@ QUERIES = {
     "join_planned_at_runtime": join_planned_at_runtime,
     "join_sql_text": join_sql_text,
     "join_output_table": join_output_table,
+    "bloom_lookup": bloom_lookup,
     "join_with_statistics": join_with_statistics,
     "semi_join_in": semi_join_in,
     "semi_join_key_pushdown": semi_join_key_pushdown,
@@ -330,7 +346,10 @@ ORACLES = {
     """,
     "join_planned_at_runtime": _POINT_JOIN,
     "join_sql_text": _POINT_JOIN,
-    "join_output_table": _POINT_JOIN,
+    "bloom_lookup": "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem WHERE l_partkey = 7",
+    "join_output_table": f"""
+        SELECT *, (SELECT CAST({COPIES} * count(*) AS BIGINT) FROM lineitem WHERE l_quantity > 45) AS rows_before FROM ({_POINT_JOIN})
+    """,
     "join_with_statistics": _POINT_JOIN,
     "semi_join_in": f"""{_TABLES}
         SELECT * FROM lineitem_orig

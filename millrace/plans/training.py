@@ -6,10 +6,21 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.features import OneHot, Standardiser, read_split, split_side, store_split
+from millrace.operators.features import (
+    OneHot,
+    Standardiser,
+    category_table,
+    decode_one_hot,
+    read_split,
+    sparse_one_hot,
+    split_side,
+    store_split,
+)
 from millrace.operators.forest import fit_forest, holdout_score, score_rows, score_struct
+from millrace.operators.python_model import model_function, python_forest, store_model
 from millrace.plans.common import built_once
 from millrace.sources.tables import fixture
+from millrace.workspace import fresh_dir
 
 FEATURES = ["f1", "f2", "f3", "f4"]
 TARGET = "l_returnflag"
@@ -63,6 +74,31 @@ def one_hot_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def one_hot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part as a sparse vector with an entry per part number, and back."""
+    rows = feature_rows(spark, sf_dir).select(*KEYS)
+    parts = category_table(rows, "l_partkey")
+    decoded = decode_one_hot(sparse_one_hot(rows, "l_partkey", parts, "encoded"), "encoded", parts, "decoded")
+    return decoded.select(
+        *KEYS,
+        F.col("encoded.size").alias("size"),
+        F.col("encoded.indices")[0].alias("entry"),
+        F.col("encoded.values")[0].alias("value"),
+        "decoded",
+    )
+
+
+def forest_in_python(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored forest as a model object of plain Python over a struct column; its probabilities are those of the other path."""
+    model, test = _model_and_test_rows(spark, sf_dir)
+    path = f"{fresh_dir(spark, 'python-model')}/model"
+    store_model(spark, python_forest(spark, model, fresh_dir(spark, "forest")), path)
+    packed = score_rows(model, test).withColumn("features", F.struct(*FEATURES))
+    scored = packed.withColumn("python", model_function(spark, path)(F.col("features")))
+    near = F.forall(F.zip_with("python", "prediction", lambda a, b: F.abs(a - b) < 1e-5), lambda x: x)
+    return scored.select(*KEYS, F.size("python").alias("classes"), near.alias("same"))
+
+
 def feature_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = feature_rows(spark, sf_dir).withColumn("features", F.struct(*FEATURES))
     return packed.select(*KEYS, *(F.col(f"features.{c}").alias(c) for c in FEATURES))
@@ -115,6 +151,8 @@ QUERIES = {
     "split_rows": split_rows,
     "standardised_features": standardised_features,
     "one_hot_target": one_hot_target,
+    "one_hot_sparse": one_hot_sparse,
+    "forest_in_python": forest_in_python,
     "feature_struct": feature_struct,
     "forest_predictions": forest_predictions,
     "forest_consistency": forest_consistency,
@@ -141,6 +179,12 @@ ORACLES = {
                CAST(l_returnflag = 'R' AS DOUBLE) AS "is_R", l_returnflag AS decoded
         FROM lineitem
     """,
+    "one_hot_sparse": f"""
+        WITH parts AS (SELECT l_partkey, row_number() OVER (ORDER BY l_partkey) - 1 AS entry FROM (SELECT DISTINCT l_partkey FROM lineitem))
+        SELECT {_KEYS}, (SELECT count(*) FROM parts) AS size, entry, CAST(1 AS DOUBLE) AS value, l_partkey AS decoded
+        FROM lineitem JOIN parts USING (l_partkey)
+    """,
+    "forest_in_python": f"SELECT {_KEYS}, CAST(3 AS INT) AS classes, true AS same FROM lineitem WHERE {_BUCKET} >= 75",
     "forest_predictions": f"""
         SELECT {_KEYS}, {_CLASS} AS kind,
                CASE WHEN abs(l_quantity - 34) >= 6 AND abs(l_discount - 0.05) >= 0.02 THEN {_CLASS} END AS predicted

@@ -6,7 +6,14 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators.changes import changed_keys, snapshot_changes
+from millrace.operators.changes import (
+    changed_keys,
+    differing_buckets,
+    snapshot_changes,
+    store_snapshot,
+    stored_snapshot,
+    stored_snapshot_changes,
+)
 from millrace.streaming.index_sync import (
     compact_index,
     content_digest,
@@ -146,3 +153,28 @@ def test_a_document_with_very_many_versions(spark):
     assert current.count() == 2_001
     assert current.filter("document_id = 'hot'").first().commit_version == 2_997
     assert "WindowGroupLimit" in physical_plan(current)
+
+
+def test_stored_snapshots_give_the_same_changes_and_read_differing_buckets_only(spark, tmp_path):
+    before = spark.range(2000).selectExpr("id AS k", "CASE WHEN id % 3 > 0 THEN id * 2 END AS v", "cast(id AS string) AS t")
+    after = before.filter("k != 11").selectExpr("k", "CASE WHEN k = 7 THEN NULL ELSE v END AS v", "t").union(
+        spark.createDataFrame([(5000, 1, None)], "k bigint, v bigint, t string")
+    )
+    paths = [str(tmp_path / name) for name in ("before", "after")]
+    store_snapshot(before, paths[0], "k", buckets=64)
+    store_snapshot(after.repartition(3), paths[1], "k", buckets=64)
+    changes = stored_snapshot_changes(spark, *paths, "k")
+    assert rows(changes) == rows(snapshot_changes(before, after, "k")) and changes.count() == 4
+    differing = differing_buckets(spark, *paths)
+    assert 1 <= len(differing) <= 3
+    assert "PartitionFilters: [bucket" in physical_plan(changes)
+    assert differing_buckets(spark, paths[0], paths[0]) == []
+    assert stored_snapshot(spark, paths[0], differing).count() < 200 and stored_snapshot(spark, paths[0]).count() == 2000
+
+
+def test_a_moved_null_changes_the_digest(spark, tmp_path):
+    schema = "k int, a string, b string"
+    for name, row in (("x", (1, None, "v")), ("y", (1, "v", None)), ("z", (1, "v", "v"))):
+        store_snapshot(spark.createDataFrame([row], schema), str(tmp_path / name), "k", buckets=4)
+    for one, other in (("x", "y"), ("x", "z"), ("y", "z")):
+        assert len(differing_buckets(spark, str(tmp_path / one), str(tmp_path / other))) == 1

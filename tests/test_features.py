@@ -6,8 +6,17 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.features import OneHot, Standardiser, split_by_key, store_split
+from millrace.operators.features import (
+    OneHot,
+    Standardiser,
+    category_table,
+    decode_one_hot,
+    sparse_one_hot,
+    split_by_key,
+    store_split,
+)
 from millrace.operators.forest import fit_forest, holdout_score, score_rows, score_struct
+from millrace.operators.python_model import model_function, python_forest, store_model
 from tests.conftest import physical_plan, rows
 
 
@@ -72,3 +81,36 @@ def test_forest_learns_scores_and_decodes(spark, tmp_path):
     assert from_struct.columns == ["c", "features", "predicted", "prediction", "prediction_converted"]
     assert rows(from_struct.select("features.f1", "predicted")) == rows(score_rows(model, frame).select("f1", "predicted"))
     assert holdout_score(score_rows(model, frame), "label").first().score > 0.95
+
+
+def test_sparse_one_hot_takes_any_number_of_categories(spark):
+    frame = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 1000 != 1, F.concat(F.lit("c"), "id")).alias("t"))
+    known = category_table(frame, "t")
+    expected = sorted({r.t for r in frame.collect()} - {None})
+    assert [(r.category, r["index"]) for r in known.orderBy("index").collect()] == [(c, i) for i, c in enumerate(expected)]
+    encoded = decode_one_hot(sparse_one_hot(frame, "t", known, "v"), "v", known, "back")
+    for r in encoded.filter("id < 2000").collect():
+        assert r.back == r.t and r.v.size == len(expected)
+        assert (r.v.indices, r.v["values"]) == (([expected.index(r.t)], [1.0]) if r.t else ([], []))
+    unseen = sparse_one_hot(spark.createDataFrame([("z",), (None,)], "t string"), "t", known, "v")
+    assert [r.v.indices for r in unseen.collect()] == [[], []]
+
+
+def test_any_python_model_scores_a_struct(spark, tmp_path):
+    class Shares:
+        def predict_proba(self, rows):
+            return rows / rows.sum(axis=1, keepdims=True)
+
+    store_model(spark, Shares(), str(tmp_path / "model"))
+    score = model_function(spark, str(tmp_path / "model"))
+    frame = spark.range(1, 9).select("id", F.struct(F.col("id").alias("a"), (F.col("id") * 3).cast("double").alias("b")).alias("f"))
+    assert [r.p for r in frame.select(score(F.col("f")).alias("p")).collect()] == [[0.25, 0.75]] * 8
+
+
+def test_a_forest_outside_spark_gives_the_same_probabilities(spark, tmp_path):
+    frame = spark.range(500).select((F.col("id") % 7 * F.rand(1)).alias("f1"), F.rand(2).alias("f2"), F.when(F.col("id") % 7 > 3, "x").otherwise("y").alias("label"))
+    model = fit_forest(frame, ["f1", "f2"], "label", trees=4)
+    forest = python_forest(spark, model, str(tmp_path / "forest"))
+    found = score_rows(model, frame).collect()
+    wanted = forest.predict_proba(np.array([[r.f1, r.f2] for r in found]))
+    assert np.allclose([r.prediction for r in found], wanted, atol=1e-6)

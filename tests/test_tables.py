@@ -24,6 +24,7 @@ from millrace.operators.tables import (
     replace_catalog_table,
     replace_table,
     set_parameter,
+    write_with_bloom_filters,
 )
 from millrace.sources.kafka import decode_json_records, kafka_options
 from millrace.sources.tables import catalog_table, number_range, rows_in_memory, use_catalog
@@ -208,3 +209,20 @@ def test_statistics_of_appended_batches_equal_a_full_pass(spark, tmp_path):
         assert abs(own["distinct_values"] - exact["distinct_values"]) <= 0.04 * exact["distinct_values"]
     low, middle, high = merged["n"]["quantiles"]
     assert low == -5 and high == 2999 and abs(middle - 1500) < 60 and merged["t"]["quantiles"] is None
+
+
+def test_bloom_filters_skip_row_groups_of_a_column_without_layout(spark, tmp_path):
+    frame = spark.range(200_000).selectExpr("id", "concat('key', pmod(xxhash64(id), 1000000)) AS k").repartition(8)
+    wanted = frame.filter("id = 777").first()["k"]
+
+    def read_rows(table):
+        found = table.filter(F.col("k") == wanted)
+        assert 777 in {r.id for r in found.collect()}
+        plan = found._jdf.queryExecution().executedPlan()
+        leaf = plan.collectLeaves().head()
+        found._jdf.queryExecution().executedPlan().executeCollect()
+        return leaf.metrics().apply("numOutputRows").value()
+
+    plain = frame.write.parquet(str(tmp_path / "plain"))
+    assert plain is None and read_rows(spark.read.parquet(str(tmp_path / "plain"))) == 200_000
+    assert read_rows(write_with_bloom_filters(frame, str(tmp_path / "bloom"), {"k": 50_000})) < 60_000
