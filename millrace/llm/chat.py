@@ -133,20 +133,41 @@ def read_learned(formatted: Column, mask: Column) -> Column:
 
 
 def log_of(conversations: DataFrame) -> DataFrame:
-    """An event log that says the same as finished rows ``(conv_id, turn, role, text)``: a start and one delta per row.
+    """An event log that ends in finished rows ``(conv_id, turn, role, text)``, as a service would have written it.
 
-    Rows are numbered by turn, then role and text, so rows with equal or null turns stay apart.
+    Every message starts and arrives in three deltas. Of every third one a draft comes first, which an edit replaces by the
+    first part; before every fourth one it and the message after it were said otherwise, and were regenerated. Rows are
+    numbered by turn, then role and text, so rows with equal or null turns stay apart.
     """
     by_turn = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     numbered = conversations.select(
         "conv_id", F.row_number().over(by_turn).cast("bigint").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text")
     )
-    events = F.array(
-        F.struct((2 * F.col("turn")).alias("seq"), F.lit("start").alias("kind"), "role", F.lit(None).cast("string").alias("text")),
-        F.struct((2 * F.col("turn") + 1).alias("seq"), F.lit("delta").alias("kind"), F.lit(None).cast("string").alias("role"), "text"),
+    turn, text = F.col("turn"), F.col("text")
+    third = F.floor(F.char_length(text) / 3).cast("int")
+    parts = [F.substring(text, F.lit(1), third), F.substring(text, third + 1, third), F.substring(text, 2 * third + 1, F.char_length(text))]
+
+    def event(kind: str, at: Column = turn, role: Column | None = None, said: Column | None = None) -> Column:
+        nothing = F.lit(None).cast("string")
+        return F.struct(
+            F.lit(kind).alias("kind"), at.alias("turn"), (nothing if role is None else role).alias("role"),
+            (nothing if said is None else said).alias("text"),
+        )
+
+    other = F.lit("said otherwise at first")
+    undone = [
+        event("start", role=F.lit("user")), event("delta", said=other), event("start", turn + 1, F.lit(LEARNED_ROLE), other),
+        event("regenerate"),
+    ]
+    none = F.array().cast("array<struct<kind:string,turn:bigint,role:string,text:string>>")
+    events = F.concat(
+        F.when(turn % 4 == 2, F.array(*undone)).otherwise(none),
+        F.array(event("start", role=F.col("role"))),
+        F.when(turn % 3 == 0, F.array(event("delta", said=other), event("edit", said=parts[0]))).otherwise(F.array(event("delta", said=parts[0]))),
+        F.array(event("delta", said=parts[1]), event("delta", said=parts[2])),
     )
-    return numbered.select("conv_id", "turn", F.explode(events).alias("e")).select(
-        "conv_id", "e.seq", "e.kind", "turn", "e.role", "e.text"
+    return numbered.select("conv_id", turn.alias("place"), F.posexplode(events).alias("at", "e")).select(
+        "conv_id", (16 * F.col("place") + F.col("at")).alias("seq"), "e.kind", "e.turn", "e.role", "e.text"
     )
 
 

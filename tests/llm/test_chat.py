@@ -65,3 +65,19 @@ def test_odd_rows(spark):
     assert found[1]["n_turns"] == 4 and found[1]["loss_chars"] == 200_000
     assert found[1]["turns_sha256"] == sha("\nno turn\n" + "user\n\n" * 2 + "assistant\n" + "a" * 200_000 + "\n")
     assert found[None]["n_turns"] == 1 and found[None]["loss_chars"] == 0
+
+
+def test_the_log_holds_edits_regenerations_and_deltas_that_fold_to_its_rows(spark):
+    said = [(1, t, ("user", "assistant")[t % 2], f"message {t} \u6f22\U0001f600" * (t % 5)) for t in range(13)] + [(2, None, None, None), (2, None, "user", "")]
+    rows = spark.createDataFrame(said, "conv_id bigint, turn bigint, role string, text string")
+    log = log_of(rows)
+    kinds = {r["kind"]: r["count"] for r in log.groupBy("kind").count().collect()}
+    assert kinds["regenerate"] == 3 + 1 and kinds["edit"] == 4 and kinds["delta"] > 3 * len(said) and kinds["start"] > len(said)
+    found = sorted(((r["conv_id"], r["turn"], r["role"], r["text"]) for r in messages(log.repartition(5)).collect()), key=repr)
+    order = sorted(said, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2] is not None))
+    place: dict = {}
+    wanted = []
+    for conv, _, role, text in order:
+        place[conv] = place.get(conv, 0) + 1
+        wanted.append((conv, place[conv], role, text or ""))
+    assert found == sorted(wanted, key=repr)
