@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators.changes import snapshot_changes, store_snapshot, stored_snapshot_changes
 from millrace.sources.tables import fixture
 from millrace.streaming.index_sync import compact_index, current_index, publish_changes, run_index_sync, sync_index
+from millrace.streaming.keyed_sync import compact_keyed_index, keyed_index, run_keyed_sync
 from millrace.workspace import fresh_dir
 
 
@@ -83,11 +84,26 @@ def index_sync_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _index_rows(compact_index(spark, log, fresh_dir(spark, "index-compacted")))
 
 
+def index_sync_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State per document: a version that is published again after the log was compacted past it is seen by the compacted read."""
+    feed, log, checkpoint, base = (fresh_dir(spark, label) for label in ("feed", "keyed-log", "keyed-checkpoint", "keyed-base"))
+    first, second = _snapshots(spark, sf_dir)
+    wrong = second.withColumn("content", F.when(F.col("content").endswith("Revised."), F.lit("wrong")).otherwise(F.col("content")))
+    publish_changes(None, first, feed, 0)
+    publish_changes(first, wrong, feed, 1)
+    run_keyed_sync(spark, feed, log, checkpoint)
+    compact_keyed_index(spark, log, base)
+    publish_changes(first, second, feed, 1)
+    run_keyed_sync(spark, feed, log, checkpoint)
+    return _index_rows(keyed_index(spark, log, base))
+
+
 QUERIES = {
     "snapshot_change_rows": snapshot_change_rows,
     "stored_snapshot_change_rows": stored_snapshot_change_rows,
     "index_sync_upsert": index_sync_upsert,
     "index_sync_stream": index_sync_stream,
+    "index_sync_keyed": index_sync_keyed,
 }
 
 _INDEX = """
@@ -127,4 +143,5 @@ ORACLES = {
     """,
     "index_sync_upsert": _INDEX,
     "index_sync_stream": _INDEX,
+    "index_sync_keyed": _INDEX,
 }

@@ -22,6 +22,7 @@ from millrace.streaming.index_sync import (
     run_index_sync,
     sync_index,
 )
+from millrace.streaming.keyed_sync import compact_keyed_index, keyed_index, run_keyed_sync
 from tests.conftest import physical_plan, rows
 
 SCHEMA = "document_id string, original_url string, content string"
@@ -178,3 +179,27 @@ def test_a_moved_null_changes_the_digest(spark, tmp_path):
         store_snapshot(spark.createDataFrame([row], schema), str(tmp_path / name), "k", buckets=4)
     for one, other in (("x", "y"), ("x", "z"), ("y", "z")):
         assert len(differing_buckets(spark, str(tmp_path / one), str(tmp_path / other))) == 1
+
+
+def test_keyed_sync_sees_late_publications_and_ignores_older_versions(spark, tmp_path):
+    feed, log, checkpoint, base = (str(tmp_path / n) for n in ("feed", "log", "checkpoint", "base"))
+
+    def found(*more):
+        return sorted((r.document_id, r.commit_version, r.content) for r in keyed_index(spark, log, *more).collect())
+
+    one, two = snapshot(spark, ("a", "x"), ("b", "y")), snapshot(spark, ("a", "xx"), ("c", "z"))
+    publish_changes(None, one, feed, 0)
+    run_keyed_sync(spark, feed, log, checkpoint, embed_length)
+    publish_changes(one, two, feed, 2)
+    run_keyed_sync(spark, feed, log, checkpoint, embed_length)
+    run_keyed_sync(spark, feed, log, checkpoint, embed_length)  # nothing new
+    assert found() == [("a", 2, "xx"), ("c", 2, "z")]
+    compact_keyed_index(spark, log, base)
+    # an older version comes late: what it says of documents with a newer version does not count
+    publish_changes(one, snapshot(spark, ("a", "old"), ("b", "old"), ("d", "w")), feed, 1)
+    run_keyed_sync(spark, feed, log, checkpoint, embed_length)
+    assert found() == found(base) == [("a", 2, "xx"), ("c", 2, "z"), ("d", 1, "w")]
+    # the newest version comes again with other texts, and with a document that is back
+    publish_changes(one, snapshot(spark, ("a", "right"), ("b", "yy")), feed, 2)
+    run_keyed_sync(spark, feed, log, checkpoint, embed_length)
+    assert [r for r in found() if r[0] != "c"] == [("a", 2, "right"), ("b", 2, "yy"), ("d", 1, "w")] and found() == found(base)
