@@ -156,12 +156,18 @@ def benchmark_overlaps(
     all_masks = [*masks, *("1" * n for n in short)]
     planted = items.select(F.xxhash64("item_id", "item").alias("row"), F.explode(runs(seeds(F.col("item"), all_masks))).alias("i"))
     lookup = stage(planted.select("row", "i", F.col("i.h").alias("h")), "seeds-items")
-    if lookup.count() <= BROADCAST_SEEDS:
-        lookup = F.broadcast(lookup)
+    few = lookup.count() <= BROADCAST_SEEDS
+
+    def sent(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if few else table
 
     hashed = docs.select(text_key(F.col("text")).alias("text_key"), word_hashes(F.col("text")).alias("words"))
-    placed = hashed.filter("size(words) > 0").select("text_key", F.explode(runs(seeds(F.col("words"), all_masks))).alias("d"))
-    met = placed.select("text_key", "d", F.col("d.h").alias("h")).join(lookup, "h")
+    placed = hashed.filter("size(words) > 0").select("text_key", F.explode(seeds(F.col("words"), all_masks)).alias("s"))
+    # only seeds that some item has are put together to runs
+    hit = placed.select("text_key", "s.p", "s.h").join(sent(lookup.select("h").distinct()), "h", "left_semi")
+    hit = hit.groupBy("text_key").agg(F.collect_set(F.struct("p", "h")).alias("found"))  # of one text
+    met = hit.select("text_key", F.explode(runs(F.col("found"))).alias("d"))
+    met = met.select("text_key", "d", F.col("d.h").alias("h")).join(sent(lookup), "h")
     parts = ("p", "count", "step")
     apart = _shifts({c: F.col(f"d.{c}") for c in parts}, {c: F.col(f"i.{c}") for c in parts})
     # no more shifts than the text and the item have words
