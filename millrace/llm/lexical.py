@@ -224,11 +224,13 @@ def ranked_documents(docs: DataFrame, items: DataFrame, top: int = TOP, block_te
     spark = docs.sparkSession
     lowered = F.translate(F.coalesce(F.col("text"), F.lit("")), ASCII_UPPER, ASCII_UPPER.lower())
     asked = items.select("item_id", "text").withColumn("words", F.regexp_extract_all(lowered, F.lit(TERM), 0))
-    asked = stage(asked.select("item_id", "words", F.xxhash64("item_id", "text").alias("key")).filter("size(words) > 0"), "search-items")
+    asked = asked.filter("size(words) > 0").groupBy("item_id", "words").agg(F.count("*").cast("int").alias("copies"))
+    # equal items are one, so that blocks, dealt out by hash, hold about as many terms each
+    asked = stage(asked.withColumn("key", F.xxhash64("item_id", "words")), "search-items")
     blocks = -(-(asked.agg(F.sum(F.size("words"))).first()[0] or 0) // block_terms)
     found = []
     for block in range(blocks):
-        own = asked.filter(F.pmod("key", F.lit(blocks)) == block).select("item_id", "words").collect()  # about block_terms words
+        own = asked.filter(F.pmod("key", F.lit(blocks)) == block).collect()  # about block_terms words
         own.sort(key=lambda r: (r["item_id"] is not None, r["item_id"] or 0, r["words"]))
         plan = sharing([r["words"] for r in own])
         counts = stage(term_counts(docs, plan.terms), "search-counts")
@@ -242,8 +244,9 @@ def ranked_documents(docs: DataFrame, items: DataFrame, top: int = TOP, block_te
         best = best_of_tasks(counts, plan, weights, size["docs"], size["total"], top)
         place = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
         best = best.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= top)
-        names = spark.createDataFrame([(i, r["item_id"]) for i, r in enumerate(own)], "item int, item_id bigint")
-        found.append(best.join(names, "item").select("item_id", "rank", "doc_id", "score"))
+        names = spark.createDataFrame([(i, r["item_id"], r["copies"]) for i, r in enumerate(own)], "item int, item_id bigint, copies int")
+        named = best.join(names, "item").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        found.append(named.select("item_id", "rank", "doc_id", "score"))
     if not found:
         return spark.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
     return reduce(DataFrame.unionByName, found)
