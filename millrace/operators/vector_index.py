@@ -77,13 +77,16 @@ def build_index(vectors: DataFrame, vector_id: str, vector: str = "embedding", c
     chosen = rows.select(array_to_vector(unit(F.col("vector"))).alias("features"), F.pmod(F.xxhash64("id"), F.lit(1 << 20)).alias("at"))
     chosen = chosen.filter(F.col("at") < F.lit(min(1 << 20, (1 << 20) * FITTED_PER_CELL * cells // max(1, count))))
     fitted = np.zeros((0, 0))
-    if count:
+    if count and cells == 1:  # any direction does for a single cell
+        fitted = np.ones((1, rows.select(F.size("vector")).first()[0]))
+    elif count:
         model = KMeans(k=cells, seed=seed, distanceMeasure="cosine", initMode="random", maxIter=10).fit(chosen.select("features"))
         fitted = np.array(model.clusterCenters())
+    if count:
         fitted /= np.maximum(np.linalg.norm(fitted, axis=1, keepdims=True), 1e-300)
     path = fresh_dir(spark, "vector-index")
     placed = nearest_cells(rows, fitted, 1) if count else rows.withColumn("cells", F.array().cast("array<int>"))
-    stored = placed.select(F.col("cells")[0].alias("cell"), "id", "vector", F.xxhash64("id").alias("salt"))
+    stored = placed.select(F.get("cells", 0).alias("cell"), "id", "vector", F.xxhash64("id").alias("salt"))
     stored.repartitionByRange("cell", "salt").sortWithinPartitions("cell", "salt").drop("salt").write.parquet(path)
     return VectorIndex(fitted, path)
 
@@ -105,7 +108,7 @@ def index_top_k(
     tell. Fewer than ``k`` rows come back where the probed cells hold fewer.
     """
     spark = queries.sparkSession
-    asked = numbered_queries(queries, query_id, vector)
+    asked = numbered_queries(queries, query_id, vector).drop("cell")
     if not len(index.centroids):
         asked = asked.withColumn("cells", F.array().cast("array<int>"))
     else:

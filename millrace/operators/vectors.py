@@ -160,10 +160,10 @@ def with_direction(df: DataFrame, id: str, vector: str, name: str) -> DataFrame:
 
 
 def numbered_queries(queries: DataFrame, query_id: str, vector: str) -> DataFrame:
-    """``(number, query_id, vector)``: queries with a direction, each row with a number of its own; written and read back."""
+    """``(cell, number, query_id, vector)``: queries with a direction, each row with a number of its own and in cell 0; written and read back."""
     path = fresh_dir(queries.sparkSession, "queries")
     asked = with_direction(queries, query_id, vector, "query_id")
-    asked.select(F.monotonically_increasing_id().alias("number"), "query_id", "vector").write.parquet(path)
+    asked.select(F.lit(0).alias("cell"), F.monotonically_increasing_id().alias("number"), "query_id", "vector").write.parquet(path)
     return queries.sparkSession.read.parquet(path)
 
 
@@ -184,11 +184,11 @@ def cosine_top_k(
     several times is answered as often. Queries and vectors of length 0, or null, have no direction: they get
     no neighbours and are nobody's.
     """
-    cell = F.lit(0).alias("cell")
     path = fresh_dir(spark, "vectors")
-    with_direction(vectors, vector_id, vector, "id").write.parquet(path)
+    # the cell is written, not a literal, so that the planner sees joins by it
+    with_direction(vectors, vector_id, vector, "id").withColumn("cell", F.lit(0)).write.parquet(path)
     asked = numbered_queries(queries, query_id, vector)
-    found = block_product(spark.read.parquet(path).select(cell, "*"), asked.select(cell, "*"), k, max_vectors, max_queries)
+    found = block_product(spark.read.parquet(path), asked, k, max_vectors, max_queries)
     return found.select("query_id", "neighbour_id", "score", "rank")
 
 
