@@ -12,9 +12,10 @@ from millrace.operators.vectors import centroids, cosine_top_k, embed_text, term
 from millrace.sources.tables import fixture
 
 NEIGHBOURS = 5
-# The share of the exact neighbours that the index has to find, and the share it is tuned for on other queries.
+# The share of the exact neighbours that the index has to find, and the share it is tuned for on so many other queries.
 RECALL = 0.9
-TUNED = 0.95
+TUNED = 0.98
+TUNING_QUERIES = 500
 DECIMALS = 6
 
 
@@ -58,8 +59,8 @@ def text_search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _every_fiftieth(vectors: DataFrame, first: int = 0) -> DataFrame:
-    return vectors.filter(f"vec_id % 50 = {first}")
+def _every_fiftieth(vectors: DataFrame) -> DataFrame:
+    return vectors.filter("vec_id % 50 = 0")
 
 
 def vector_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +80,8 @@ def vector_index_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     vectors = fixture(spark, sf_dir, "embeddings")
     index = build_index(vectors, "vec_id")
-    others, asked = _every_fiftieth(vectors, 25), _every_fiftieth(vectors)
+    asked = _every_fiftieth(vectors)
+    others = vectors.filter("vec_id % 50 != 0").orderBy(F.xxhash64("vec_id")).limit(TUNING_QUERIES)
     known = cosine_top_k(spark, vectors, others, NEIGHBOURS, "vec_id", "vec_id")
     probes = probes_for(index, others, known, TUNED, "vec_id")
     found = index_top_k(index, asked, NEIGHBOURS, "vec_id", probes=probes)
