@@ -38,15 +38,19 @@ def clustered(df: DataFrame, *keys: str | Column, files: int | None = None) -> D
 
 
 def replace_table(
-    df: DataFrame, path: str, cluster_by: tuple[str | Column, ...] = (), files: int | None = None
+    df: DataFrame,
+    path: str,
+    cluster_by: tuple[str | Column, ...] = (),
+    files: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Write ``df`` to ``path`` in place of what is there and return the table read back.
 
-    ``df`` must not read from ``path``; to rewrite a table from itself write to a new path.
+    ``options`` are those of the Parquet writer. ``df`` must not read from ``path``; to rewrite a table from itself write to a new path.
     """
     if cluster_by:
         df = clustered(df, *cluster_by, files=files)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**(options or {})).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

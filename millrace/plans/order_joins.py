@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,23 +31,37 @@ COPIES = 10
 STRIDE = 100_000_000
 
 KEY = "orderkey_pre"
+# The stored copies are ten times their source. Keys in order are stored as differences, which takes version 2 and no dictionary.
+_ORDERED = (KEY, "filter_pre", "orderkey_clc", "filter_clc", "l_orderkey", "o_orderkey")
+STORED_AS = {
+    "compression": "zstd",
+    "parquet.writer.version": "PARQUET_2_0",
+    **{f"parquet.enable.dictionary#{column}": "false" for column in _ORDERED},
+}
 POINT = "filter_0000000012"
 
 
-def lineitem_orig(spark: SparkSession, sf_dir: str) -> DataFrame:
-    copies = replicate(fixture(spark, sf_dir, "lineitem"), COPIES, STRIDE)
+def _keyed_lines(copies: DataFrame) -> DataFrame:
     return copies.select(derived_key(ORDER_KEY_PREFIX, F.col("l_orderkey") + F.col("id")).alias(KEY), "*")
 
 
-def orders_orig(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _keyed_orders(copies: DataFrame) -> DataFrame:
     number = F.col("o_orderkey") + F.col("id")
-    return replicate(fixture(spark, sf_dir, "orders"), COPIES, STRIDE).select(
+    return copies.select(
         derived_key(ORDER_KEY_PREFIX, number).alias(KEY),
         derived_key(FILTER_KEY_PREFIX, number).alias("filter_pre"),
         "*",
     )
 
 
+def lineitem_orig(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keyed_lines(replicate(fixture(spark, sf_dir, "lineitem"), COPIES, STRIDE))
+
+
+def orders_orig(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keyed_orders(replicate(fixture(spark, sf_dir, "orders"), COPIES, STRIDE))
+
+
 def orders_with_computed_keys(orders: DataFrame) -> DataFrame:
     return orders.select(
         derived_key(ORDER_KEY_PREFIX, F.col("o_orderkey")).alias("orderkey_clc"),
@@ -54,15 +70,28 @@ def orders_with_computed_keys(orders: DataFrame) -> DataFrame:
     )
 
 
+def _stored_copies(spark: SparkSession, source: DataFrame, key: str, path: str, with_keys: Callable[[DataFrame], DataFrame]) -> None:
+    """Store all copies of ``source`` with ``with_keys`` applied, laid out by key.
+
+    A copy's keys all lie above those of the copy before. So only the source is shuffled and sorted, and stored; each copy
+    is then read from it file by file, in order, and neither shuffled nor sorted again.
+    """
+    check_key_space(source, key, COPIES, STRIDE, KEY_WIDTH)
+    files = -(-files_for(spark, source.count() * COPIES) // COPIES)
+    base = fresh_dir(spark, "laid-out")
+    replace_table(source, base, cluster_by=(key,), files=files, options=STORED_AS)
+    # a file of its own for every file that is read: files read together need not lie next to each other
+    apart = session_with(spark, {"spark.sql.files.openCostInBytes": "1GB", "spark.sql.files.maxPartitionBytes": "1GB"})
+    rows = apart.read.parquet(base)
+    copies = (rows.withColumn("id", F.lit(i * STRIDE).cast("bigint")) for i in range(COPIES))
+    replace_table(with_keys(reduce(DataFrame.union, copies)), path, options=STORED_AS)
+
+
 def stored_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with stored keys, laid out by key."""
 
     def build(path: str) -> None:
-        source = fixture(spark, sf_dir, "lineitem")
-        check_key_space(source, "l_orderkey", COPIES, STRIDE, KEY_WIDTH)
-        number = F.col("l_orderkey") + F.col("id")
-        files = files_for(spark, source.count() * COPIES)
-        replace_table(lineitem_orig(spark, sf_dir), path, cluster_by=(number,), files=files)
+        _stored_copies(spark, fixture(spark, sf_dir, "lineitem"), "l_orderkey", path, _keyed_lines)
 
     return spark.read.parquet(built_once(spark, sf_dir, "lineitem-orig", build))
 
@@ -71,11 +100,7 @@ def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with stored keys, laid out by key."""
 
     def build(path: str) -> None:
-        source = fixture(spark, sf_dir, "orders")
-        check_key_space(source, "o_orderkey", COPIES, STRIDE, KEY_WIDTH)
-        number = F.col("o_orderkey") + F.col("id")
-        files = files_for(spark, source.count() * COPIES)
-        replace_table(orders_orig(spark, sf_dir), path, cluster_by=(number,), files=files)
+        _stored_copies(spark, fixture(spark, sf_dir, "orders"), "o_orderkey", path, _keyed_orders)
 
     return spark.read.parquet(built_once(spark, sf_dir, "orders-orig", build))
 
@@ -84,7 +109,7 @@ def stored_orders_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A plain copy of the orders with keys computed without the copy's offset: a table, not a view."""
 
     def build(path: str) -> None:
-        replace_table(orders_with_computed_keys(stored_orders(spark, sf_dir)), path)
+        replace_table(orders_with_computed_keys(stored_orders(spark, sf_dir)), path, options=STORED_AS)
 
     return spark.read.parquet(built_once(spark, sf_dir, "orders-copy", build))
 
@@ -96,6 +121,30 @@ def lineitem_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table("keyed_lines")
 
 
+# The largest Bloom filter, in bits. Every task of the matching orders' scan makes one of that size.
+FILTER_BITS = 1 << 28
+
+
+def _thinning(spark: SparkSession, settings: dict[str, str] | None = None, keys: int = 0) -> SparkSession:
+    """A session whose planner thins the scan of a shuffled join's left side by a Bloom filter of the right side's keys.
+
+    Without statistics the planner takes filtered orders to be as large as all, and shuffles both sides before it
+    learns how few match; with the filter only the lines of matching orders are shuffled, and a few that it lets through.
+    ``keys``, when known, sets the filter's size, 8 bits a key; the default size is good for a million keys.
+    """
+    sized = {"expectedNumItems": keys, "maxNumItems": keys, "numBits": min(8 * keys, FILTER_BITS), "maxNumBits": FILTER_BITS}
+    return session_with(
+        spark,
+        {
+            "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+            "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1TB",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+            **({f"spark.sql.optimizer.runtime.bloomFilter.{name}": str(value) for name, value in sized.items()} if keys else {}),
+            **(settings or {}),
+        },
+    )
+
+
 def _point(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("filter_pre") == POINT)
 
@@ -123,34 +172,41 @@ def replicate_scaleout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_table_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_left_columns(stored_lineitem(spark, sf_dir), _point(stored_orders(spark, sf_dir)), KEY)
+    session = _thinning(spark)
+    return join_left_columns(stored_lineitem(session, sf_dir), _point(stored_orders(session, sf_dir)), KEY)
 
 
 def join_table_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_left_columns(stored_lineitem(spark, sf_dir), _point(stored_orders_copy(spark, sf_dir)), KEY)
+    session = _thinning(spark)
+    return join_left_columns(stored_lineitem(session, sf_dir), _point(stored_orders_copy(session, sf_dir)), KEY)
 
 
 def join_view_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_left_columns(lineitem_view(spark, sf_dir), _point(stored_orders_copy(spark, sf_dir)), KEY)
+    session = _thinning(spark)
+    return join_left_columns(lineitem_view(session, sf_dir), _point(stored_orders_copy(session, sf_dir)), KEY)
 
 
 def join_computed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = stored_orders(spark, sf_dir)
+    session = _thinning(spark)
+    orders = stored_orders(session, sf_dir)
     matching = orders.filter(derived_key(FILTER_KEY_PREFIX, F.col("o_orderkey")) == POINT)
-    return join_left_columns(stored_lineitem(spark, sf_dir), matching, KEY)
+    return join_left_columns(stored_lineitem(session, sf_dir), matching, KEY)
 
 
 def join_planned_at_runtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same join left to the planner alone."""
-    return join_left_columns(stored_lineitem(spark, sf_dir), _point(stored_orders(spark, sf_dir)), KEY)
+    session = _thinning(spark)
+    return join_left_columns(stored_lineitem(session, sf_dir), _point(stored_orders(session, sf_dir)), KEY)
 
 
 def semi_join_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return semi_join(stored_lineitem(spark, sf_dir), _point(stored_orders(spark, sf_dir)), KEY)
+    session = _thinning(spark)
+    return semi_join(stored_lineitem(session, sf_dir), _point(stored_orders(session, sf_dir)), KEY)
 
 
 def semi_join_key_pushdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return semi_join_pruned(stored_lineitem(spark, sf_dir), _point(stored_orders(spark, sf_dir)), KEY)
+    session = _thinning(spark)
+    return semi_join_pruned(stored_lineitem(session, sf_dir), _point(stored_orders(session, sf_dir)), KEY)
 
 
 def _point_join_text(spark: SparkSession, sf_dir: str) -> str:
@@ -162,7 +218,8 @@ def _point_join_text(spark: SparkSession, sf_dir: str) -> str:
 
 
 def join_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_point_join_text(spark, sf_dir))
+    session = _thinning(spark)
+    return session.sql(_point_join_text(session, sf_dir))
 
 
 def join_output_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +229,8 @@ def join_output_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     replace_catalog_table(earlier, name, path)
     replaced = spark.table(name).agg(F.count(F.lit(1)).alias("rows_before"))
     before = replaced.first()["rows_before"]
-    replace_catalog_table(spark.sql(_point_join_text(spark, sf_dir)), name, path)
+    session = _thinning(spark)
+    replace_catalog_table(session.sql(_point_join_text(session, sf_dir)), name, path)
     spark.catalog.refreshTable(name)
     return spark.table(name).withColumn("rows_before", F.lit(before).cast("bigint"))
 
@@ -209,7 +267,7 @@ def join_with_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_broadcast_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The planner broadcasts the matching orders when their bytes, measured while running, are below its threshold."""
-    session = session_with(
+    session = _thinning(
         spark, {"spark.sql.autoBroadcastJoinThreshold": "16MB", "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB"}
     )
     return join_left_columns(stored_lineitem(session, sf_dir), _point(stored_orders(session, sf_dir)), KEY)
@@ -232,23 +290,20 @@ def join_shuffle_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _revenue(join_left_columns(lines, orders, KEY, strategy="shuffle_hash"))
 
 
+def _urgent_thinning(spark: SparkSession, sf_dir: str) -> SparkSession:
+    keys = _urgent(stored_orders(spark, sf_dir)).count()
+    return _thinning(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}, keys)
+
+
 def join_sort_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    session = session_with(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    session = _urgent_thinning(spark, sf_dir)
     lines, orders = stored_lineitem(session, sf_dir), _urgent(stored_orders(session, sf_dir))
     return _revenue(join_left_columns(lines, orders, KEY, strategy="merge"))
 
 
 def join_bloom_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shuffled join whose line-item scan is thinned by a Bloom filter of the matching orders' keys."""
-    session = session_with(
-        spark,
-        {
-            "spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-            "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10GB",
-            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
-        },
-    )
+    session = _urgent_thinning(spark, sf_dir)
     lines, orders = stored_lineitem(session, sf_dir), _urgent(stored_orders(session, sf_dir))
     return _revenue(join_left_columns(lines, orders, KEY, strategy="shuffle_hash"))
 

@@ -20,6 +20,7 @@ from millrace.operators.statistics import analyze_table
 from millrace.operators.tables import replace_catalog_table
 from millrace.plans import order_joins
 from millrace.session import session_with
+from millrace.workspace import fresh_dir
 from tests.conftest import physical_plan, printed_plan, rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -122,6 +123,51 @@ def test_bloom_filter_thins_the_probe_side(spark):
     assert "might_contain" in plan and "bloom_filter_agg" in plan and "ShuffledHashJoin" in plan
 
 
+def test_copies_are_stored_without_shuffling_them(spark, monkeypatch):
+    """The source is shuffled once; the copies are read from it file by file, and each stored file holds one copy's narrow range."""
+    written = []
+    replace = order_joins.replace_table
+    monkeypatch.setattr(order_joins, "replace_table", lambda df, *a, **k: written.append((df, k.get("cluster_by"))) or replace(df, *a, **k))
+    path = fresh_dir(spark, "copies")
+    source = spark.createDataFrame([(k % 1000, float(k)) for k in range(4000)] + [(None, 1.0), (None, 1.0)], "l_orderkey bigint, v double")
+    order_joins._stored_copies(spark, source, "l_orderkey", path, order_joins._keyed_lines)
+    (_, by_key), (copies, not_again) = written
+    assert by_key and not not_again
+    assert "Exchange" not in physical_plan(copies) and "Sort" not in physical_plan(copies)
+    stored = spark.read.parquet(path)
+    assert rows(stored) == rows(order_joins._keyed_lines(replicate(source, order_joins.COPIES, order_joins.STRIDE)))
+    files = stored.filter(f"{order_joins.KEY} is not null").groupBy(F.input_file_name()).agg(
+        F.min(order_joins.KEY).alias("low"), F.max(order_joins.KEY).alias("high"), F.count_distinct("id").alias("copies")
+    )
+    ranges = sorted((r.low, r.high, r.copies) for r in files.collect())
+    assert {r[2] for r in ranges} == {1}
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+@pytest.mark.parametrize(
+    "name", ["join_table_table", "join_table_copy", "join_view_copy", "join_computed_filter", "join_planned_at_runtime", "semi_join_in",
+             "semi_join_key_pushdown", "join_sql_text", "join_broadcast_checked"]
+)
+def test_large_sides_are_thinned_before_the_shuffle(spark, monkeypatch, name):
+    """As if both tables were too large to broadcast: what is not asked for is filtered before it is shuffled."""
+    real = order_joins.session_with
+    monkeypatch.setattr(order_joins, "session_with", lambda s, settings: real(s, {**settings, "spark.sql.autoBroadcastJoinThreshold": "1"}))
+    frame = getattr(order_joins, name)(spark, FOLDER)
+    plan = physical_plan(frame)
+    assert "might_contain" in plan and "bloom_filter_agg" in plan
+    assert frame.count() > 0
+
+
+def test_bloom_filter_is_sized_for_its_keys(spark):
+    """A filter of the default size lets everything through when there are millions of keys."""
+    session = order_joins._urgent_thinning(spark, FOLDER)
+    keys = order_joins._urgent(order_joins.stored_orders(spark, FOLDER)).count()
+    assert int(session.conf.get("spark.sql.optimizer.runtime.bloomFilter.numBits")) == 8 * keys
+    assert "might_contain" in physical_plan(order_joins.join_sort_merge(spark, FOLDER))
+    large = order_joins._thinning(spark, keys=10**9)
+    assert int(large.conf.get("spark.sql.optimizer.runtime.bloomFilter.numBits")) == order_joins.FILTER_BITS
+
+
 def test_in_subquery_becomes_a_semi_join(spark):
     left(spark).createOrReplaceTempView("l")
     right(spark).createOrReplaceTempView("r")
