@@ -7,8 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.session import session_with
 from millrace.workspace import fresh_dir
 
+# Bytes of a stored split's files that one task reads.
+TASK_BYTES = 16 << 20
+
 
 def row_bucket(*keys: Column, buckets: int = 100) -> Column:
     """A number below ``buckets`` that depends on the keys only.
@@ -34,16 +38,18 @@ def store_split(df: DataFrame, path: str, *keys: str, train_percent: int = 75) -
     """Write the rows once, a folder per side, and return both sides read back.
 
     Fitting passes over the training rows many times; each pass then reads one narrow folder instead
-    of the wide source with a digest per row.
+    of the wide source with a digest per row. Row groups are small: a task reads whole ones, and fitting a forest holds
+    their rows as objects of many times their size.
     """
     side = split_side(*keys, train_percent=train_percent)
-    df.withColumn("side", side).write.mode("overwrite").partitionBy("side").parquet(path)
+    writer = df.withColumn("side", side).write.mode("overwrite").option("parquet.block.size", TASK_BYTES)
+    writer.partitionBy("side").parquet(path)
     return read_split(df.sparkSession, path)
 
 
 def read_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows of a stored split."""
-    stored = spark.read.parquet(path)
+    """Training and test rows of a stored split, :data:`TASK_BYTES` of files a task."""
+    stored = session_with(spark, {"spark.sql.files.maxPartitionBytes": str(TASK_BYTES)}).read.parquet(path)
     return tuple(stored.filter(F.col("side") == side).drop("side") for side in ("train", "test"))
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import features
 from millrace.operators.features import (
     OneHot,
     Standardiser,
@@ -114,3 +115,13 @@ def test_a_forest_outside_spark_gives_the_same_probabilities(spark, tmp_path):
     found = score_rows(model, frame).collect()
     wanted = forest.predict_proba(np.array([[r.f1, r.f2] for r in found]))
     assert np.allclose([r.prediction for r in found], wanted, atol=1e-6)
+
+
+def test_a_task_reads_a_bounded_part_of_a_stored_split(spark, tmp_path, monkeypatch):
+    """One large file of a side is read by several tasks, each with whole row groups of its own."""
+    monkeypatch.setattr(features, "TASK_BYTES", 256 << 10)
+    frame = spark.range(0, 200_000, 1, 1).select("id", F.rand(1).alias("v"))
+    train, test = store_split(frame, str(tmp_path / "split"), "id")
+    sizes = [r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 3 and max(sizes) < 60_000
+    assert sum(sizes) + test.count() == 200_000
