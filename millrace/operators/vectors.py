@@ -24,6 +24,8 @@ SCORE_DECIMALS = 9
 MAX_VECTORS = 65_536
 MAX_QUERIES = 8_192
 SCORED = 256
+# Vectors that the queries are multiplied with at once.
+BLOCK = 4_096
 
 # (rows, name of the text column) to the rows with an ``embedding`` column
 Embedder = Callable[[DataFrame, str], DataFrame]
@@ -90,6 +92,22 @@ def _best(units: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return query_at, row_at, scores[query_at, row_at]
 
 
+def _best_by_blocks(units: np.ndarray, vectors: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`_best` over all ``vectors``, :data:`BLOCK` of them at a time: only the best so far and one block's scores are held."""
+    query_at, row_at, scores = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+    for first in range(0, len(vectors), BLOCK):
+        rows, _ = _unit_rows(_matrix(vectors.slice(first, BLOCK)))
+        more_query, more_row, more_scores = _best(units, rows, k)
+        query_at, row_at = np.concatenate([query_at, more_query]), np.concatenate([row_at, more_row + first])
+        scores = np.concatenate([scores, more_scores])
+        order = np.lexsort((row_at, -scores, query_at))
+        query_at, row_at, scores = query_at[order], row_at[order], scores[order]
+        # a query's rows lie together, best first
+        place = np.arange(len(query_at)) - np.searchsorted(query_at, query_at)
+        query_at, row_at, scores = query_at[place < k], row_at[place < k], scores[place < k]
+    return query_at, row_at, scores
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     held = column.combine_chunks()
     return np.asarray(held.flatten()).reshape(len(held), -1).astype(np.float64)
@@ -133,10 +151,9 @@ def block_product(
         out = {"number": [], "query_id": [], "neighbour_id": [], "score": []}
         if left.num_rows and right.num_rows:
             left = left.sort_by("id")
-            rows, _ = _unit_rows(_matrix(left["vector"]))
-            units, _ = _unit_rows(_matrix(right["vector"]))
-            for first in range(0, len(units), SCORED):
-                query_at, row_at, scores = _best(units[first : first + SCORED], rows, k)
+            for first in range(0, right.num_rows, SCORED):
+                units, _ = _unit_rows(_matrix(right["vector"].slice(first, SCORED)))
+                query_at, row_at, scores = _best_by_blocks(units, left["vector"], k)
                 out["number"].append(right["number"].take(pa.array(query_at + first)))
                 out["query_id"].append(right["query_id"].take(pa.array(query_at + first)))
                 out["neighbour_id"].append(left["id"].take(pa.array(row_at)))

@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import vectors
 from millrace.operators.vector_index import build_index, index_top_k, probes_for, recall
 from millrace.operators.vectors import centroids, cosine_top_k, embed_text
 from tests.conftest import physical_plan, rows
@@ -128,3 +130,19 @@ def test_index_of_few_or_no_vectors(spark):
 def test_queries_do_not_pass_the_driver(spark):
     plan = physical_plan(cosine_top_k(spark, table(spark, [(1, [1, 0])]), table(spark, [(1, [1, 0])]), 3, "id", "id", "v"))
     assert "FlatMapCoGroupsInArrow" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("count", [3, 4, 50, 333])
+def test_best_by_blocks_is_best_of_all(monkeypatch, count):
+    """The same rows as one product of everything, copies and ties included, with the scores of one block held at a time."""
+    monkeypatch.setattr(vectors, "BLOCK", 7)
+    random = np.random.default_rng(count)
+    held = random.integers(-2, 3, size=(count, 3)).astype(np.float64) + 0.5
+    units, _ = vectors._unit_rows(random.normal(size=(20, 3)))
+    column = pa.chunked_array([pa.array(held[: count // 2].tolist(), pa.list_(pa.float64())), pa.array(held[count // 2 :].tolist(), pa.list_(pa.float64()))])
+    whole = list(zip(*vectors._best(units, vectors._unit_rows(held)[0], 4)))
+    largest = []
+    real = vectors._best
+    monkeypatch.setattr(vectors, "_best", lambda u, r, k: largest.append(len(r)) or real(u, r, k))
+    assert sorted(zip(*vectors._best_by_blocks(units, column, 4))) == sorted(whole)
+    assert max(largest) <= 7
