@@ -4,16 +4,15 @@ The feed may publish a version again, late and in any order. The stream's state
 version taken in and its digest; a row that says something newer, or something else about the newest version, goes to the
 index log under the number of the batch that brought it. So the last row by number is the current one, whatever
 versions came again, and a compacted log needs only rows with higher numbers.
+
+The state is a streaming aggregate, so no document costs a call of Python. An aggregate hands out every document that a
+batch speaks of; those of which the log says the same already are dropped by a join with its ids and digests.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.operators.changes import BEFORE_UPDATE, DELETE
 from millrace.operators.joins import anti_join
@@ -29,24 +28,28 @@ LOG_SCHEMA = (
 )
 
 
-def _digests(feed: DataFrame, *more: Column) -> DataFrame:
-    """The feed's rows without texts: what each version says of each document; a deletion has the digest 'deleted'."""
+def _said(digest: Column) -> Column:
+    return F.concat_ws("/", digest, F.col("original_url")).alias("said")
+
+
+def _digests(feed: DataFrame, *more: Column | str) -> DataFrame:
+    """What each version in the feed says of each document; a deletion has the digest 'deleted'."""
     digest = F.when(F.col("change_type") == DELETE, "deleted").otherwise(content_digest(F.coalesce("content", F.lit(""))))
-    digest = F.concat_ws("/", digest, F.col("original_url"))
     rows = feed.filter(F.col("change_type") != BEFORE_UPDATE)
-    return rows.select(F.col(KEY).cast("string").alias(KEY), F.col("commit_version").cast("bigint").alias("commit_version"), digest.alias("said"), *more)
+    return rows.select(F.col(KEY).cast("string").alias(KEY), F.col("commit_version").cast("bigint").alias("commit_version"), _said(digest), *more)
 
 
-def _newest(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    version, said = state.get if state.exists else (-1, "")
-    before = (version, said)
-    for batch in batches:
-        for row in batch.sort_values(["commit_version", "published"]).itertuples():
-            if row.commit_version >= version:
-                version, said = int(row.commit_version), row.said
-    if (version, said) != before:
-        state.update((version, said))
-        yield pd.DataFrame({KEY: [key[0]], "commit_version": [version], "said": [said]})
+def _newest(digests: DataFrame) -> DataFrame:
+    """State per document: of the newest version what came last, by the time of the batch, which Spark logs with it, then of the file."""
+    row = F.struct("commit_version", F.current_timestamp().alias("taken_in"), "published", "said")
+    newest = digests.select(KEY, row.alias("row")).groupBy(KEY).agg(F.max("row").alias("row"))
+    return newest.select(KEY, "row.commit_version", "row.said")
+
+
+def _known(log: DataFrame) -> DataFrame:
+    """What the last row by number says of each document."""
+    said = _said(F.when(F.col("deleted"), "deleted").otherwise(F.col("content_digest")))
+    return _last(log.select(KEY, "commit_version", said, NUMBER)).drop(NUMBER)
 
 
 def run_keyed_sync(
@@ -54,24 +57,22 @@ def run_keyed_sync(
 ) -> None:
     """Take in what is new in the change feed, also versions that were published again.
 
-    Only ids, versions and digests pass the state and Python; the texts of what has changed are then read from the feed. Each
+    Only ids, versions and digests pass the state; the texts of what has changed are then read from the feed. Each
     batch writes ``log/sequence=<id>``; a repeated batch overwrites it. A row that the feed has replaced meanwhile is left for
     the batch that brings its replacement.
     """
     stream = stream_table(spark, feed, files_per_batch)
-    changed = _digests(stream, F.col("_metadata.file_modification_time").alias("published")).groupBy(KEY).applyInPandasWithState(
-        _newest, f"{KEY} string, commit_version bigint, said string", "commit_version bigint, said string", "update", GroupStateTimeout.NoTimeout
-    )
+    touched = _newest(_digests(stream, F.col("_metadata.file_modification_time").alias("published")))
+    same = [KEY, "commit_version", "said"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        now = session.read.parquet(feed)
-        texts = _digests(now)
-        whole = now.filter(F.col("change_type") != BEFORE_UPDATE).select(
-            F.col(KEY).cast("string").alias(KEY), F.col("commit_version").cast("bigint").alias("commit_version"),
-            (F.col("change_type") == DELETE).alias("deleted"), "original_url", "content",
-        )
-        found = batch.join(texts, [KEY, "commit_version", "said"], "left_semi").join(whole, [KEY, "commit_version"])
+        changed = batch
+        if batch_id:  # a repeated batch doesn't see its own rows
+            log = session.read.schema(LOG_SCHEMA).parquet(log_path).filter(F.col(NUMBER) < batch_id)
+            changed = batch.join(_known(log), same, "left_anti")
+        whole = _digests(session.read.parquet(feed), (F.col("change_type") == DELETE).alias("deleted"), "original_url", "content")
+        found = changed.join(whole, same)
         kept = found.withColumn("content", F.when(F.col("deleted"), "").otherwise(F.coalesce("content", F.lit(""))))
         embedded = embed(kept.withColumn("content_digest", content_digest(F.col("content"))), "content")
         rows = embedded.select(
@@ -80,7 +81,7 @@ def run_keyed_sync(
         )
         rows.write.mode("overwrite").parquet(f"{log_path}/{NUMBER}={batch_id}")
 
-    writer = changed.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = touched.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     drain(writer.trigger(availableNow=True).start())
 
 

@@ -14,6 +14,7 @@ from millrace.operators.changes import (
     stored_snapshot,
     stored_snapshot_changes,
 )
+from millrace.streaming import keyed_sync
 from millrace.streaming.index_sync import (
     compact_index,
     content_digest,
@@ -203,3 +204,38 @@ def test_keyed_sync_sees_late_publications_and_ignores_older_versions(spark, tmp
     publish_changes(one, snapshot(spark, ("a", "right"), ("b", "yy")), feed, 2)
     run_keyed_sync(spark, feed, log, checkpoint, embed_length)
     assert [r for r in found() if r[0] != "c"] == [("a", 2, "right"), ("b", 2, "yy"), ("d", 1, "w")] and found() == found(base)
+
+
+def test_keyed_sync_keeps_state_without_python_and_logs_only_changes(spark, tmp_path, monkeypatch):
+    feed, log, checkpoint = (str(tmp_path / n) for n in ("feed", "log", "checkpoint"))
+    states, drain = [], keyed_sync.drain
+
+    def watched(query):
+        drain(query)
+        states.extend(state["operatorName"] for p in query.recentProgress for state in p["stateOperators"])
+
+    def taken():
+        """Rows in the log and what is current after taking in what is new."""
+        run_keyed_sync(spark, feed, log, checkpoint, embed_length)
+        current = keyed_index(spark, log).collect()
+        return spark.read.parquet(log).count(), sorted((r.document_id, r.commit_version, r.content) for r in current)
+
+    monkeypatch.setattr(keyed_sync, "drain", watched)
+    first = snapshot(spark, ("a", "x"), ("b", "y"), ("n", None), (None, "no id"))
+    publish_changes(None, first, feed, 0)
+    assert taken() == (3, [("a", 0, "x"), ("b", 0, "y"), ("n", 0, "")])
+    # the same texts again: every document is spoken of, none has changed
+    publish_changes(None, first, feed, 0)
+    assert taken() == (3, [("a", 0, "x"), ("b", 0, "y"), ("n", 0, "")])
+    # 'a' has another text, goes, and is back with the text it had at first
+    publish_changes(None, snapshot(spark, ("a", "z")), feed, 0)
+    assert taken() == (4, [("a", 0, "z"), ("b", 0, "y"), ("n", 0, "")])
+    snapshot(spark, ("a", "z")).withColumn("change_type", F.lit("delete")).write.mode("overwrite").parquet(f"{feed}/commit_version=0")
+    assert taken() == (5, [("b", 0, "y"), ("n", 0, "")])
+    publish_changes(None, snapshot(spark, ("a", "x")), feed, 0)
+    assert taken() == (6, [("a", 0, "x"), ("b", 0, "y"), ("n", 0, "")])
+    # a version comes again beside its earlier rows: only what came last counts
+    again = snapshot(spark, ("a", "w")).withColumn("change_type", F.lit("insert"))
+    again.write.mode("append").parquet(f"{feed}/commit_version=0")
+    assert taken() == (7, [("a", 0, "w"), ("b", 0, "y"), ("n", 0, "")])
+    assert set(states) == {"stateStoreSave"}
