@@ -7,11 +7,13 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from helpers import ODD, SMALL, odd, table
 from millrace.llm import suffix_dedup
 from millrace.llm.queries import QUERIES
 from millrace.llm.suffix_dedup import anchors_of, common_prefixes, maximal_repeats, repeats_in_group, without_repeats
+from millrace.session import session_with
 
 
 def expected(texts: list, length: int) -> list[tuple]:
@@ -62,6 +64,32 @@ def test_hot_passages_are_split_without_loss(spark):
         assert got == [(i, *e) for i, e in enumerate(expected([t for _, t in rows], 400))]
 
 
+def test_pieces_of_one_group_are_dealt_to_many_tasks(monkeypatch, spark):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    rng = np.random.default_rng(5)
+    rows = [(b"hot" if i < 3000 else b"%d" % (i // 2), b"%d" % i, 1, 1, 5, rng.bytes(40)) for i in range(3400)]
+    schema = "group binary, sub binary, n bigint, windows int, head int, text binary"
+    pieces = suffix_dedup.stage(session_with(spark, small).createDataFrame(rows, schema).repartition(8, "sub"), "pieces")
+    stage, dealt = suffix_dedup.stage, []
+
+    def counted(frame, label):
+        out = stage(frame, label)
+        if label == "suffix-groups":
+            dealt.append([r["count"] for r in out.groupBy(F.input_file_name()).count().collect()])
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "stage", counted)
+    assert suffix_dedup.repeats_of(pieces, 40).count() == 0
+    assert sum(dealt[0]) == 3400 and max(dealt[0]) < 1500
+
+
 def test_maximal_repeats_with_all_occurrences(spark):
     # 'shared' three times, a longer string that holds it twice
     shared, more = "0123456789abcdefghij", "KLMNOPQRST"
