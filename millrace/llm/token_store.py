@@ -34,8 +34,8 @@ from millrace.workspace import fresh_dir
 
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
-# Words whose ids a Python worker remembers, in two generations of so many.
-REMEMBERED = 400_000
+# Bytes of words and ids that a Python worker remembers from task to task.
+REMEMBERED = 16 << 20
 # Bytes of text that are tokenized at once.
 PIECE = 4 << 20
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -54,6 +54,9 @@ class WordEncoder:
     letters, digits and other signs before it merges, so a text's ids are those of its words in order,
     and a word's ids those of its stem and of its trailing ASCII punctuation. The tokenizer's added tokens
     are recognised first, in the raw text; what lies between them is tokenized by itself.
+
+    What is remembered lies in flat arrays, some 20 bytes a stem, and takes ``REMEMBERED`` bytes and those of
+    one batch at most, however long the words are.
     """
 
     def __init__(self, path: str):
@@ -69,8 +72,7 @@ class WordEncoder:
         self.lowered = [c.encode().lower().decode() for c in self.added]
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self._remember(pa.array([], pa.string()), np.zeros(0, self.kind), np.zeros(0, np.int32))
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -79,46 +81,70 @@ class WordEncoder:
             encoders[path] = cls(path)
         return encoders[path]
 
-    def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
-        """The tokenizer's own steps one by one, several times as fast as a call per word that does them all."""
-        code = "H" if self.kind.itemsize == 2 else "I"
+    def _remember(self, known: pa.Array, flat: np.ndarray, lengths: np.ndarray, used: np.ndarray | None = None) -> None:
+        self.known, self.flat, self.lengths = known, flat, lengths
+        self.used = np.zeros(len(known), dtype=bool) if used is None else used
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces in one array, and their numbers.
+
+        The tokenizer's own steps one by one, several times as fast as a call per word that does them all.
+        """
         merge, split, normalize = self.tokenizer.model.tokenize, self.tokenizer.pre_tokenizer, self.tokenizer.normalizer
-        found = {}
-        for piece in pieces:
+        found, lengths = array("H" if self.kind.itemsize == 2 else "I"), np.zeros(len(pieces), dtype=np.int32)
+        for i, piece in enumerate(pieces):
             if piece.isascii() and piece.isalpha() and piece.islower():  # such a word stays as it is and whole
                 tokens = merge(piece)
             else:
                 tokens = [t for p, _ in split.pre_tokenize_str(normalize.normalize_str(piece)) for t in merge(p)]
-            found[piece] = array(code, [t.id for t in tokens]).tobytes()
-        return found
-
-    def ids(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words."""
-        found = list(map(self.young.get, words))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        new: list[tuple[int, str, str]] = []
-        for i in missing:
-            word = words[i]
-            ids = self.old.get(word)
-            if ids is None:
-                # signs of any kind form one piece together, so only what follows a letter or digit is split off
-                stem = word.rstrip(_PUNCTUATION)
-                new.append((i, stem, word[len(stem) :]) if stem and stem[-1].isalnum() else (i, word, ""))
-            else:
-                found[i] = self.young[word] = ids
-        pieces = {p for _, stem, tail in new for p in (stem, tail) if p not in self.young and p not in self.old}
-        fresh = self._encoded(list(pieces))
-        self.young.update(fresh)
-
-        def known(piece: str) -> bytes:
-            ids = self.young.get(piece)
-            return self.old[piece] if ids is None else ids
-
-        for i, stem, tail in new:
-            found[i] = self.young[words[i]] = known(stem) + known(tail)
-        if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
-        return found
+            found.extend([t.id for t in tokens])
+            lengths[i] = len(tokens)
+        return np.frombuffer(found, dtype=self.kind) if found else np.zeros(0, self.kind), lengths
+
+    def _of_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For distinct pieces: an array of ids, and where in it each one's begin and how many they are."""
+        at = pc.index_in(pieces, value_set=self.known)
+        new = pieces.filter(pc.is_null(at))
+        flat, lengths = self._encoded(new.to_pylist())
+        place = np.array(pc.fill_null(at, 0))
+        self.used[place[np.asarray(pc.is_valid(at))]] = True
+        place[np.asarray(pc.is_null(at))] = len(self.known) + np.arange(len(new))
+        self._remember(
+            pa.concat_arrays([self.known, new]),
+            np.concatenate([self.flat, flat]),
+            np.concatenate([self.lengths, lengths]),
+            np.concatenate([self.used, np.ones(len(new), dtype=bool)]),
+        )
+        flat, ends, lengths = self.flat, np.cumsum(self.lengths, dtype=np.int64), self.lengths[place].astype(np.int64)
+        self._forget()
+        return flat, ends[place] - lengths, lengths
+
+    def _forget(self) -> None:
+        """Where more than ``REMEMBERED`` bytes are held, the pieces met since the last time stay, the newest of them up to half as many."""
+        sizes = np.asarray(pc.binary_length(self.known)) + 9 + self.kind.itemsize * self.lengths.astype(np.int64)
+        if sizes.sum() <= REMEMBERED:
+            return
+        kept = self.used & (np.cumsum((sizes * self.used)[::-1])[::-1] <= REMEMBERED // 2)
+        self._remember(self.known.filter(pa.array(kept)), self.flat[np.repeat(kept, self.lengths)], self.lengths[kept])
+
+    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words in one array, and their numbers."""
+        words = words.cast(pa.string())
+        stems = pc.ascii_rtrim(words, characters=_PUNCTUATION)
+        # signs of any kind form one piece together, so only what follows a letter or digit is split off
+        last = pc.utf8_slice_codeunits(stems, -1).dictionary_encode()
+        alnum = np.array([c.isalnum() for c in last.dictionary.to_pylist()], dtype=bool)[np.asarray(last.indices)]
+        cut = alnum & np.asarray(pc.not_equal(stems, words))
+        tails = pc.replace_substring_regex(words.filter(pa.array(cut)), f"(?s)^.*[^{re.escape(_PUNCTUATION)}]", "")
+        pieces = pa.concat_arrays([pc.if_else(pa.array(cut), stems, words), tails]).dictionary_encode()
+        flat, starts, lengths = self._of_pieces(pieces.dictionary)
+        # a word is a stem and a tail, which may have no ids
+        chosen = np.asarray(pieces.indices)
+        parts = np.zeros((len(words), 2), dtype=np.int64)
+        numbers = np.zeros((len(words), 2), dtype=np.int64)
+        parts[:, 0], numbers[:, 0] = starts[chosen[: len(words)]], lengths[chosen[: len(words)]]
+        parts[cut, 1], numbers[cut, 1] = starts[chosen[len(words) :]], lengths[chosen[len(words) :]]
+        return flat[_places(parts.ravel(), numbers.ravel())], numbers.sum(axis=1)
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch of texts in one array, and the number of ids per text; a null text has none."""
@@ -153,20 +179,23 @@ class WordEncoder:
 
     def _of_words(self, split: pa.ListArray, coded: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
         """As :meth:`batch`, for texts as lists of words and their words as a dictionary."""
-        ids = self.ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.kind.itemsize
-        flat = np.frombuffer(b"".join(ids), dtype=self.kind)
+        flat, lengths = self.ids(coded.dictionary)
         starts = np.cumsum(lengths) - lengths
         chosen = np.asarray(coded.indices)
         per_word = lengths[chosen]
-        ends = np.cumsum(per_word)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.repeat((starts[chosen] - (ends - per_word)).astype(np.int32), per_word)
-        at += np.arange(total, dtype=np.int32)
         # words of text i are offsets[i] to offsets[i + 1]
         offsets = np.asarray(split.offsets) - np.asarray(split.offsets)[0]
-        before = np.concatenate([[0], ends])
-        return flat[at], before[offsets[1:]] - before[offsets[:-1]]
+        before = np.concatenate([[0], np.cumsum(per_word)])
+        return flat[_places(starts[chosen], per_word)], before[offsets[1:]] - before[offsets[:-1]]
+
+
+def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``starts``, one run after the other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.repeat((starts - (ends - lengths)).astype(np.int32), lengths)
+    at += np.arange(total, dtype=np.int32)
+    return at
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -218,6 +247,8 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, block_
         if counts.any():
             block = -1
             yield row(None, None, None, counts.astype("<i8").tobytes())
+        # the worker waits for other tasks, and the memory of its batches would wait with it
+        pa.default_memory_pool().release_unused()
 
     schema = pa.schema(
         [("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),

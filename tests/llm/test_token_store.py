@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import sys
 import zlib
 
 import numpy as np
@@ -10,6 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from helpers import ODD, SMALL, odd, table
+from millrace.llm import token_store
 from millrace.llm.queries import QUERIES, tokenizer_path
 from millrace.llm.rans import Coder, pack_table, quantised
 from millrace.llm.token_store import WordEncoder, document_digests, read_documents, write_store
@@ -40,6 +42,34 @@ def test_words_have_the_ids_they_have_in_texts(texts):
     assert [f.tolist() for f in found] == plain_ids(texts)
 
 
+def held_bytes(encoder: WordEncoder) -> int:
+    """What an encoder remembers, however it does: dicts by their entries, arrays by their buffers."""
+    own = [v for k, v in vars(encoder).items() if k not in ("added", "tokenizer")]
+    dicts = sum(sys.getsizeof(d) + sum(sys.getsizeof(x) for kv in d.items() for x in kv) for d in own if isinstance(d, dict))
+    return dicts + sum(a.nbytes for a in own if isinstance(a, (pa.Array, np.ndarray)))
+
+
+def test_a_worker_remembers_words_in_few_bytes():
+    encoder = WordEncoder(tokenizer_path())
+    for first in range(0, 200_000, 5_000):
+        texts = [" ".join(f"word{i * 7919 % 1_000_003}," for i in range(first, first + 5_000))]
+        flat, _ = encoder.batch(pa.array(texts))
+    assert flat.tolist() == plain_ids(texts)[0]
+    assert held_bytes(encoder) <= 20 << 20
+
+
+def test_words_are_forgotten_and_met_again(monkeypatch):
+    monkeypatch.setattr(token_store, "REMEMBERED", 2_000)
+    encoder = WordEncoder(tokenizer_path())
+    texts = [" ".join(f"{'x' * (j % 90)}a{i}.. it's," for j in range(i, i + 40)) for i in range(60)]
+    for text in texts + texts[::-1]:
+        flat, lengths = encoder.batch(pa.array([text, "", None, "...", text], pa.string()))
+        assert [f.tolist() for f in np.split(flat, np.cumsum(lengths)[:-1])] == plain_ids([text, "", "", "...", text])
+        assert held_bytes(encoder) <= 4_000
+    flat, lengths = encoder.batch(pa.array(texts, pa.large_string()))
+    assert [f.tolist() for f in np.split(flat, np.cumsum(lengths)[:-1])] == plain_ids(texts)
+
+
 @pytest.mark.parametrize("count", [0, 1, 3, 100, 2048, 2049, 70_000])
 def test_blocks_round_trip_whole_and_by_mark(count):
     rng = np.random.default_rng(count)
