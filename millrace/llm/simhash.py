@@ -112,10 +112,13 @@ def linked(prints: DataFrame, keyed: DataFrame, near: Callable[[DataFrame], Data
     tied by then and costs nothing. Where that would still be much work, a new leader is taken from
     the members left over, as often as it helps. The last comparison is complete, so no link between
     members not tied already is missed, whatever the rounds before found.
+
+    The joins on blocks are sort-merge joins: Spark sizes a table after an explode by the rows before it, and a table of
+    repeated keys by its packed file, so it would send the driver many times what it takes for small.
     """
     shared = keyed.groupBy("no", "key").agg(F.count("*").alias("size"), F.max(F.struct("n", "fp")).alias("leader"))
     shared = shared.filter("size > 1").select("no", "key", "size", F.col("leader.fp").alias("leader"))
-    members = stage(keyed.join(shared, ["no", "key"]), "simhash-blocks")
+    members = stage(keyed.join(shared.hint("merge"), ["no", "key"]), "simhash-blocks")
 
     with_leader = [F.col("fp").alias("a"), F.col("leader").alias("b")]
     edges = near(members.filter("fp != leader").select(*with_leader))
@@ -136,13 +139,14 @@ def linked(prints: DataFrame, keyed: DataFrame, near: Callable[[DataFrame], Data
         work = left.agg(F.sum("size")).first()[0] or 0
         if work <= 4 * count + 100_000 or (done is not None and 2 * work > done):
             pairs = left.select("no", "key", F.col("fp").alias("a")).join(
-                members.select("no", "key", F.col("fp").alias("b")), ["no", "key"]
+                members.select("no", "key", F.col("fp").alias("b")).hint("merge"), ["no", "key"]
             )
             edges = edges.unionByName(near(pairs.filter("a != b").select("a", "b")))
             break
         done = work
         leaders = left.groupBy("no", "key").agg(F.max(F.struct("n", "fp")).alias("leader"))
-        found = members.drop("leader").join(leaders.select("no", "key", F.col("leader.fp").alias("leader")), ["no", "key"])
+        leaders = leaders.select("no", "key", F.col("leader.fp").alias("leader")).hint("merge")
+        found = members.drop("leader").join(leaders, ["no", "key"])
         found = near(found.filter("fp != leader").select(*with_leader))
         edges = stage(edges.unionByName(found), "simhash-links")
     joined = prints.join(components(edges), prints["fp"] == F.col("node"), "left")

@@ -5,6 +5,7 @@ from itertools import combinations
 import pytest
 
 from helpers import DOCUMENTS, ODD, SMALL, grouped, odd, simhash, table
+from millrace.llm import simhash as near
 from millrace.llm.components import components
 from millrace.llm.queries import QUERIES
 from millrace.llm.simhash import block_masks, fingerprint, linked_fingerprints, near_duplicate_groups, one_per_group, pieces_for
@@ -48,6 +49,25 @@ def test_dense_and_chained_groups(spark):
     assert len(set(by_root.values())) == len(set(expected))
 
 
+def test_block_tables_are_not_broadcast(spark, monkeypatch):
+    # 15 block keys for a fingerprint, but Spark sizes the exploded table, and that of shared blocks, as if there were one
+    centre = 0x0123456789ABCDEF
+    values = [centre ^ 1 << a ^ 1 << b for a, b in combinations(range(0, 60, 10), 2)]
+    kept = near.stage
+    plans = {}
+
+    def planned(frame, label, **options):
+        plans.setdefault(label, []).append(frame._jdf.queryExecution().executedPlan().toString())
+        return kept(frame, label, **options)
+
+    monkeypatch.setattr(near, "stage", planned)
+    prints = kept(spark.createDataFrame([(v, 1) for v in values], "fp bigint, n bigint"), "prints")
+    roots = linked_fingerprints(prints)
+    assert {r["root"] for r in roots.collect()} == {min(values)}
+    (blocks,) = plans["simhash-blocks"]
+    assert "Generate explode" in blocks and "SortMergeJoin" in blocks and "Broadcast" not in blocks
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
     found = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
